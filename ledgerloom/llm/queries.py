@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, line_dedup, sharding
+from . import bpe, exact_dedup, line_dedup, near_dedup, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(_table(spark, sf_dir, "documents")).drop("digest")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.score(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -37,15 +41,21 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op5_bpe": op5_bpe,
     "op9_kd_shards": op9_kd_shards,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES = {
@@ -61,4 +71,14 @@ ORACLES = {
              f AS (SELECT l.*, line IN (SELECT line FROM bad) AS gone FROM l)
         SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
                sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS text_sha256 FROM f GROUP BY doc_id""",
+    "op10_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                          ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+             l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
+             e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+             reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON reach.r = e.x)
+        SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
 }
