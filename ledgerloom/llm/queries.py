@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, near_dedup, quality_rules, sharding
+from . import bpe, chat_format, exact_dedup, html_extract, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +32,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     out = line_dedup.remove_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), vocabulary())
 
@@ -45,6 +48,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat_format.parse(_table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("doc")
+
+
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -53,7 +69,11 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_bpe": op5_bpe,
+    "op6_language_id": op6_language_id,
+    "op7_chat_format": op7_chat_format,
+    "op8_mixing": op8_mixing,
     "op9_kd_shards": op9_kd_shards,
     "op10_near_dedup": op10_near_dedup,
 }
