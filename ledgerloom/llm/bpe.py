@@ -15,10 +15,13 @@ import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .textkernel import slices
+
 END = "</w>"
 
 
@@ -166,8 +169,8 @@ class WordBpe:
         self.known[chunk] = got
         return got
 
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """Number of ids, and the SHA-256 of the ids and of the decoded text; chunks between spaces are looked up."""
+    def packed(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers; chunks between spaces are looked up."""
         if len(self.known) > self.REMEMBER:
             self.known, self.older = {}, self.known
         known, chunk = self.known, self._chunk
@@ -175,9 +178,10 @@ class WordBpe:
         for x in (text or "").replace("\n", " ").split(" "):
             got = known.get(x)
             parts.append(chunk(x) if got is None else got)
-        packed = b"".join(parts)
-        decoded = self.labels_of(memoryview(packed).cast("I"))
-        return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest()
+        return b"".join(parts)
+
+    def decoded(self, packed: bytes) -> str:
+        return self.labels_of(memoryview(packed).cast("I"))
 
 
 _LOADED: dict[int, WordBpe] = {}
@@ -191,38 +195,51 @@ def _loaded(shared) -> WordBpe:
     return _LOADED[key]
 
 
-def _column(batch: pa.RecordBatch, name: str) -> list:
-    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+def _mapped(docs: DataFrame, vocabulary: str, make, schema: str) -> DataFrame:
+    """make(bpe, packed ids of each text) gives the columns after doc_id. The file, of fixed size, goes by broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(open(vocabulary, encoding="utf-8").read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _loaded(shared)
+        for x in batches:
+            for a, z in slices(x.column(1)):
+                b = x.slice(a, z - a)
+                yield pa.record_batch({"doc_id": b.column(0)} | make(bpe, [bpe.packed(t) for t in b.column(1).to_pylist()]))
+
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, f"doc_id long, {schema}")
+
 
+def _ids(packed: list[bytes]) -> pa.Array:
+    flat = np.frombuffer(b"".join(packed), np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32()), pa.array(flat))
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token ids and decoded text of each row: <id>, ids, decoded.
 
-    vocabulary is the path of a tokenizer file on the driver; its text, of fixed size, goes to executors by broadcast. A
-    null text counts as empty and has no ids; null ids, repeated rows and empty tables pass through.
+def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, ids, decoded for each row.
+
+    vocabulary is the path of a tokenizer file on the driver. A null text counts as empty and has no ids; null doc_ids,
+    repeated rows and empty tables pass through; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(open(vocabulary, encoding="utf-8").read())
+    return _mapped(docs, vocabulary, lambda bpe, p: {"ids": _ids(p), "decoded": pa.array([bpe.decoded(x) for x in p], pa.string())}, "ids array<int>, decoded string")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(shared)
-        for b in batches:
-            ids = [bpe.ids(t or "") for t in _column(b, "text")]
-            yield pa.record_batch({"id": b.column(0), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array([bpe.labels_of(x) for x in ids], pa.string())})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.selectExpr(f"`{id_col}` as id", f"`{text_col}` as text").mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
-    return out.withColumnRenamed("id", id_col)
+def _hex(data: bytes | str) -> str:
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded_sha256; rows as encode() has them."""
+
+    def make(bpe: WordBpe, p: list[bytes]) -> dict:
+        return {"n_tokens": pa.array([len(x) // 4 for x in p], pa.int64()), "ids": _ids(p), "decoded_sha256": pa.array([_hex(bpe.decoded(x)) for x in p], pa.string())}
+
+    return _mapped(docs, vocabulary, make, "n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def token_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: what encode() gives, digested where it is made."""
-    shared = docs.sparkSession.sparkContext.broadcast(open(vocabulary, encoding="utf-8").read())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(shared)
-        for b in batches:
-            got = [bpe.digests(t) for t in _column(b, "text")]
-            n, ids, said = zip(*got, strict=True) if got else ((), (), ())
-            yield pa.record_batch({"doc_id": b.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(said, pa.string())})
+    def make(bpe: WordBpe, p: list[bytes]) -> dict:
+        return {"n_tokens": pa.array([len(x) // 4 for x in p], pa.int64()), "ids_sha256": pa.array(map(_hex, p), pa.string()), "decoded_sha256": pa.array([_hex(bpe.decoded(x)) for x in p], pa.string())}
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _mapped(docs, vocabulary, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -66,7 +66,7 @@ def train(docs: DataFrame, languages: Sequence[str], declared: Column, key: Colu
 
 
 def likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
-    """Adds n (trigrams) and ll (mean log likelihood of each class) to rows that begin with text; the text goes."""
+    """Adds letters, n (trigrams) and ll (mean log likelihood of each class) to rows that begin with text; the text goes."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # BINS rows, fixed
     rest = rows.columns[1:]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
@@ -89,10 +89,11 @@ def likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
                     np.cumsum(table[bins] * ok[:, None], axis=0, out=total[1:])
                 first, last = np.minimum(offs[:-1], m), np.minimum(offs[1:], m)
                 size = n[last] - n[first]
+                solid = np.concatenate([[0], np.cumsum(_CLASS[raw] != 32)])
                 mean = (total[last] - total[first]) / np.maximum(size, 1)[:, None]
-                yield pa.record_batch([*(b.column(i + 1) for i in range(len(rest))), pa.array(size, pa.int64()), pa.FixedSizeListArray.from_arrays(mean.ravel(), mean.shape[1]).cast(pa.list_(pa.float64()))], [*rest, "n", "ll"])
+                yield pa.record_batch([*(b.column(i + 1) for i in range(len(rest))), pa.array(np.diff(solid[offs]), pa.int64()), pa.array(size, pa.int64()), pa.FixedSizeListArray.from_arrays(mean.ravel(), mean.shape[1]).cast(pa.list_(pa.float64()))], [*rest, "letters", "n", "ll"])
 
-    return rows.mapInArrow(run, f"{kinds}, n long, ll array<double>")
+    return rows.mapInArrow(run, f"{kinds}, letters long, n long, ll array<double>")
 
 
 def _soft(scores: list[Column]) -> list[Column]:
@@ -128,8 +129,8 @@ def identify(
 
     evidence: a text counts as that many independent trigrams at most; trust: chance that a declared language is right;
     strength: rows that a prior one level up is worth. language is `und` where none of the languages is likely. kept:
-    the language is known and its posterior is `least` or more. A null or empty text, or one without letters, has no
-    likelihood: it is `und` and not kept. A null declaration or one of another language is no evidence; a null host is
+    the language is known and its posterior is `least` or more. A null or empty text, or one without letters, is `und`
+    and not kept; one with letters but no trigram of them goes by declaration and prior. A null declaration or one of another language is no evidence; a null host is
     a host of its own. Repeated rows count as often as they occur; an empty table gives an empty result.
     """
     col = lambda c: F.col(c) if isinstance(c, str) else c
@@ -153,7 +154,7 @@ def identify(
     joined = found.join(prior, "host", "left")
     parts = _soft([t + s + F.coalesce(F.col(f"h{i}"), F.lit(float(np.log(flat[i])))) for i, (t, s) in enumerate(zip(tempered, said, strict=True))])
     best = F.array_max(F.array(*(F.struct(p.alias("p"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, (p, k) in enumerate(zip(parts, classes, strict=True)))))
-    out = joined.withColumn("best", best).select(F.col("id").alias(id_col), F.when(F.col("n") > 0, F.col("best.k")).otherwise(OTHER).alias("language"), F.when(F.col("n") > 0, F.col("best.p")).otherwise(1.0).alias("posterior"))
+    out = joined.withColumn("best", best).select(F.col("id").alias(id_col), F.when(F.col("letters") > 0, F.col("best.k")).otherwise(OTHER).alias("language"), F.when(F.col("letters") > 0, F.col("best.p")).otherwise(1.0).alias("posterior"))
     return out.withColumn("kept", (F.col("language") != OTHER) & (F.col("posterior") >= least))
 
 
