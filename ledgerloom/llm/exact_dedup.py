@@ -57,6 +57,7 @@ class ExactDedup:
             self.spark,
             spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
             spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+            spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
             spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
             spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="256",
         ):
