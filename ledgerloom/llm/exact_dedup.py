@@ -81,7 +81,8 @@ class ExactDedup:
         rows = self.spark.read.parquet(self.rows)
         if not rows.head(1):
             return self._shape(rows.withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)}))
-        found = saved(rows.join(self.state(), "digest").withColumn("kept", F.col("row") == F.col("keep_row")), "exact-found")
+        # written, so that the join's sides come straight from shuffles and a hot digest's rows can be split
+        found = saved(rows.join(saved(self.state(), "exact-state"), "digest").withColumn("kept", F.col("row") == F.col("keep_row")), "exact-found")
         several = found.where("group_size > 1").select(F.col("doc_id").alias("several_id")).distinct()
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("norm"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"))
         texts = texts.join(several, F.col("doc_id").eqNullSafe(F.col("several_id")), "left_semi").withColumn("digest", self.digest(F.col("norm")))
