@@ -119,6 +119,7 @@ def shard(docs: DataFrame, shards: int = 24, together: float = 0.005) -> DataFra
         F.floor(place * BINS).cast("int").alias("c_id"),
         pieces.cast("long").alias("pieces"),
     )
+    groups = saved(groups, "shard-groups")  # so that a large group's rows can be split in the join
     piece = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("pieces"))
     points = saved(rows.join(groups, ["h1", "h2", "size"]).select("doc_id", "size", "text_crc32", *DIMS, F.xxhash64("h1", "h2", piece).alias("tie")), "shard-points")
     tree = Node(0, shards)
