@@ -49,12 +49,15 @@ class Automaton:
         self.left, self.right, self.born = [-1] * n, [-1] * n, [-1] * n
         self.cut: dict[int, int] = {}
         self.table: dict[int, bool] = {}
+        # a merge whose halves can never meet makes no arc, and its label no token
+        unmade = {vocab[a + b] for a, b in merges}
         for time, (a, b) in enumerate(merges):
             x, y, xy = vocab[a], vocab[b], vocab[a + b]
-            if self.born[xy] < 0 and self._has(x, y, time):
+            if xy in unmade and x not in unmade and y not in unmade and self._has(x, y, time):
+                unmade.discard(xy)
                 self.cut[x << 20 | y] = time
                 self.left[xy], self.right[xy], self.born[xy] = x, y, time
-        self.spelt = {(t[: -len(END)] + "\0" if t.endswith(END) and len(t) > len(END) else t): i for t, i in vocab.items()}
+        self.spelt = {(t[: -len(END)] + "\0" if t.endswith(END) and len(t) > len(END) else t): i for t, i in vocab.items() if i not in unmade}
         #: length of the longest token with these first three symbols; without an entry, no token is longer than two
         self.reach: dict[str, int] = {}
         for t in self.spelt:

@@ -33,14 +33,15 @@ class ExactDedup:
         self.spark, self.path, self.digest, self.files = spark, path or folder(spark, "exact"), digest, files_per_batch
         self.rows = self.path + "/fingerprints"
 
-    def add(self, docs: DataFrame) -> "ExactDedup":
+    def add(self, docs: DataFrame, content: str = "documents") -> "ExactDedup":
+        """Folds documents in. content names the table that holds their texts; it and doc_id are the locator."""
         norm = normalised()
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             self.digest(norm).alias("digest"),
             F.sha2(norm, 256).alias("text_sha256"),
             F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"),
-            F.concat_ws("#", F.input_file_name(), F.col("doc_id").cast("string")).alias("locator"),
+            F.concat_ws("#", F.lit(content), F.col("doc_id").cast("string")).alias("locator"),
         ).withColumn("row", F.monotonically_increasing_id()).write.mode("append").parquet(self.rows)
         reader = self.spark.readStream.schema(self.spark.read.parquet(self.rows).schema)
         if self.files:
@@ -103,14 +104,14 @@ class ExactDedup:
         return df.select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "digest")
 
 
-def dedup(docs: DataFrame, **kinds) -> DataFrame:
+def dedup(docs: DataFrame, content: str = "documents", **kinds) -> DataFrame:
     """Which documents stay when equal texts are one: doc_id, keep_id, group_size, kept, text_sha256, digest.
 
     Texts are equal when they are so without [\\x20\\x09-\\x0D]. The longest original stays (code points), then the
     smallest doc_id; a null doc_id comes last. A null text counts as empty, and all empty texts are equal. Of rows that
     repeat a doc_id and text, one is kept. An empty table gives an empty result. Other columns of docs are ignored.
     """
-    return ExactDedup(docs.sparkSession, **kinds).add(docs).result(docs)
+    return ExactDedup(docs.sparkSession, **kinds).add(docs, content).result(docs)
 
 
 def deduplicated(docs: DataFrame, **kinds) -> DataFrame:

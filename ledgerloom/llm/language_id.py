@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import saved
+from .scratch import rows_with, saved
 from .textkernel import slices, text_bytes
 
 BINS = 1 << 15
@@ -96,11 +96,12 @@ def likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, letters long, n long, ll array<double>")
 
 
-def _soft(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores)
-    parts = [F.exp(s - top) for s in scores]
-    total = reduce(lambda a, b: a + b, parts)
-    return [p / total for p in parts]
+def _soft(df: DataFrame, scores: list[Column], name: str) -> DataFrame:
+    """Adds <name>0, <name>1, ...: probabilities in proportion to exp of the scores. Column by column, so that none is worked out twice."""
+    k = range(len(scores))
+    df = df.withColumns({f"_s{i}": s for i, s in enumerate(scores)}).withColumn("_top", F.greatest(*(f"_s{i}" for i in k)))
+    df = df.withColumns({f"_e{i}": F.exp(F.col(f"_s{i}") - F.col("_top")) for i in k}).withColumn("_sum", reduce(lambda a, b: a + b, (F.col(f"_e{i}") for i in k)))
+    return df.withColumns({f"{name}{i}": F.col(f"_e{i}") / F.col("_sum") for i in k}).drop("_top", "_sum", *(f"_{x}{i}" for x in "se" for i in k))
 
 
 def host_of(url: Column) -> Column:
@@ -140,7 +141,7 @@ def identify(
     model = train(plain, languages, F.col("declared"), F.col("id"), sample)
     found = saved(likelihoods(plain, model), "language-text")
     tempered = [F.col("ll")[i] * F.least(F.col("n"), F.lit(evidence)) for i in range(len(classes))]
-    told = found.where("n > 0").select("suffix", "host", *(p.alias(f"p{i}") for i, p in enumerate(_soft(tempered))))
+    told = _soft(found.where("n > 0"), tempered, "p")
     hosts = saved(told.groupBy("suffix", "host").agg(F.count("*").alias("n"), *(F.sum(f"p{i}").alias(f"p{i}") for i in range(len(classes)))), "language-hosts")
     sums = [F.sum("n").alias("n"), *(F.sum(f"p{i}").alias(f"p{i}") for i in range(len(classes)))]
     total = hosts.agg(*sums).first()
@@ -152,13 +153,12 @@ def identify(
     said = [F.when(F.col("declared").isin(list(languages)), F.when(F.col("declared") == k, F.log(F.lit(trust))).otherwise(F.log(F.lit(wrong)))).otherwise(0.0) for k in languages]
     said.append(F.when(F.col("declared").isin(list(languages)), F.log(F.lit(wrong))).otherwise(0.0))
     joined = found.join(prior, "host", "left")
-    parts = _soft([t + s + F.coalesce(F.col(f"h{i}"), F.lit(float(np.log(flat[i])))) for i, (t, s) in enumerate(zip(tempered, said, strict=True))])
-    best = F.array_max(F.array(*(F.struct(p.alias("p"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, (p, k) in enumerate(zip(parts, classes, strict=True)))))
+    joined = _soft(joined, [t + s + F.coalesce(F.col(f"h{i}"), F.lit(float(np.log(flat[i])))) for i, (t, s) in enumerate(zip(tempered, said, strict=True))], "p")
+    best = F.array_max(F.array(*(F.struct(F.col(f"p{i}").alias("p"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, k in enumerate(classes))))
     out = joined.withColumn("best", best).select(F.col("id").alias(id_col), F.when(F.col("letters") > 0, F.col("best.k")).otherwise(OTHER).alias("language"), F.when(F.col("letters") > 0, F.col("best.p")).otherwise(1.0).alias("posterior"))
     return out.withColumn("kept", (F.col("language") != OTHER) & (F.col("posterior") >= least))
 
 
 def accepted(docs: DataFrame, **kinds) -> DataFrame:
     """The rows of docs whose language is known, whole; of rows that repeat a doc_id all stay if one does."""
-    stay = identify(docs, **kinds).where("kept").select(F.col("doc_id").alias("stay_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")), "left_semi")
+    return rows_with(docs, identify(docs, **kinds).where("kept").select(F.col("doc_id").cast("long")).distinct())

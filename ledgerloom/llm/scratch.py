@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -25,6 +26,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rows_with(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """Whole rows of docs whose doc_id (long) is among stay's one column; rows are packed, so no name of theirs matters."""
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_key"))
+    return packed.join(stay.toDF("_stay"), F.col("_key").eqNullSafe(F.col("_stay")), "left_semi").select("_row.*")
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str):
     """Session settings for the time of one job, given with __ for each dot."""
