@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import folder, saved, settings
+from .scratch import done, folder, remove, saved, settings
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -83,12 +83,15 @@ class ExactDedup:
         if not rows.head(1):
             return self._shape(rows.withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)}))
         # written, so that the join's sides come straight from shuffles and a hot digest's rows can be split
-        found = saved(rows.join(saved(self.state(), "exact-state"), "digest").withColumn("kept", F.col("row") == F.col("keep_row")), "exact-found")
+        last = saved(self.state(), "exact-state")
+        found = saved(rows.join(last, "digest").withColumn("kept", F.col("row") == F.col("keep_row")), "exact-found")
+        done(last)
         several = found.where("group_size > 1").select(F.col("doc_id").alias("several_id")).distinct()
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("norm"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"))
         texts = texts.join(several, F.col("doc_id").eqNullSafe(F.col("several_id")), "left_semi").withColumn("digest", self.digest(F.col("norm")))
         unlike = saved(texts.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).where("a <> b").select("digest"), "exact-unlike")
         if not unlike.head(1):
+            done(unlike)
             return self._shape(found)
         # Unequal texts under one digest are grouped again, by their full bytes.
         again = saved(texts.join(unlike, "digest", "left_semi").withColumn("row", F.monotonically_increasing_id()), "exact-again")
@@ -111,7 +114,10 @@ def dedup(docs: DataFrame, content: str = "documents", **kinds) -> DataFrame:
     smallest doc_id; a null doc_id comes last. A null text counts as empty, and all empty texts are equal. Of rows that
     repeat a doc_id and text, one is kept. An empty table gives an empty result. Other columns of docs are ignored.
     """
-    return ExactDedup(docs.sparkSession, **kinds).add(docs, content).result(docs)
+    state = ExactDedup(docs.sparkSession, **kinds).add(docs, content)
+    out = saved(state.result(docs), "exact")
+    remove(docs.sparkSession, state.path)
+    return out
 
 
 def deduplicated(docs: DataFrame, **kinds) -> DataFrame:

@@ -23,7 +23,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet and reads it: cuts lineage, survives lost executors, and gives Spark true sizes."""
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders through the file system they lie in."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def done(*tables: DataFrame) -> None:
+    """Deletes tables of saved() that nothing will read again."""
+    for t in tables:
+        remove(t.sparkSession, t.scratch_path)
 
 
 def rows_with(docs: DataFrame, stay: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .scratch import saved
+from .scratch import done, saved
 
 BINS = 4096
 DIMS = ("c_size", "c_lang", "c_source", "c_id")
@@ -122,6 +122,7 @@ def shard(docs: DataFrame, shards: int = 24, together: float = 0.005) -> DataFra
     groups = saved(groups, "shard-groups")  # so that a large group's rows can be split in the join
     piece = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("pieces"))
     points = saved(rows.join(groups, ["h1", "h2", "size"]).select("doc_id", "size", "text_crc32", *DIMS, F.xxhash64("h1", "h2", piece).alias("tie")), "shard-points")
+    done(rows, groups)
     tree = Node(0, shards)
     level = [tree]
     while level := [n for n in level if n.count > 1]:
@@ -131,6 +132,7 @@ def shard(docs: DataFrame, shards: int = 24, together: float = 0.005) -> DataFra
         points.select("doc_id", "size", "text_crc32", _leaf(tree).alias("shard")).sortWithinPartitions("shard").withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)),
         "shard-placed",
     )
+    done(points)
     runs = placed.groupBy("part", "shard").agg(F.count("*").alias("n"), F.min("at").alias("low"))
     before = F.sum("n").over(W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     runs = saved(runs.select("part", "shard", (F.coalesce(before, F.lit(0)) - F.col("low")).alias("shift")), "shard-runs")
