@@ -65,6 +65,29 @@ def train(docs: DataFrame, languages: Sequence[str], declared: Column, key: Colu
     return np.vstack([model, np.full(BINS, -np.log(BINS))]).T.astype(np.float32).copy()
 
 
+#: bytes looked at in one go, inside one text too
+STEP = 1 << 18
+
+
+def _summed(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the number of its trigrams and their log likelihoods summed by class."""
+    n, total = np.zeros(len(offs) - 1, np.int64), np.zeros((len(offs) - 1, table.shape[1]))
+    across = np.sort(np.concatenate([offs[1:-1] - 1, offs[1:-1] - 2]))  # these trigrams would reach into the next text
+    end = max(0, len(raw) - 2)
+    for a in range(0, end, STEP):
+        z = min(a + STEP, end)
+        bins, ok = _trigrams(raw[a : z + 2])
+        ok[across[np.searchsorted(across, a) : np.searchsorted(across, z)] - a] = False
+        seen, run = np.zeros(z - a + 1, np.int64), np.zeros((z - a + 1, table.shape[1]))
+        np.cumsum(ok, out=seen[1:])
+        np.cumsum(table[bins] * ok[:, None], axis=0, out=run[1:])
+        first, last = np.searchsorted(offs, a, "right") - 1, np.searchsorted(offs, z, "left")
+        at = np.clip(offs[first : last + 1], a, z) - a
+        n[first:last] += np.diff(seen[at])
+        total[first:last] += np.diff(run[at], axis=0)
+    return n, total
+
+
 def likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
     """Adds letters, n (trigrams) and ll (mean log likelihood of each class) to rows that begin with text; the text goes."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # BINS rows, fixed
@@ -72,26 +95,14 @@ def likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for x in batches:
-            for a, z in slices(x.column(0), 1 << 20):
+            for a, z in slices(x.column(0)):
                 b = x.slice(a, z - a)
                 raw, offs = text_bytes(b.column(0))
-                m = max(0, len(raw) - 2)
-                total, n = np.zeros((m + 1, table.shape[1])), np.zeros(m + 1, np.int64)
-                if m:
-                    bins, ok = _trigrams(raw)
-                    inner = offs[1:-1]
-                    for k in (1, 2):  # none across two texts
-                        at = inner - k
-                        ok[at[(at >= 0) & (at < m)]] = False
-                    n[1:] = np.cumsum(ok)
-                    np.cumsum(table[bins] * ok[:, None], axis=0, out=total[1:])
-                first, last = np.minimum(offs[:-1], m), np.minimum(offs[1:], m)
-                size = n[last] - n[first]
+                n, total = _summed(raw, offs, shared.value)
                 solid = np.concatenate([[0], np.cumsum(_CLASS[raw] != 32)])
-                mean = (total[last] - total[first]) / np.maximum(size, 1)[:, None]
-                yield pa.record_batch([*(b.column(i + 1) for i in range(len(rest))), pa.array(np.diff(solid[offs]), pa.int64()), pa.array(size, pa.int64()), pa.FixedSizeListArray.from_arrays(mean.ravel(), mean.shape[1]).cast(pa.list_(pa.float64()))], [*rest, "letters", "n", "ll"])
+                mean = total / np.maximum(n, 1)[:, None]
+                yield pa.record_batch([*(b.column(i + 1) for i in range(len(rest))), pa.array(np.diff(solid[offs]), pa.int64()), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(mean.ravel(), mean.shape[1]).cast(pa.list_(pa.float64()))], [*rest, "letters", "n", "ll"])
 
     return rows.mapInArrow(run, f"{kinds}, letters long, n long, ll array<double>")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import saved
-from .textkernel import slices, text_bytes, windows, words_of
+from .textkernel import WHITE, slices, text_bytes, windows, words_of
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_lines", "n_caps", "n_digits"]
 _SYMBOL = np.zeros(256, bool)
@@ -50,15 +50,20 @@ def _repeated(words: np.ndarray, size: int = 8) -> int:
     return int((np.cumsum(cover)[:-1] > 0).sum())
 
 
+def _per_text(marks: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Marked bytes of each text."""
+    out, full = np.zeros(len(offs) - 1, np.int64), offs[1:] > offs[:-1]
+    if full.any():
+        out[full] = np.add.reduceat(marks, offs[:-1][full], dtype=np.int64)
+    return out
+
+
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in (x.slice(a, z - a) for x in batches for a, z in slices(x.column(1))):
         raw, offs = text_bytes(b.column(1))
         hashes, starts, ends, at = words_of(raw, offs)
-        points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-        runs = {"n_symbols": _SYMBOL[raw], "n_caps": (raw >= 65) & (raw <= 90), "n_digits": (raw >= 48) & (raw <= 57)}
-        out = {k: np.diff(np.concatenate([[0], np.cumsum(v)])[offs]) for k, v in runs.items()}
-        chars = np.concatenate([[0], np.cumsum(points[ends] - points[starts])])
-        out |= {"n_words": np.diff(at), "word_chars": np.diff(chars[at])}
+        runs = {"n_symbols": _SYMBOL[raw], "n_caps": (raw >= 65) & (raw <= 90), "n_digits": (raw >= 48) & (raw <= 57), "word_chars": ((raw & 0xC0) != 0x80) & ~WHITE[raw]}
+        out = {k: _per_text(v, offs) for k, v in runs.items()} | {"n_words": np.diff(at)}
         rows = [(*_lines(raw, offs[i], offs[i + 1], starts[at[i] : at[i + 1]], ends[at[i] : at[i + 1]]), _repeated(h := hashes[at[i] : at[i + 1]]), len(np.unique(h))) for i in range(len(offs) - 1)]
         n_lines, dup, rep, distinct = (np.array(x, np.int64) for x in (zip(*rows, strict=True) if rows else ([], [], [], [])))
         out |= {"n_lines": n_lines, "n_dup_lines": dup, "n_repeat_words": rep, "n_distinct": distinct}
