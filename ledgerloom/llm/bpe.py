@@ -121,7 +121,7 @@ class WordBpe:
     """A tokenizer file with NFC, white space dropped, lower case, byte symbols and word ends; words meet the automaton."""
 
     #: chunks remembered by one Python worker in each of two generations; results do not depend on it
-    REMEMBER = 500_000
+    REMEMBER = 150_000
 
     def __init__(self, spec: dict):
         model = spec["model"]
@@ -176,6 +176,8 @@ class WordBpe:
         """Ids as little-endian unsigned 32-bit integers; chunks between spaces are looked up."""
         if len(self.known) > self.REMEMBER:
             self.known, self.older = {}, self.known
+        if len(self.automaton.table) > 2 * self.REMEMBER:
+            self.automaton.table.clear()
         known, chunk = self.known, self._chunk
         parts = []
         for x in (text or "").replace("\n", " ").split(" "):

@@ -60,7 +60,7 @@ class ExactDedup:
             spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
             spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
             spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
-            spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="256",
+            spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="64",
         ):
             keyed.writeStream.outputMode("update").foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", self.path + "/state").start().awaitTermination()
         return self

@@ -125,7 +125,7 @@ def windows(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
-def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs of rows with about `limit` bytes of text, one row at least, so that a batch's arrays stay small."""
     _, offs = text_bytes(column)
     at, n = 0, len(column)
