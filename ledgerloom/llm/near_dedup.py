@@ -4,8 +4,9 @@ Equal sets are one set from the start. Each of several independent trees sends a
 by its minwise tokens at one or two chosen coordinates, 1 / similarity of them on average, so that a pair at the
 threshold is expected in one child a level while unlike sets part. Nodes too large for a task are split by a shuffle,
 level by level; smaller ones are split further inside a task, and small nodes compare all their sketches. The pairs that
-pass a lenient sketch test form candidate groups; a group that fits a task is searched exhaustively over the full sets,
-a larger one has its pairs confirmed one by one. Every link rests on full sets.
+pass a lenient sketch test form candidate groups, and nodes that stay large at the last level are each in one group as a
+whole. A group is searched exhaustively over the full sets: inside a task where it fits; else its pairs are confirmed,
+and all sets that are still apart meet in blocks, a task for two blocks. Every link rests on full sets.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -32,7 +33,8 @@ class Plan:
     with 1e-8, and is then still linked where its group is searched. coordinates: length of a sketch; agree: least number
     of equal coordinates of a candidate pair (a pair at 0.85 has fewer than 84 of 128 with probability 1e-8).
     node: sets of one node inside one task; small: sets compared all with all.
-    group, group_bytes: documents and bytes of text of a group that one task searches.
+    group, group_bytes: documents and bytes of text of a group that one task searches; two blocks hold as much.
+    hubs: sets of a large group that all others meet before blocks do; they only save work.
     """
 
     percent: int = 85
@@ -45,6 +47,7 @@ class Plan:
     small: int = 48
     group: int = 4096
     group_bytes: int = 6_000_000
+    hubs: int = 8
 
 
 _SEED = np.random.default_rng(715)
@@ -151,9 +154,10 @@ def _descend(tree: int, level: int, node: int, ids: np.ndarray, sk: np.ndarray,
         if len(rows) <= plan.small:
             yield _pairs_within(ids[rows], sk[rows], plan)
             continue
-        if lv >= plan.depth:  # alike in that many coordinates: each against one, and against its neighbours in order
+        if lv >= plan.depth:  # alike in that many coordinates: one group whole, and likely links between neighbours in order
+            yield np.full(len(rows) - 1, ids[rows].min()), np.sort(ids[rows])[1:]
             line = rows[np.lexsort(sk[rows][:, ::-1].T[-8:])]
-            for a, z in ((np.full(len(line) - 1, line[0]), line[1:]), *((line[:-k], line[k:]) for k in range(1, 9))):
+            for a, z in ((line[:-k], line[k:]) for k in range(1, 9)):
                 ok = (sk[a] == sk[z]).sum(1) >= plan.agree
                 yield ids[a[ok]], ids[z[ok]]
             continue
@@ -292,6 +296,123 @@ def _confirm(plan: Plan):
     return run
 
 
+def links_across(left: list[np.ndarray], right: list[np.ndarray], parts: np.ndarray, others: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (index in left, index in right) that join all parts which some link joins; parts, others: what is joined already."""
+    sizes = np.array([len(s) for s in right])
+    token, code = np.unique(np.concatenate(right), return_inverse=True)
+    posted = np.repeat(np.arange(len(right)), sizes)[np.argsort(code, kind="stable")]
+    start = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(token)))])
+    _, label = np.unique(np.concatenate([parts, others]), return_inverse=True)
+    mine, theirs = label[: len(left)], label[len(left) :]
+    out = []
+    for u, s in enumerate(left):
+        if (theirs == mine[u]).all():
+            continue
+        at = np.minimum(np.searchsorted(token, s), len(token) - 1)
+        at = at[token[at] == s]
+        if not len(at):
+            continue
+        shared = np.bincount(np.concatenate([posted[start[c] : start[c + 1]] for c in at]), minlength=len(right))
+        near = np.flatnonzero((theirs != mine[u]) & (100 * shared >= percent * (sizes + len(s) - shared)))
+        for v in near:
+            if theirs[v] != mine[u]:
+                out.append((u, int(v)))
+                label[label == theirs[v]] = mine[u]
+    return out
+
+
+def _across(plan: Plan):
+    """A task over rows (job, side, id, part, text) that lie together by job: links (a, b) of two blocks, or within one."""
+
+    def answer(sides: list[int], ids: list[int], parts: list[int], texts: list[str]) -> pa.RecordBatch:
+        sets = list(shingle_sets(pa.array(texts, pa.large_string()), plan.size))
+        ids, parts = np.array(ids), np.array(parts)
+        here = [np.flatnonzero(np.array(sides) == k) for k in (0, 1)]
+        x, y = here[0], here[1] if len(here[1]) else here[0]
+        got = links_across([sets[i] for i in x], [sets[i] for i in y], parts[x], parts[y], plan.percent) if len(x) else []
+        return pa.record_batch({"a": pa.array([ids[x[u]] for u, _ in got], pa.int64()), "b": pa.array([ids[y[v]] for _, v in got], pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        job, held = None, ([], [], [], [])
+        for b in batches:
+            for j, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if j != job and held[0]:
+                    yield answer(*held)
+                    held = ([], [], [], [])
+                job = j
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
+        if held[0]:
+            yield answer(*held)
+
+    return run
+
+
+def _joined(texts: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component, part): what links join within the groups of texts (node, component, ..)."""
+    part = components(links).select("node", F.col("component").alias("part"))
+    return saved(texts.select("node", "component", "n_shingles", "bytes").join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "near-parts")
+
+
+def _open(state: DataFrame) -> DataFrame:
+    """state's groups of several parts, each row with `main`: whether it is of the group's largest part."""
+    parts = saved(state.groupBy("component", "part").agg(F.count("*").alias("n")), "near-sizes")
+    groups = parts.groupBy("component").agg(F.max_by("part", F.struct("n", "part")).alias("largest"), F.count("*").alias("k")).where("k > 1")
+    return saved(state.join(groups, "component").withColumn("main", F.col("part") == F.col("largest")).drop("largest", "k"), "near-open")
+
+
+def all_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+    """Links (a, b) that join what any links join within groups too large for a task.
+
+    texts: node, component (its group), text, n_shingles, bytes. First the candidate pairs are confirmed; then all other
+    sets of a group meet those with most links; then each set outside the group's largest part meets all of the group
+    that are near in size, block by block, so that no pair of sets which could still join two parts is left out.
+    """
+
+    def confirmed(some: DataFrame) -> DataFrame:
+        side = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias("t" + n))
+        both = some.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+        return saved(both.mapInArrow(_confirm(plan), "a long, b long"), "near-links")
+
+    links = confirmed(pairs)
+    state = _joined(texts, links)
+    apart = _open(state)
+    if not apart.head(1):
+        return links
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    best = apart.join(degree, "node").groupBy("component", "part").agg(F.max_by("node", F.struct("links", "node")).alias("hub"), F.max("links").alias("links"))
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("component").orderBy(F.desc("links"), "hub"))).where(F.col("rank") <= plan.hubs)
+    hubs = saved(best.select("component", F.col("part").alias("hub_part"), "hub"), "near-hubs")
+    meet = saved(apart.where("not main").join(hubs, "component").where("part <> hub_part").select(F.col("hub").alias("a"), F.col("node").alias("b")), "near-meet")
+    links = links.unionByName(confirmed(meet))
+    done(state, apart, hubs, meet)
+    state = _joined(texts, links)
+    apart = _open(state)
+    done(state)
+    if not apart.head(1):
+        return links
+    # sets whose sizes are two steps apart are not linked; the base is a percent wider, so that rounding loses none
+    step = F.floor(F.log("n_shingles") / float(np.log(100 / (plan.percent - 1)))).cast("int")
+    rest = apart.withColumn("step", step)
+    most = F.greatest(F.ceil(2 * F.count("*") / plan.group), F.ceil(2 * F.sum("bytes") / plan.group_bytes), F.lit(1)).cast("int")
+    cells = saved(rest.groupBy("component", "step", "main").agg(most.alias("blocks")), "near-cells")
+    rows = rest.join(cells, ["component", "step", "main"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = cells.select("component", "step", "main", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    x = blocks.where("not main").select("component", F.col("step").alias("x_step"), F.col("block").alias("x_block"))
+    y = blocks.select("component", F.col("step").alias("y_step"), F.col("block").alias("y_block"), "main")
+    order = F.struct("x_step", "x_block") <= F.struct("y_step", "y_block")
+    jobs = x.join(y, "component").where((F.abs(F.col("x_step") - F.col("y_step")) <= 1) & (F.col("main") | order))
+    jobs = saved(jobs.withColumn("job", F.concat_ws(" ", "component", "x_step", "x_block", "y_step", "y_block", F.col("main").cast("string"))), "near-jobs")
+    itself = ~F.col("main") & (F.col("x_step") == F.col("y_step")) & (F.col("x_block") == F.col("y_block"))
+    one = jobs.select("component", F.col("x_step").alias("step"), F.lit(False).alias("main"), F.col("x_block").alias("block"), "job", F.lit(0).alias("side"))
+    two = jobs.where(~itself).select("component", F.col("y_step").alias("step"), "main", F.col("y_block").alias("block"), "job", F.lit(1).alias("side"))
+    rows = saved(rows.select("node", "component", "step", "main", "block", "part").join(texts.select("node", "text"), "node"), "near-blocks")
+    met = rows.join(one.unionByName(two), ["component", "step", "main", "block"]).select("job", "side", F.col("node").alias("id"), "part", "text")
+    more = saved(met.repartition("job").sortWithinPartitions("job").mapInArrow(_across(plan), "a long, b long"), "near-links")
+    done(apart, cells, jobs, rows)
+    return links.unionByName(more)
+
+
 def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs.
 
@@ -307,7 +428,8 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     sets = saved(classes.select("s1", "s2", "n_shingles", F.col("of.doc_id").alias("id"), F.col("of.sketch").alias("sketch"), F.col("of.bytes").alias("bytes")), "near-sets")
     pairs = candidates(sets.select("id", "sketch"), plan)
     groups = saved(components(pairs), "near-groups")
-    sized = groups.join(sets.select(F.col("id").alias("node"), "bytes"), "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("bytes").alias("total"))
+    of_node = sets.select(F.col("id").alias("node"), "n_shingles", "bytes")
+    sized = groups.join(of_node, "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("bytes").alias("total"))
     fits = (F.col("n") <= plan.group) & (F.col("total") <= plan.group_bytes)
     member = saved(groups.join(sized.select("component", fits.alias("fits")), "component"), "near-members")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
@@ -316,10 +438,9 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     links = inside.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     beyond = member.where("not fits")
     if beyond.head(1):
-        of = texts.where("not fits")
-        apart = pairs.join(beyond.select(F.col("node").alias("a")), "a", "left_semi")
-        both = apart.join(of.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(of.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        links = links.unionByName(components(both.mapInArrow(_confirm(plan), "a long, b long")).select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b"))
+        large = texts.where("not fits").join(of_node, "node").select("node", "component", "text", "n_shingles", "bytes")
+        found = all_links(pairs.join(beyond.select(F.col("node").alias("a")), "a", "left_semi"), large, plan)
+        links = links.unionByName(components(found).select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b"))
     root = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
     named = sets.select("s1", "s2", "n_shingles", "id").join(root, "id", "left").select("s1", "s2", "n_shingles", F.coalesce("root", "id").alias("component_id"))
     named = saved(named, "near-named")

@@ -173,3 +173,21 @@ def test_queries_match_sql(spark, sf, name):
     from oracle import compare
 
     compare(spark, sf, QUERIES[name], ORACLES[name])
+
+
+def star(n, far=0):
+    """An original and copies with one word changed, each linked to it alone: J 0.90 to it, 0.81 to each other."""
+    r, base = random.Random(9), words(70, 100)
+    rows = [(10**6, " ".join(base))]
+    for i in range(n):
+        t = [*base]
+        t[10 + r.randrange(80)] = f"s{i}"
+        rows.append((i, " ".join(t)))
+    return rows + [(2 * 10**6 + i, " ".join(words(3000 + i, 100))) for i in range(far)]
+
+
+def test_near_on_a_large_star(spark):
+    rows = star(5000, 50)
+    got = {r.doc_id: r.component_id for r in N.near_groups(table(spark, rows)).collect()}
+    assert {d for d, c in got.items() if c == 0} == {d for d, _ in rows if d <= 10**6}
+    assert all(c == d for d, c in got.items() if d > 10**6)
