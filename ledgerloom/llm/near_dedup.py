@@ -225,7 +225,7 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
         large = many.where(F.col("n") > plan.node).select("tree", "node", "id", "sketch")
         if not large.head(1):
             break
-        if level >= plan.depth:  # as alike as that: each against the node's least document
+        if level >= plan.depth:  # as alike as that: one group whole, in which all_links leaves out no pair
             low = large.groupBy("node").agg(F.min("id").alias("a"))
             found.append(large.join(low, "node").where("id <> a").select("a", F.col("id").alias("b")))
             break

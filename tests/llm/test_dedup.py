@@ -191,3 +191,18 @@ def test_near_on_a_large_star(spark):
     got = {r.doc_id: r.component_id for r in N.near_groups(table(spark, rows)).collect()}
     assert {d for d, c in got.items() if c == 0} == {d for d, _ in rows if d <= 10**6}
     assert all(c == d for d, c in got.items() if d > 10**6)
+
+
+def test_near_in_a_node_that_stays_large(spark):
+    plan = N.Plan(trees=1, depth=1, node=2, group=2)
+    for seed in range(100):
+        base = words(seed, 100)
+        x, y, z = [*base], [*base], [*base]
+        y[99] = x[30] = x[60] = y[30] = y[60] = "other"
+        z[10] = z[80] = "own"
+        rows = [(3, " ".join(x)), (2, " ".join(y)), (1, " ".join(z))]
+        sk = np.array([N.sketch(s, plan.coordinates) for s in N.shingle_sets(N.pa.array([t for _, t in rows]))])
+        if (sk[:, :2] == sk[0, :2]).all():
+            break
+    got = N.near_groups(table(spark, rows), plan).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_near(rows) and {r.component_id for r in got} == {1, 2}
