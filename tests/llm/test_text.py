@@ -331,3 +331,31 @@ def test_pipeline(spark, sf):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
+
+
+def test_near_stage_against_brute_force(spark, sf):
+    import random
+
+    import corpus_pipeline as P
+    from messy import words
+
+    r, rows = random.Random(12), []
+    for g in range(6):
+        base = words(800 + g, 100)
+        rows.append((100 * g, " ".join(base)))
+        for i in range(1, 12):
+            t = [*base]
+            for at in r.sample(range(5, 95), r.choice([1, 2, 2, 3])):
+                t[at] = f"n{g} {i}".replace(" ", "x")
+            rows.append((100 * g + i, " ".join(t)))
+    rows += [(1000, " ".join(words(900, 100))), (1001, " ".join([*words(900, 100)[:30], "a", *words(900, 100)[31:70], "b", *words(900, 100)[71:]]))]
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in rows)}
+    assert 80 <= 100 * len(sets[1000] & sets[1001]) / len(sets[1000] | sets[1001]) < 85
+    least = {d: d for d in sets}
+    for _ in sets:
+        for x in sets:
+            for y in sets:
+                if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                    least[x] = least[y] = min(least[x], least[y])
+    got = {x.doc_id for x in P.near(spark, table(spark, rows), sf).collect()}
+    assert got == {d for d in sets if least[d] == d} and 1001 not in got
