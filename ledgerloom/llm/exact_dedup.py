@@ -36,13 +36,17 @@ class ExactDedup:
     def add(self, docs: DataFrame, content: str = "documents") -> "ExactDedup":
         """Folds documents in. content names the table that holds their texts; it and doc_id are the locator."""
         norm = normalised()
+        # rows are numbered after those of earlier batches, so that a number names one row of the state's folder
+        there = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.rows)
+        known = there.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
+        last = self.spark.read.parquet(self.rows).agg(F.max("row")).first()[0] if known else None
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             self.digest(norm).alias("digest"),
             F.sha2(norm, 256).alias("text_sha256"),
             F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"),
             F.concat_ws("#", F.lit(content), F.col("doc_id").cast("string")).alias("locator"),
-        ).withColumn("row", F.monotonically_increasing_id()).write.mode("append").parquet(self.rows)
+        ).withColumn("row", F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1)).write.mode("append").parquet(self.rows)
         reader = self.spark.readStream.schema(self.spark.read.parquet(self.rows).schema)
         if self.files:
             reader = reader.option("maxFilesPerTrigger", self.files)

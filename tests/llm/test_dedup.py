@@ -206,3 +206,10 @@ def test_near_in_a_node_that_stays_large(spark):
             break
     got = N.near_groups(table(spark, rows), plan).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_near(rows) and {r.component_id for r in got} == {1, 2}
+
+
+def test_state_keeps_one_row_over_batches(spark):
+    rows, state = [(1, "same text"), (2, "same text"), (3, "other")], E.ExactDedup(spark)
+    for row in rows:
+        state.add(table(spark, [row]).coalesce(1))
+    assert sorted((r.doc_id, r.kept) for r in state.result(table(spark, rows)).collect()) == [(1, True), (2, False), (3, True)]
