@@ -1,8 +1,11 @@
 """Main text of web pages: flat text blocks, classified by a decision tree over themselves and their neighbours.
 
-A page is cut into blocks at block-level tags. A block knows its words, its share of words inside links, the same of the
-blocks before and after it, and what its enclosing elements say of themselves. A decision tree, grown here from the small
-labelled table below, tells main text from the rest.
+A page is cut into blocks at block-level tags, in one pass over its characters. A block knows its words, its share of
+words inside links, the same of the blocks before and after it, and what the elements around it say of themselves. A
+decision tree, grown here from the small labelled pages below, tells main text from the rest.
+
+What an element says (nav, footer, a class named sidebar) holds for what lies in it, unless it is itself around the
+page's article: an element that holds the main <article> or <main>, or without those nearly all plain words, says nothing.
 """
 
 from __future__ import annotations
@@ -16,18 +19,58 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .textkernel import slices
+
 # HTML element names by their role in a page.
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template iframe object svg math canvas audio video textarea select button head title".split())
-RAW = frozenset("script style textarea title noscript iframe".split())
+SILENT = frozenset("noscript template object svg annotation canvas audio video select button".split())
+RAW = frozenset("script style textarea title iframe".split())
 BARRED = frozenset("nav footer aside form menu dialog header".split())
 MAIN = frozenset("article main".split())
-#: names in class, id and role that mark what is not the article
-ASIDE = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|footer|header|masthead|comments?|comment-?list|replies|reply|discussion|disqus|respond|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommend(?:ed|ations)?|widget|toolbar|pagination|pager|tags?|complementary|contentinfo)(?:$|[\s_-])")
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)", re.S)
-_ATTR = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: an open one of these ends where the next of its kind begins
+REPEATED = frozenset("p li td th tr dd dt option".split())
+#: names in class, id and role that mark what is not the article, alone or as the first or last word of a longer name
+NAMES = frozenset(
+    """ad ads advert adverts advertisement advertising banner sponsor sponsored promo promos promotion nav navbar navigation menu
+    breadcrumb breadcrumbs sidebar footer masthead comment comments commentlist replies reply discussion disqus respond cookie cookies
+    consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended
+    recommendations widget widgets toolbar pagination pager tags complementary contentinfo""".split()
+)
+#: the same, but only as a whole name
+WHOLE = frozenset("header search tag".split())
+#: words by which a longer name speaks of a state or of the page's layout
+STATE = frozenset("has no not is with without open opened close closed fixed enabled disabled on off single multi".split())
+
+# Possessive throughout, so that no character of a page is looked at again by a match that fails.
+_TAG = re.compile(r"""<(?:!--(?:-?>|.*?--!?>)|[!?][^>]*+>|/(?![a-zA-Z])[^>]*+>|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>)""", re.S)
+_START = re.compile(r"<[a-zA-Z/!?]")
+_ATTR = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+""")
+_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 _SPACE = re.compile(r"\s+")
+_LONG_NUMBER = re.compile(r"&#([xX]?)([0-9a-fA-F]{9,});?")
+_WORD_IN_NAME = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
+
+
+def _decoded(raw: str) -> str:
+    if "&" not in raw:
+        return raw
+    if "&#" in raw:  # numbers beyond any character, however long
+        raw = _LONG_NUMBER.sub(lambda m: f"&#{m[1]}{m[2].lstrip('0')[:8] or '0'};", raw)
+    return html.unescape(raw)
+
+
+def marks(labels: str) -> bool:
+    """Whether a class, id or role names something that is not the article."""
+    for name in labels.split():
+        low = name.lower()
+        if low in NAMES or low in WHOLE:
+            return True
+        parts = [x.lower() for x in _WORD_IN_NAME.findall(name)]
+        if len(parts) > 1 and (parts[0] in NAMES or parts[-1] in NAMES) and not STATE.intersection(parts):
+            return True
+    return False
 
 
 @dataclass
@@ -35,207 +78,186 @@ class Block:
     text: str
     words: int
     linked: int
+    heading: bool
+    box: int
+    label: bool
+
+
+@dataclass
+class Box:
+    """An element that says something of what it holds; boxes are numbered in page order, so a parent comes first."""
+
+    parent: int
     main: bool
     barred: bool
-    heading: bool
+    marked: bool
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(raw)} if raw.strip(" /") else {}
 
 
 def _hidden(attrs: dict[str, str]) -> bool:
     return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order; unclosed and misplaced tags are taken as browsers take them, more or less."""
-    out: list[Block] = []
-    open_: list[tuple[str, bool, bool, bool]] = []  # name, says it is aside, is hidden, is a heading
-    parts: list[str] = []
-    linked: list[str] = []
-    state = {"link": 0}
-
-    def flush() -> None:
-        text = _SPACE.sub(" ", "".join(parts)).strip()
+class _Page:
+    """Open elements of a page while it is read; all that is asked of them is kept as counts, so each tag costs the same."""
+
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.boxes: list[Box] = []
+        # name, index of the box, hidden elements, headings, label, blocks up to and with this one
+        self.open: list[tuple[str, int, int, int, int, int]] = []
+        self.where: dict[str, list[int]] = {}
+        self.link = -1  # index of the open link
+        self.parts: list[str] = []
+        self.linked: list[str] = []
+        self.top = ("", -1, 0, 0, 0, 0)
+
+    def flush(self) -> None:
+        if not self.parts:
+            return
+        text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            names = {x[0] for x in open_}
-            inside = len(_SPACE.sub(" ", "".join(linked)).split())
-            words = len(text.split())
-            heading = any(x[3] for x in open_)
-            out.append(Block(text, words, min(inside, words), bool(names & MAIN), any(x[1] for x in open_), heading))
-        parts.clear()
-        linked.clear()
-
-    def say(raw: str) -> None:
-        if raw and not any(x[2] for x in open_):
-            text = html.unescape(raw)
-            parts.append(text)
-            if state["link"]:
-                linked.append(text)
-
-    at, n = 0, len(page)
+            words = text.count(" ") + 1
+            linked = min(len("".join(self.linked).split()), words) if self.linked else 0
+            self.blocks.append(Block(text, words, linked, self.top[3] > 0, self.top[1], self.top[4] > 0))
+        self.parts.clear()
+        self.linked.clear()
+
+    def say(self, raw: str) -> None:
+        if raw and not self.top[2]:
+            text = _decoded(raw)
+            self.parts.append(text)
+            if self.link >= 0:
+                self.linked.append(text)
+
+    def cut(self, at: int) -> None:
+        """Closes the open elements from this index on."""
+        for i in range(len(self.open) - 1, at - 1, -1):
+            self.where[self.open[i][0]].pop()
+        del self.open[at:]
+        if self.link >= at:
+            self.link = -1
+        self.top = self.open[-1] if self.open else ("", -1, 0, 0, 0, 0)
+
+    def end(self, name: str) -> None:
+        places = self.where.get(name)
+        if not places:
+            return
+        at = places[-1]
+        if name == "a":
+            self.link = -1
+            if self.top[5] > self.open[at][5]:  # blocks opened in the link stay open
+                return
+        self.cut(at)
+
+    def start(self, name: str, raw: str) -> None:
+        places = self.where.get(name)
+        if name in REPEATED and places:
+            at = places[-1]
+            if self.top[5] == self.open[at][5]:  # only inline elements were left open in it
+                self.cut(at)
+        _, box, hidden, headings, label, blocks = self.top
+        attrs = _attributes(raw)
+        hidden += name in SILENT or (bool(attrs) and _hidden(attrs))
+        marked = bool(attrs) and marks(f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}")
+        main = name in MAIN and not marked
+        barred = name in BARRED and not (name == "header" and any(self.where.get(m) for m in MAIN))
+        if main or barred or marked:
+            self.boxes.append(Box(box, main, barred, marked))
+            box = len(self.boxes) - 1
+        if name == "a":
+            self.link = len(self.open)
+        self.top = (name, box, hidden, headings + (name in HEADING), int(attrs[LABEL] == "1") if LABEL in attrs else label, blocks + (name in BLOCK and name != "p"))
+        self.where.setdefault(name, []).append(len(self.open))
+        self.open.append(self.top)
+
+
+def parsed(page: str) -> _Page:
+    """Blocks with text, in page order, and the boxes around them.
+
+    Unclosed and misplaced tags are taken about as browsers take them; a tag or comment that never ends takes the rest of
+    the page with it. Every character is read a fixed number of times.
+    """
+    p, at, n = _Page(), 0, len(page)
     while at < n:
-        m = _TAG.search(page, at)
+        m = _START.search(page, at)
+        if not m:
+            p.say(page[at:])
+            break
+        p.say(page[at : m.start()])
+        m = _TAG.match(page, m.start())
         if not m:
-            say(page[at:])
             break
-        say(page[at : m.start()])
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             continue
         if name in BLOCK:
-            flush()
-        if m[1]:
-            where = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), -1)
-            if where >= 0:
-                state["link"] -= sum(x[0] == "a" for x in open_[where:])
-                del open_[where:]
-            continue
-        if name in VOID:
-            continue
-        attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m[3])}
-        if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if name != "noscript" and name in SILENT:
-                at = end.end() if end else n
+            p.flush()
+        if name in ("html", "head", "body"):
             continue
-        if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and any(x[0] == name for x in open_):
-            # an open one of the same kind ends here, with the inline elements left open in it
-            where = next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name)
-            if not any(x[0] in BLOCK - {"p"} for x in open_[where + 1 :]):
-                state["link"] -= sum(x[0] == "a" for x in open_[where:])
-                del open_[where:]
-        labels = " ".join((attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")))
-        aside = (name in BARRED and not (name == "header" and any(x[0] in MAIN for x in open_))) or bool(ASIDE.search(labels))
-        open_.append((name, aside and name not in ("html", "body"), _hidden(attrs) or name in SILENT, len(name) == 2 and name[0] == "h"))
-        state["link"] += name == "a"
-    flush()
+        if m[1]:
+            p.end(name)
+        elif name in RAW:
+            end = _END[name].search(page, at)
+            at = end.start() if end else n
+        elif name not in VOID:
+            p.start(name, m[3])
+    p.flush()
+    return p
+
+
+#: of words outside all that speaks, how many an article has to hold to be the page's, and an element to be around the page
+LEAST, WRAPS = 0.1, 0.8
+FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "main", "barred", "marked", "heading")
+
+
+def _said(p: _Page) -> list[tuple[int, bool, bool]]:
+    """For each box: 1 inside the article, -1 outside where the page has one, 0 without; inside a barred element; inside a marked one."""
+    n = len(p.boxes)
+    plain, loose = [0] * (n + 1), 0
+    for b in p.blocks:
+        plain[b.box] += b.words - b.linked
+        box = p.boxes[b.box] if b.box >= 0 else None
+        loose += b.words - b.linked if box is None or not (box.barred or box.marked) else 0
+    total = sum(plain)
+    for i in range(n - 1, -1, -1):
+        plain[p.boxes[i].parent] += plain[i]  # index -1, the page itself, is the last place
+    around = [False] * (n + 1)
+    articles = [i for i in range(n) if p.boxes[i].main and plain[i] > 0]
+    # the page's article: the one with most plain words, unless it is a small part of them
+    best = max(articles, key=lambda i: (plain[i], -i), default=-1)
+    found = best >= 0 and plain[best] >= LEAST * loose
+    if found:
+        inside = [False] * (n + 1)
+        for i in range(best, n):
+            inside[i] = i == best or inside[p.boxes[i].parent]
+        inner = [i for i in articles if inside[i]]
+        best = max(inner, key=lambda i: (2 * plain[i] >= plain[best], i), default=best)  # the innermost with half of them
+        while best >= 0:
+            around[best] = True
+            best = p.boxes[best].parent
+    out = [(0, False, False)] * (n + 1)
+    out[n] = (-1 if found else 0, False, False)
+    for i, b in enumerate(p.boxes):
+        main, barred, marked = out[b.parent]
+        speaks = not around[i] if found else plain[i] < WRAPS * total
+        out[i] = (1 if b.main and found else main, barred or (b.barred and speaks), marked or (b.marked and speaks))
     return out
 
 
-FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "main", "barred", "heading")
-
-
-def measured(found: list[Block]) -> np.ndarray:
-    """A row of features for each block: itself, then its neighbours (0 words and density 0 outside the page)."""
-    words = np.array([0, *(b.words for b in found), 0], float)
-    density = np.array([0, *(b.linked / b.words for b in found), 0])
-    flags = np.array([[b.main, b.barred, b.heading] for b in found], float).reshape(-1, 3)
+def measured(p: _Page) -> np.ndarray:
+    """A row of features for each block: itself, its neighbours (0 words and density 0 outside the page), what is said of it."""
+    words = np.array([0, *(b.words for b in p.blocks), 0], float)
+    density = np.array([0, *(b.linked / b.words for b in p.blocks), 0])
+    said = _said(p)
+    flags = np.array([[*said[b.box], b.heading] for b in p.blocks], float).reshape(-1, 4)
     return np.column_stack([words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:], flags])
 
 
-# Labelled blocks, written by hand for this purpose. Columns as FEATURES, then 1 for main text.
-LABELLED = """
-42 0.00 38 0.00 51 0.00 1 0 0 1
-12 0.00 60 0.00 45 0.00 1 0 0 1
-6 0.00 0 0.00 70 0.00 1 0 1 1
-1 0.00 30 0.00 25 0.00 1 0 0 1
-3 0.00 2 0.00 4 0.00 1 0 0 1
-80 0.10 44 0.05 12 0.00 1 0 0 1
-25 0.30 50 0.00 40 0.00 1 0 0 1
-120 0.00 0 0.00 90 0.00 1 0 0 1
-9 0.00 5 1.00 66 0.00 1 0 1 1
-15 0.00 40 0.00 8 0.00 1 0 0 1
-5 0.40 60 0.00 33 0.00 1 0 0 1
-55 0.00 1 1.00 21 0.00 1 0 0 1
-2 0.00 44 0.00 12 0.10 1 0 0 1
-64 0.02 70 0.00 3 0.00 1 0 0 1
-30 0.00 55 0.00 10 0.00 1 0 0 1
-14 0.00 80 0.00 11 0.00 1 0 0 1
-7 0.00 33 0.00 10 0.10 1 0 0 1
-22 0.00 9 0.00 9 0.00 1 0 0 1
-40 0.00 7 0.00 0 0.00 1 0 0 1
-2 0.00 8 0.00 11 0.00 1 0 0 1
-10 0.00 0 0.00 8 0.00 1 0 0 1
-18 0.20 6 0.00 6 0.00 1 0 0 1
-3 0.00 90 0.00 0 0.00 1 0 0 1
-1 0.00 12 0.00 7 0.00 1 0 0 1
-50 0.00 11 0.00 10 0.50 1 0 0 1
-5 0.00 11 0.00 11 0.00 1 0 1 1
-9 0.00 2 0.00 13 0.00 1 0 0 1
-6 0.00 3 1.00 9 0.00 1 0 0 1
-26 0.00 14 0.00 12 0.10 1 0 0 1
-36 0.00 5 0.80 2 1.00 1 0 0 1
-13 0.00 21 0.00 6 0.00 1 0 0 1
-4 0.00 7 0.00 4 0.00 1 0 0 1
-12 0.00 8 0.00 7 0.00 1 1 0 0
-5 0.00 4 0.00 6 0.00 1 1 0 0
-38 0.00 9 0.00 8 0.00 1 1 0 0
-20 0.00 12 0.00 0 0.00 1 1 0 0
-66 0.00 40 0.00 5 0.00 1 1 0 0
-2 0.00 3 0.00 2 0.00 1 1 0 0
-52 0.00 12 0.00 10 0.00 0 1 0 0
-40 0.00 2 1.00 9 0.00 0 1 0 0
-18 0.00 6 0.00 6 0.00 0 1 0 0
-64 0.00 5 0.00 0 0.00 0 1 0 0
-1 0.00 1 0.00 2 1.00 1 0 0 1
-4 0.00 5 0.00 3 1.00 1 0 0 1
-9 0.00 30 0.00 2 1.00 1 0 0 1
-24 0.00 18 0.00 4 1.00 1 0 0 1
-31 0.10 60 0.00 1 1.00 1 0 0 1
-12 0.30 40 0.00 5 0.90 1 0 0 1
-2 1.00 50 0.00 40 0.00 1 0 0 0
-3 1.00 0 0.00 80 0.00 1 0 0 0
-5 0.90 12 0.00 60 0.00 1 0 0 0
-9 0.80 44 0.00 9 0.00 1 0 0 0
-1 1.00 2 1.00 55 0.00 0 0 0 0
-2 1.00 0 0.00 70 0.00 0 0 0 0
-4 0.90 30 0.00 45 0.00 0 0 0 0
-12 0.80 3 1.00 66 0.00 0 0 0 0
-20 0.70 50 0.00 50 0.00 0 0 0 0
-3 1.00 80 0.00 12 0.00 0 0 0 0
-44 0.00 50 0.00 1 0.00 0 0 0 1
-40 0.00 60 0.00 3 1.00 0 0 0 1
-30 0.00 40 0.00 6 1.00 0 0 0 1
-16 0.00 30 0.00 2 1.00 0 0 0 1
-16 0.00 0 0.00 0 0.00 0 0 0 1
-60 0.00 0 0.00 0 0.00 0 0 0 1
-5 0.00 0 0.00 0 0.00 0 0 0 1
-1 1.00 1 1.00 1 1.00 1 0 0 0
-4 1.00 30 0.00 5 1.00 1 0 0 0
-6 1.00 5 1.00 4 1.00 1 0 0 0
-3 1.00 2 1.00 0 0.00 1 0 0 0
-30 0.00 40 0.00 22 0.00 1 1 0 0
-12 0.00 90 0.00 11 0.00 1 1 0 0
-8 0.10 60 0.00 30 0.00 1 1 0 0
-3 0.00 50 0.00 40 0.00 1 1 1 0
-70 0.00 80 0.00 65 0.00 1 1 0 0
-45 0.00 33 0.00 10 0.00 1 1 0 0
-1 1.00 0 0.00 1 1.00 0 1 0 0
-2 1.00 1 1.00 1 1.00 0 1 0 0
-7 0.00 1 1.00 8 0.00 0 1 0 0
-14 0.00 1 1.00 9 0.00 0 1 0 0
-22 0.00 90 0.00 0 0.00 0 1 0 0
-35 0.10 12 0.00 60 0.00 0 1 0 0
-90 0.00 80 0.00 70 0.00 0 1 0 0
-16 0.50 90 0.00 0 0.00 0 1 0 0
-3 0.00 20 0.00 25 0.00 0 1 1 0
-60 0.00 55 0.00 14 0.00 0 0 0 1
-48 0.05 12 0.00 66 0.00 0 0 0 1
-33 0.00 30 0.00 28 0.00 0 0 0 1
-24 0.00 60 0.00 50 0.00 0 0 0 1
-110 0.01 4 0.00 90 0.00 0 0 0 1
-20 0.10 35 0.00 40 0.00 0 0 0 1
-11 0.00 40 0.00 52 0.00 0 0 0 1
-6 0.00 55 0.00 61 0.00 0 0 0 1
-8 0.00 2 1.00 75 0.00 0 0 1 1
-5 0.00 40 0.00 80 0.00 0 0 1 1
-9 0.00 90 0.00 30 0.00 0 0 0 1
-1 1.00 1 1.00 1 1.00 0 0 0 0
-2 1.00 60 0.00 1 1.00 0 0 0 0
-5 0.80 3 1.00 4 1.00 0 0 0 0
-7 0.00 1 1.00 2 1.00 0 0 0 0
-4 0.00 0 0.00 1 1.00 0 0 0 0
-3 0.00 2 0.50 0 0.00 0 0 0 0
-12 0.60 20 0.50 9 0.70 0 0 0 0
-6 0.00 3 0.00 1 1.00 0 0 0 0
-5 0.00 4 0.00 3 0.00 0 0 0 0
-10 0.70 45 0.00 8 0.60 0 0 0 0
-28 0.65 30 0.55 26 0.70 0 0 0 0
-2 0.00 6 0.00 5 0.00 0 0 0 0
-8 0.00 60 0.00 0 0.00 0 0 0 0
-6 0.20 70 0.00 0 0.00 0 0 0 0
-"""
-
-
 @dataclass
 class Tree:
     """feature is -1 at a leaf, which then says label."""
@@ -274,37 +296,83 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 7) -> Tree:
     below = x[:, f] <= cut
     return Tree(f, cut, label, grow(x[below], y[below], depth - 1), grow(x[~below], y[~below], depth - 1))
 
+LABEL = "data-main"
+# Labelled pages, made up for this purpose after common layouts. {n} stands for n words of text; + in a tag
+# says that what it holds is main text, - that it is not.
+PAGES = """
+<nav><ul><li><a>{1}</a><li><a>{1}</a><li><a>{2}</a></ul></nav><div class=ad>{6}</div><article +><h1>{6}</h1><p>{40}<p>{3}<p>{70}<b>{2}</b>{8}<br>{12}<p>{25} <a>{2}</a> {20}</article><footer>{9} <a>{1}</a></footer>
+<header><a>{2}</a><nav><a>{1}</a><a>{1}</a></nav></header><div class="site no-sidebar"><main><article +><header><h1>{8}</h1><p>{4}</header><p>{55}<h2>{3}</h2><p>{1}<p>{30}<ul><li>{5}<li>{7}<li>{2}</ul><blockquote>{22}</blockquote></article><div class=share><a>{1}</a><a>{1}</a></div><section class=comments><h3>{2}</h3><p>{35}<p>{9}<p>{60}</section></main></div><footer>{12}</footer>
+<div id=cookie-banner>{24} <a>{2}</a></div><div class=top><a>{1}</a><br><a>{2}</a><br><a>{1}</a></div><div class=content><h1 +>{7}</h1><p +>{48}</p><p +>{66}</p><h2 +>{3}</h2><p +>{31}</p><p +>{5}</p><p +>{44} <a>{3}</a></p></div><div class=sidebar><h3>{2}</h3><p>{30}</p><ul><li><a>{4}</a><li><a>{6}</a></ul></div><div id=footer>{10}</div>
+<div><a>{1}</a></div><div><a>{2}</a></div><div><a>{1}</a></div><table><tr><td><a>{2}</a><br><a>{3}</a><br><a>{2}</a><td><h1 +>{5}</h1><p +>{80}<p +>{62}<p +>{17}<p +>{90}</table><center><a>{2}</a> <a>{1}</a></center><div>{4} <a>{1}</a></div>
+<form><div id=header><a>{1}</a></div><div id=menu><a>{1}</a><br><a>{1}</a></div><div id=body><h2 +>{4}</h2><div +>{120}</div><div +>{75}</div><div +>{33}</div></div></form>
+<form><label>{1}</label><label>{2}</label><p>{14}</p></form><section><h1 +>{9}</h1><p +>{38}</p><p +>{27}</p><p +>{2}</p><p +>{58}</p></section><div class=related><h4>{2}</h4><p><a>{9}</a></p><p><a>{7}</a></p></div>
+<div class=masthead>{3}</div><ul class=nav><li><a>{1}</a><li><a>{1}</a></ul><div class="container comments-open"><div class="entry header-fixed"><h1 +>{6}</h1><p +>{45}</p><p +>{29}</p><figure><figcaption +>{11}</figcaption></figure><p +>{64}</p></div></div><div id=respond><p>{20}</p></div><ol class=commentlist><li>{45}<li>{12}<li>{70}</ol>
+<main +><h1>{3}</h1><p>{16}<p>{21}<pre>{30}</pre><p>{8}<dl><dt>{1}<dd>{12}<dt>{2}<dd>{9}</dl></main><aside><h2>{2}</h2><p>{40}<p>{22}</aside><footer><p>{18}<p><a>{3}</a></footer>
+<div role=navigation><a>{1}</a><br><a>{1}</a></div><div role=alert>{15}</div><article +><h1>{10}</h1><p>{2}<p>{35}<p>{4}</article><div class=newsletter-signup><h3>{4}</h3><p>{26}</div><div class=widget><p>{19}</div>
+<div class=menu><a>{1}</a></div><div class="single search"><h1 +>{4}</h1><p +>{52}</p><p +>{41}</p></div><p><a>{1}</a> <a>{1}</a> <a>{2}</a></p><p><a>{4}</a></p><p><a>{5}</a></p>
+<p><a>{2}</a></p><p><a>{1}</a> {1} <a>{1}</a></p><h1 +>{7}</h1><p +>{34} <a>{2}</a> {15}</p><p +>{71}</p><p +>{18}</p><p +>{49}</p><p><a>{6}</a></p><p>{2} <a>{3}</a></p><p>{6}</p>
+<div><a>{1}</a></div><div>{3}</div><div +>{110}</div><div +>{14}</div><div +>{85}</div><div><a>{3}</a> <a>{2}</a></div><div>{5}</div>
+<article +><h1>{5}</h1><p>{60}<div class=ads ->{12}</div><p>{47}<aside ->{20}</aside><p>{9}<footer ->{11}</footer></article><div class=recommended><article><h3><a>{8}</a></h3><p>{14}</article><article><h3><a>{6}</a></h3><p>{18}</article></div>
+<main><h1 +>{6}</h1><p +>{3}<p +>{50}<p +><a>{4}</a><p +>{22}<div id=comments -><article class=comment><p>{40}</article><article class=comment><p>{25}</article></div></main><div id=sidebar><p>{16}</div>
+<article +><h1>{4}</h1><p>{12}</article><nav><a>{1}</a></nav><div class=popup>{30}</div>
+<div class=promo>{9}</div><article +><h1>{7}</h1><p>{1}<p>{28}<p>{6}<p>{33}</article><div class=disqus><p>{50}<p>{8}<p>{31}</div><p>{13}</p>
+<p>{6}</p><article +><h1>{5}</h1><p>{65}<p>{20}</article><p>{30}</p><p>{45}</p><p>{4}</p>
+<h1 +>{8}</h1><p +>{42}</p><p +>{57}</p><p +>{63}</p><h3>{2}</h3><ul><li><a>{5}</a><li><a>{4}</a><li><a>{7}</a></ul><p>{7} <a>{1}</a></p>
+<div><a>{1}</a> <a>{1}</a> <a>{1}</a></div><h2 +>{5}</h2><p +>{26}</p><p +>{39}</p><ul><li +>{8}<li +>{11}<li +>{6}</ul><p +>{44}</p><div><a>{2}</a> <a>{2}</a></div><div>{8}</div>
+<p +>{150}</p>
+<h1 +>{3}</h1><p +>{24}</p>
+<div><a>{1}</a></div><p +>{36}</p><p +>{2}</p><p +>{40}</p><p +>{3}</p><p +>{51}</p><div><a>{4}</a></div>
+<article +><p>{20}<p><a>{2}</a><p>{18}<ul><li><a>{3}</a><li><a>{5}</a></ul><p>{37}</article><div class=tags><a>{1}</a> <a>{1}</a></div>
+<nav><a>{1}</a></nav><article +><h1>{4}</h1><p>{3}<p>{140}<p>{2}<p>{180}<p>{1}<p>{6}</article>
+<ul><li><a>{1}</a></ul><main +><p>{9}<p>{112}<p>{1}<p>{125}<p>{4}<p>{2}</main>
+<article +><p>{2}</article>
+<div><a>{1}</a></div><h1 +>{5}</h1><p +>{130}</p><p +>{3}</p><p +>{150}</p><p +>{2}</p><p +>{110}</p><p +>{48}</p><p +>{21}</p>
+<ul><li><a>{1}</a><li><a>{2}</a></ul><h1 +>{3}</h1><p +>{70}</p><p +>{33}</p><div class=sidebar>{20}</div>
+<article +><h1>{6}</h1><p>{30}<p>{1}<p><a>{3}</a><ul><li>{2}<li>{2}</ul><div class=related -><a>{4}</a></div></article>
+<article +><p>{30}<p><a>{4}</a><p>{12}</article>
+<main +><p>{44}<p>{2}<p><a>{5}</a><p>{3}<p><a>{2}</a></main>
+<div><a>{1}</a><a>{1}</a></div><h1 +>{2}</h1><p +>{29}</p><p +>{88}</p><h2 +>{1}</h2><p +>{54}</p>
+<article +><h2>{3}</h2><p>{10} <a>{9}</a><p><a>{12}</a><p>{6}</article><div class=breadcrumbs><a>{1}</a> {1} <a>{2}</a></div>
+"""
 
-def trained(table: str = LABELLED) -> Tree:
-    rows = np.array([list(map(float, line.split())) for line in table.strip().splitlines()])
-    return grow(rows[:, :-1], rows[:, -1].astype(int))
 
+def labelled_page(line: str) -> str:
+    line = re.sub(r" ([+-])(?=>)", lambda m: f" {LABEL}={int(m[1] == '+')}", line)
+    return re.sub(r"\{(\d+)\}", lambda m: " word" * int(m[1]) + " ", line)
 
-def main_text(page: str | None, tree: Tree) -> str:
-    """Blocks that the tree takes for main text, joined by one space.
 
-    Where a page has an <article> or <main>, blocks outside it do not count.
-    """
-    found = blocks(page or "")
-    if not found:
+def trained(pages: str = PAGES) -> Tree:
+    """A tree grown from labelled pages, one a line."""
+    rows, labels = [], []
+    for line in pages.strip().splitlines():
+        p = parsed(labelled_page(line))
+        rows.append(measured(p))
+        labels.append([b.label for b in p.blocks])
+    return grow(np.concatenate(rows), np.concatenate(labels).astype(int))
+
+
+def main_text(page: str | None, tree: Tree) -> str:
+    """Blocks that the tree takes for main text, joined by one space."""
+    p = parsed(page or "")
+    if not p.blocks:
         return ""
-    says = tree.says(measured(found))
-    if any(b.main and s for b, s in zip(found, says, strict=True)):
-        says &= np.array([b.main for b in found])
-    return " ".join(b.text for b, s in zip(found, says, strict=True) if s)
+    return " ".join(b.text for b, says in zip(p.blocks, tree.says(measured(p)), strict=True) if says)
 
 
-def extract(pages: DataFrame, table: str = LABELLED) -> DataFrame:
+def extract(pages: DataFrame, labelled: str = PAGES) -> DataFrame:
     """page_id, url, text, n_chars for each page.
 
     A null or empty page has an empty text; a null page_id or url stays null; repeated rows are rows of their own; an
-    empty table gives an empty result; other columns are ignored. Whole pages are read, of any length.
+    empty table gives an empty result; other columns are ignored. Whole pages are read, of any length, in time that
+    grows with it; a task holds about a megabyte of pages, or one page, at a time.
     """
-    tree = trained(table)
+    tree = trained(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [main_text(x, tree) for x in b.column(2).to_pylist()]
-            yield pa.record_batch({"page_id": b.column(0), "url": b.column(1), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
+        for x in batches:
+            for a, z in slices(x.column(2)):
+                b = x.slice(a, z - a)
+                texts = [main_text(t, tree) for t in b.column(2).to_pylist()]
+                yield pa.record_batch({"page_id": b.column(0), "url": b.column(1), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 
     return pages.selectExpr("cast(page_id as bigint) page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat_format, html_extract, language_id, mixing, quality_rules, sharding, textkernel
+from ledgerloom.llm import bpe, chat_format, language_id, mixing, quality_rules, sharding, textkernel
 from ledgerloom.llm.queries import QUERIES, vocabulary
 
 from messy import empty, table, texts
@@ -75,45 +75,6 @@ def test_label_model_finds_accuracies():
     assert ((m.posterior(votes) >= 0.5) == good).mean() > 0.9 and abs(m.prior - 0.8) < 0.08
 
 
-# --- pages ---
-
-
-def test_pages_of_the_table(spark, sf):
-    for r in html_extract.extract(spark.read.parquet(f"{sf}/pages.parquet")).join(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id").collect():
-        import html
-
-        body = re.search(r"<article>(.*?)(</article>|<footer>|$)", r.html, re.S)[1]
-        parts = (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", p))).strip() for p in re.split(r"</?(?:p|h1|br)>", body))
-        assert r.text == " ".join(p for p in parts if p) and r.n_chars == len(r.text)
-
-
-def test_page_parts_that_are_not_the_article():
-    t = html_extract.trained()
-    page = """<html><head><title>T</title><style>x</style></head><body><header><h1>Site name</h1></header><div id="cookie-notice">We use cookies here and there for you</div>
-    <main><article><header><h1>Title</h1></header><p>First &amp; <a href=x>linked</a>&nbsp;para <b>bold<p>Second   one<script>if(a<b){"</p>"}</script></p><ul><li>item a<li>item b</ul>
-    <div class="related"><a href=q>Other story</a></div><section class="comments"><p>Great post, thanks for the long and thoughtful read of it all.</p></section></article></main>
-    <aside>side bar text that is rather long, longer than some paragraphs are</aside><form><input><label>Mail address please</label></form><div class="ad">buy this</div><footer>foot</footer>"""
-    assert html_extract.main_text(page, t) == "Title First & linked para bold Second one item a item b"
-    assert html_extract.main_text(None, t) == html_extract.main_text("<p>", t) == ""
-
-
-def test_held_out_blocks():
-    rows = html_extract.LABELLED.strip().splitlines()
-    hit = 0
-    for k in range(5):
-        t = html_extract.trained("\n".join(r for i, r in enumerate(rows) if i % 5 != k))
-        x = np.array([list(map(float, r.split())) for i, r in enumerate(rows) if i % 5 == k])
-        hit += (t.says(x[:, :-1]) == (x[:, -1] > 0)).sum()
-    assert hit >= 0.85 * len(rows)
-
-
-def test_odd_pages(spark):
-    rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>" + "word " * 50000 + "</p>"), (2, "u", "<p>a"), (3, "u", "<" * 500), (4, "u", "<a b='<p>x</p>'>" * 50 + "t")]
-    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))).collect()
-    assert len(got) == 6 and sorted(r.n_chars for r in got)[-1] == 249999
-    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
 # --- tokens ---
 
 
