@@ -24,7 +24,7 @@ def vocabulary() -> str:
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(_table(spark, sf_dir, "documents"), f"{sf_dir}/documents.parquet").drop("digest")
+    return exact_dedup.dedup(spark, f"{sf_dir}/documents.parquet").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -10,13 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: folders that were handed out and not deleted since
+_MADE: set[str] = set()
+
+
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; only where that is unset (tests), a local folder stands in."""
+    """A new path below spark.checkpoint.dir. Only where that is unset on a local master, a local folder stands in."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.add(path)
+    return path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +42,17 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _MADE.discard(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all scratch tables of this process that are left. For callers who have written all results they want."""
+    remove(spark, *sorted(_MADE))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def done(*tables: DataFrame) -> None:

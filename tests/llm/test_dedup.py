@@ -28,29 +28,59 @@ def brute_exact(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("digest", [E.sha256, lambda n: F.substring(F.sha2(n, 256), 1, 1), lambda n: F.lit("x")])
-def test_exact_against_brute_force(spark, digest):
-    got = E.dedup(table(spark), digest=digest).collect()
-    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == brute_exact(texts())
-    kept = [r.text_sha256 for r in got if r.kept]
-    assert len(kept) == len(set(kept)) == len({r.text_sha256 for r in got})
-    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+def shown(df):
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in df.collect()), key=str)
+
+
+DIGESTS = [E.sha256, lambda n: F.substring(F.sha2(n, 256), 1, 1), lambda n: F.lit("x")]
 
 
-def test_state_lasts_over_batches(spark):
-    rows, state = texts(), E.ExactDedup(spark, files_per_batch=1)
+@pytest.mark.parametrize("digest", DIGESTS)
+def test_exact_against_brute_force(spark, digest):
+    out = E.dedup(spark, table(spark), digest=digest)
+    assert shown(out) == brute_exact(texts())
+    kept = out.where("kept").collect()
+    assert len(kept) == len({r.text_sha256 for r in kept}) == len({x[3] for x in shown(out)})
+    assert all(r.doc_id == r.keep_id and r.locator == r.keep_locator for r in kept)
+
+
+@pytest.mark.parametrize("digest", DIGESTS[::2])
+def test_state_over_batches(spark, digest):
+    """Three batches, rows added again, and unequal texts under one digest across batches."""
+    rows = texts()
+    state = E.ExactDedup(spark, digest=digest, files_per_batch=2)
     for i in range(3):
-        state.add(table(spark, rows[i::3]))
-    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in state.result(table(spark)).collect()), key=str) == brute_exact(rows)
-    again = E.ExactDedup(spark, state.path).add(table(spark, [(99, "one")]))
-    assert again.state().where("keep_id = 8 and group_size = 2").count() == 1
+        assert state.add(table(spark, rows[i::3]).coalesce(1)) == i
+    again = rows[::4]
+    state.add(table(spark, again).coalesce(1))
+    every = rows + again
+    out = state.result()
+    assert shown(out) == brute_exact(every)
+    kept = out.where("kept").collect()
+    assert len(kept) == len({r.text_sha256 for r in kept}) == len({x[3] for x in brute_exact(every)}) and all(r.doc_id == r.keep_id for r in kept)
+    assert sum(state.result(b).count() for b in range(4)) == len(every)
+    later = E.ExactDedup(spark, state.path, digest)
+    later.add(table(spark, [(99, "one")]).coalesce(1))
+    assert shown(later.result(4)) == [x for x in brute_exact([*every, (99, "one")]) if x[0] == 99]
+
+
+def test_a_callers_state_and_tables_stay(spark, tmp_path):
+    path, first, second = str(tmp_path / "state"), str(tmp_path / "a"), str(tmp_path / "b")
+    table(spark, [(1, "same"), (2, "same")]).coalesce(1).write.parquet(first)
+    table(spark, [(0, "sa me"), (3, "other")]).coalesce(1).write.parquet(second)
+    E.dedup(spark, first, path)
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in E.dedup(spark, second, path).collect()) == [(0, 0, True), (3, 3, True)]
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in E.ExactDedup(spark, path).result().collect()) == [(0, 0, True), (1, 0, False), (2, 0, False), (3, 3, True)]
+    E.dedup(spark, first, path)  # the same files once more are rows of their own
+    out = E.ExactDedup(spark, path).result().collect()
+    assert len(out) == 6 and sum(r.kept for r in out) == 2
 
 
 def test_exact_keeps_whole_rows(spark):
     df = table(spark)
     out = E.deduplicated(df)
     assert out.columns == df.columns and out.count() == len({WHITE.sub("", t or "") for _, t in texts()})
-    assert E.dedup(empty(spark)).count() == 0 and E.deduplicated(empty(spark)).count() == 0
+    assert E.dedup(spark, empty(spark)).count() == 0 and E.deduplicated(empty(spark)).count() == 0
 
 
 def shingles(t):
@@ -206,10 +236,3 @@ def test_near_in_a_node_that_stays_large(spark):
             break
     got = N.near_groups(table(spark, rows), plan).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_near(rows) and {r.component_id for r in got} == {1, 2}
-
-
-def test_state_keeps_one_row_over_batches(spark):
-    rows, state = [(1, "same text"), (2, "same text"), (3, "other")], E.ExactDedup(spark)
-    for row in rows:
-        state.add(table(spark, [row]).coalesce(1))
-    assert sorted((r.doc_id, r.kept) for r in state.result(table(spark, rows)).collect()) == [(1, True), (2, False), (3, True)]
