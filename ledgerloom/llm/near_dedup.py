@@ -1,12 +1,13 @@
 """Near duplicates by a chosen-path similarity join over sets of five-word shingles.
 
-Equal sets are one set from the start. Each of several independent trees sends a set from a node to the children named
-by its minwise tokens at one or two chosen coordinates, 1 / similarity of them on average, so that a pair at the
-threshold is expected in one child a level while unlike sets part. Nodes too large for a task are split by a shuffle,
-level by level; smaller ones are split further inside a task, and small nodes compare all their sketches. The pairs that
-pass a lenient sketch test form candidate groups, and nodes that stay large at the last level are each in one group as a
-whole. A group is searched exhaustively over the full sets: inside a task where it fits; else its pairs are confirmed,
-and all sets that are still apart meet in blocks, a task for two blocks. Every link rests on full sets.
+Equal sets are one set from the start. Each of several trees sends a set from a node to the children named by its minwise
+tokens at one or two chosen coordinates, somewhat more than 1 / similarity of them on average: a pair at the threshold is
+then expected in more than one child a level and survives to any depth with a fixed chance a tree, while unlike sets
+part. Nodes too large for a task are split by a shuffle, level by level; smaller ones are split further inside a task, and
+small nodes compare all their sketches. Pairs that pass a lenient sketch test form candidate groups, and a node that is
+still large at the last level is one group as a whole. One law holds for groups of all sizes: every pair of their full
+sets that could join two parts is compared. Where a group fits a task, that happens there; else its likeliest pairs are
+confirmed first, then all sets that are still apart meet in blocks, a task for two blocks. Every link rests on full sets.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -29,25 +30,31 @@ from .textkernel import U, mix, shingle_sets
 class Plan:
     """Parameters of the join.
 
-    trees, depth: a pair at the threshold 0.85 is lost on the way to depth 4 by one tree with probability 0.36, by twenty
-    with 2e-9; to depth 10 with 0.58 and 2e-5; to depth 24 with 0.77 and 5e-3. It is then still linked where other
-    candidates put both sets into one group. coordinates: length of a sketch; agree: least number
-    of equal coordinates of a candidate pair (a pair at 0.85 has fewer than 84 of 128 with probability 1e-8).
+    trees, offspring: a pair at the threshold is expected in `offspring` children of its node. With p = 0.85 and 1.4
+    coordinates a level it is lost by one tree, however deep, with probability 0.34 (branching process), by twelve with
+    3e-6. The trees draw on one sketch, in which such a pair agrees on 0.85 +- 0.03 of the coordinates; over that spread
+    about 1e-4 of pairs are lost at any depth (tests/llm has the recall by depth). A pair in a small node at level 1 is
+    lost with 1e-12. coordinates: length of a sketch; agree: least number of equal coordinates of a candidate pair (a pair
+    at 0.85 has fewer than 84 of 128 with probability 1e-8).
+    depth: levels at most; a node that is large there is one candidate group as a whole.
     node: sets of one node inside one task; small: sets compared all with all.
     group, group_bytes: documents and bytes of text of a group that one task searches; two blocks hold as much.
-    hubs: sets of a large group that all others meet before blocks do; they only save work.
+    hubs: sets of a large group that all others meet; rounds: how often the likeliest pair of each of its parts is
+    confirmed then. Both come before the blocks and only save work.
     """
 
     percent: int = 85
     size: int = 5
-    trees: int = 20
-    depth: int = 24
+    trees: int = 12
+    offspring: float = 1.19
+    depth: int = 8
     coordinates: int = 128
     agree: int = 84
-    node: int = 4096
+    node: int = 1024
     small: int = 48
     group: int = 4096
     group_bytes: int = 6_000_000
+    rounds: int = 3
     hubs: int = 8
 
 
@@ -87,24 +94,24 @@ def sketches(docs: DataFrame, plan: Plan) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bytes long, sketch binary")
 
 
-def _order(tree: int, plan: Plan) -> np.ndarray:
-    """The coordinates that a tree uses level by level, two a level; first levels of different trees share none."""
-    rest = np.random.default_rng(1000 + tree).permutation(plan.coordinates)
-    first = np.array([2 * tree, 2 * tree + 1]) % plan.coordinates
-    return np.concatenate([first, rest[~np.isin(rest, first)]])
+def _children(tree: int, level: int, node: np.ndarray, plan: Plan) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Chosen coordinates of nodes, and for which nodes: one for all, a second for as many as the offspring asks.
 
-
-def _children(tree: int, level: int, node: np.ndarray, plan: Plan) -> list[tuple[int, np.ndarray]]:
-    """Chosen coordinates of nodes: the first for all, the second for as many as 1 / similarity asks, by the node's hash."""
-    order = _order(tree, plan)
-    share = 100 / plan.percent - 1
-    second = (mix(node.view(U) ^ U(level * 7919 + tree)) >> U(11)).astype(np.float64) / 2.0**53 < share
-    return [(int(order[(2 * level) % len(order)]), np.ones(len(node), bool)), (int(order[(2 * level + 1) % len(order)]), second)]
+    Below the root they are drawn by the node's own hash, so that a pair which differs in one coordinate is not lost in
+    all nodes of a level at once; the roots of different trees share none, as far as there are enough.
+    """
+    draw = [mix(node.view(U) ^ U((level * 7919 + tree) * 4 + k)) for k in range(3)]
+    second = (draw[2] >> U(11)).astype(np.float64) / 2.0**53 < plan.offspring * 100 / plan.percent - 1
+    if level == 0:
+        return [(np.full(len(node), (2 * tree + k) % plan.coordinates), np.ones(len(node), bool) if k == 0 else second) for k in (0, 1)]
+    one = (draw[0] % U(plan.coordinates)).astype(np.int64)
+    two = (one + 1 + (draw[1] % U(plan.coordinates - 1)).astype(np.int64)) % plan.coordinates
+    return [(one, np.ones(len(node), bool)), (two, second)]
 
 
-def _name(node: np.ndarray, coordinate: int, token: np.ndarray) -> np.ndarray:
+def _name(node: np.ndarray, coordinate: np.ndarray, token: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix(node.view(U) * U(0x9E3779B97F4A7C15) + mix(token.astype(U) + U(coordinate << 40))).view(np.int64)
+        return mix(node.view(U) * U(0x9E3779B97F4A7C15) + mix(token.astype(U) + (coordinate.astype(U) << U(40)))).view(np.int64)
 
 
 def _branch(plan: Plan, level: int):
@@ -118,7 +125,7 @@ def _branch(plan: Plan, level: int):
             for t in np.unique(trees):
                 here = np.flatnonzero(trees == t)
                 for c, chosen in _children(int(t), level, nodes[here], plan):
-                    rows = here[chosen]
+                    rows, c = here[chosen], c[chosen]
                     if len(rows):
                         yield pa.record_batch({"tree": pa.array(trees[rows], pa.int32()), "node": pa.array(_name(nodes[rows], c, sk[rows, c]), pa.int64()), "id": pa.array(ids[rows], pa.int64()), "sketch": raw.take(pa.array(rows))})
 
@@ -136,39 +143,42 @@ def _plant(plan: Plan):
                 root = np.full(len(ids), t, np.int64)
                 for c, chosen in _children(t, 0, root, plan):
                     if chosen.any():
-                        yield pa.record_batch({"tree": pa.array(np.full(chosen.sum(), t), pa.int32()), "node": pa.array(_name(root[chosen], c, sk[chosen, c]), pa.int64()), "id": pa.array(ids[chosen], pa.int64())})
+                        yield pa.record_batch({"tree": pa.array(np.full(chosen.sum(), t), pa.int32()), "node": pa.array(_name(root[chosen], c[chosen], sk[chosen, c[chosen]]), pa.int64()), "id": pa.array(ids[chosen], pa.int64())})
 
     return run
 
 
-def _pairs_within(ids: np.ndarray, sk: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    i, j = np.triu_indices(len(ids), 1)
-    ok = (sk[i] == sk[j]).sum(1) >= plan.agree
-    return ids[i[ok]], ids[j[ok]]
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]  # both ids, and the number of equal coordinates
+
+
+def _alike(i: np.ndarray, j: np.ndarray, ids: np.ndarray, sk: np.ndarray, plan: Plan) -> Found:
+    same = (sk[i] == sk[j]).sum(1)
+    ok = same >= plan.agree
+    return ids[i[ok]], ids[j[ok]], same[ok]
 
 
-def _descend(tree: int, level: int, node: int, ids: np.ndarray, sk: np.ndarray, plan: Plan) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _descend(tree: int, level: int, node: int, ids: np.ndarray, sk: np.ndarray, plan: Plan) -> Iterator[Found]:
     """All candidate pairs below a node that a task holds."""
     stack = [(level, np.int64(node), np.arange(len(ids)))]
     while stack:
         lv, name, rows = stack.pop()
         if len(rows) <= plan.small:
-            yield _pairs_within(ids[rows], sk[rows], plan)
+            i, j = np.triu_indices(len(rows), 1)
+            yield _alike(rows[i], rows[j], ids, sk, plan)
             continue
-        if lv >= plan.depth:  # alike in that many coordinates: one group whole, and likely links between neighbours in order
-            yield np.full(len(rows) - 1, ids[rows].min()), np.sort(ids[rows])[1:]
+        if lv >= plan.depth:  # one group whole, in which no pair is left out later, and likely links between neighbours in order
+            yield np.full(len(rows) - 1, ids[rows].min()), np.sort(ids[rows])[1:], np.zeros(len(rows) - 1, np.int64)
             line = rows[np.lexsort(sk[rows][:, ::-1].T[-8:])]
-            for a, z in ((line[:-k], line[k:]) for k in range(1, 9)):
-                ok = (sk[a] == sk[z]).sum(1) >= plan.agree
-                yield ids[a[ok]], ids[z[ok]]
+            for k in range(1, 9):
+                yield _alike(line[:-k], line[k:], ids, sk, plan)
             continue
         for c, chosen in _children(tree, lv, np.array([name]), plan):
             if chosen[0]:
-                order = rows[np.argsort(sk[rows, c], kind="stable")]
-                cuts = np.flatnonzero(np.diff(sk[order, c])) + 1
+                order = rows[np.argsort(sk[rows, c[0]], kind="stable")]
+                cuts = np.flatnonzero(np.diff(sk[order, c[0]])) + 1
                 for part in np.split(order, cuts):
                     if len(part) > 1:
-                        stack.append((lv + 1, _name(np.array([name]), c, sk[part[:1], c])[0], part))
+                        stack.append((lv + 1, _name(np.array([name]), c, sk[part[:1], c[0]])[0], part))
 
 
 def _compare(plan: Plan, level: int):
@@ -194,24 +204,20 @@ def _compare(plan: Plan, level: int):
             sk = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint32).reshape(len(ids), plan.coordinates)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
             size = np.diff(cuts)
-            found = [np.zeros((0, 2), np.int64)]
             two = cuts[:-1][size == 2]
-            ok = two[(sk[two] == sk[two + 1]).sum(1) >= plan.agree]
-            found.append(np.stack([ids[ok], ids[ok + 1]], 1))
+            found = [_alike(two, two + 1, ids, sk, plan)]
             for k in np.flatnonzero(size > 2):
                 a, z = cuts[k], cuts[k + 1]
-                for x, y in _descend(int(trees[a]), level, int(key[a]), ids[a:z], sk[a:z], plan):
-                    found.append(np.stack([x, y], 1))
-            pairs = np.concatenate(found)
-            pairs.sort(1)
-            pairs = np.unique(pairs, axis=0)
-            yield pa.record_batch({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+                found += _descend(int(trees[a]), level, int(key[a]), ids[a:z], sk[a:z], plan)
+            x, y, same = (np.concatenate([f[i] for f in found]) for i in range(3))
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y), same], 1), axis=0)
+            yield pa.record_batch({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64()), "same": pa.array(pairs[:, 2], pa.int64())})
 
     return run
 
 
 def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
-    """Candidate pairs (a, b) of sets (id, sketch), each once."""
+    """Candidate pairs (a, b, same) of sets (id, sketch), each once; same is 0 where no sketches were compared."""
     level, found, read = 1, [], []
     rows = saved(sets.mapInArrow(_plant(plan), "tree int, node long, id long"), "near-nodes")
     while True:
@@ -222,17 +228,17 @@ def candidates(sets: DataFrame, plan: Plan) -> DataFrame:
         done(rows, sizes)
         read.append(many)
         fit = many.where(F.col("n") <= plan.node).select("tree", "node", "id", "sketch")
-        found.append(fit.repartition("node").sortWithinPartitions("node", "id").mapInArrow(_compare(plan, level), "a long, b long"))
+        found.append(fit.repartition("node").sortWithinPartitions("node", "id").mapInArrow(_compare(plan, level), "a long, b long, same long"))
         large = many.where(F.col("n") > plan.node).select("tree", "node", "id", "sketch")
         if not large.head(1):
             break
         if level >= plan.depth:  # as alike as that: one group whole, in which all_links leaves out no pair
             low = large.groupBy("node").agg(F.min("id").alias("a"))
-            found.append(large.join(low, "node").where("id <> a").select("a", F.col("id").alias("b")))
+            found.append(large.join(low, "node").where("id <> a").select("a", F.col("id").alias("b"), F.lit(0).cast("long").alias("same")))
             break
         rows = saved(large.mapInArrow(_branch(plan, level), "tree int, node long, id long, sketch binary"), "near-nodes")
         level += 1
-    pairs = saved(reduce(DataFrame.unionByName, found).distinct(), "near-pairs")
+    pairs = saved(reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.max("same").alias("same")), "near-pairs")
     done(*read)
     return pairs
 
@@ -350,7 +356,7 @@ def _across(plan: Plan):
 
 
 def _joined(texts: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component, part): what links join within the groups of texts (node, component, ..)."""
+    """(node, component, n_shingles, bytes, part): what links join within the groups of texts."""
     part = components(links).select("node", F.col("component").alias("part"))
     return saved(texts.select("node", "component", "n_shingles", "bytes").join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "near-parts")
 
@@ -362,42 +368,74 @@ def _open(state: DataFrame) -> DataFrame:
     return saved(state.join(groups, "component").withColumn("main", F.col("part") == F.col("largest")).drop("largest", "k"), "near-open")
 
 
+def _likeliest(pairs: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of pairs between two parts the likeliest of each part, at most one a part; and the other such pairs."""
+    at = lambda n: state.select(F.col("node").alias(n), F.col("part").alias("p" + n))
+    apart = saved(pairs.select("a", "b", "same").join(at("a"), "a").join(at("b"), "b").where("pa <> pb").select("a", "b", "same", "pa", "pb"), "near-apart")
+    each = apart.select(F.explode(F.array("pa", "pb")).alias("part"), F.struct("same", "a", "b").alias("pair"))
+    best = saved(each.groupBy("part").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b").distinct(), "near-best")
+    rest = saved(apart.join(best, ["a", "b"], "left_anti").select("a", "b", "same"), "near-rest")
+    done(apart)
+    return best, rest
+
+
+def _met(rows: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+    """Links (a, b) found by jobs over rows (job, side, node, part); a text goes once to each job that asks for it."""
+    asked = rows.join(texts.select("node", "text"), "node").select("job", "side", F.col("node").alias("id"), "part", "text")
+    return saved(asked.repartition("job").sortWithinPartitions("job").mapInArrow(_across(plan), "a long, b long"), "near-links")
+
+
+def _blocked(rows: DataFrame, keys: list[str], plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """rows with `block`, dealt by hash so that two blocks of the same keys fit a task; and the number of blocks by keys."""
+    most = F.greatest(F.ceil(2 * F.count("*") / plan.group), F.ceil(2 * F.sum("bytes") / plan.group_bytes), F.lit(1)).cast("int")
+    cells = saved(rows.groupBy(*keys).agg(most.alias("blocks")), "near-cells")
+    return rows.join(cells, keys).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("blocks"), cells
+
+
 def all_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     """Links (a, b) that join what any links join within groups too large for a task.
 
-    texts: node, component (its group), text, n_shingles, bytes. First the candidate pairs are confirmed; then all other
-    sets of a group meet those with most links; then each set outside the group's largest part meets all of the group
-    that are near in size, block by block, so that no pair of sets which could still join two parts is left out.
+    texts: node, component (its group), text, n_shingles, bytes. First all sets of a group meet a few with many candidates.
+    Where parts stay apart, the likeliest candidate pair of each part is confirmed, in a few rounds, so that the texts sent
+    are a few for each set whatever the number of pairs. Then each set outside the group's largest part meets all of the
+    group that are near in size, block by block, so that no pair of sets which could still join two parts is left out.
     """
-
-    def confirmed(some: DataFrame) -> DataFrame:
-        side = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias("t" + n))
-        both = some.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
-        return saved(both.mapInArrow(_confirm(plan), "a long, b long"), "near-links")
-
-    links = confirmed(pairs)
-    state = _joined(texts, links)
-    apart = _open(state)
-    if not apart.head(1):
-        return links
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    best = apart.join(degree, "node").groupBy("component", "part").agg(F.max_by("node", F.struct("links", "node")).alias("hub"), F.max("links").alias("links"))
-    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("component").orderBy(F.desc("links"), "hub"))).where(F.col("rank") <= plan.hubs)
-    hubs = saved(best.select("component", F.col("part").alias("hub_part"), "hub"), "near-hubs")
-    meet = saved(apart.where("not main").join(hubs, "component").where("part <> hub_part").select(F.col("hub").alias("a"), F.col("node").alias("b")), "near-meet")
-    links = links.unionByName(confirmed(meet))
-    done(state, apart, hubs, meet)
-    state = _joined(texts, links)
-    apart = _open(state)
-    done(state)
-    if not apart.head(1):
-        return links
+    links: list[DataFrame] = []
+
+    def apart() -> DataFrame | None:
+        state = _joined(texts, reduce(DataFrame.unionByName, links))
+        out = _open(state)
+        done(state)
+        return out if out.head(1) else None
+
+    rest = saved(pairs.where("same > 0").select("a", "b", "same"), "near-rest")
+    degree = rest.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    slot = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(plan.hubs)).alias("slot")
+    hubs = texts.select("node", "component").join(degree, "node", "left").groupBy("component", slot).agg(F.max_by("node", F.struct(F.coalesce("links", F.lit(0)), "node")).alias("node"))
+    hubs = saved(hubs, "near-hubs")
+    rows, cells = _blocked(texts.select("node", "component", "bytes"), ["component"], plan)
+    job = F.concat_ws(" ", "component", "block").alias("job")
+    centre = hubs.join(cells, "component").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = rows.select(job, F.lit(1).alias("side"), "node", F.col("node").alias("part")).unionByName(centre.select(job, F.lit(0).alias("side"), "node", F.col("node").alias("part")))
+    links.append(_met(asked, texts, plan))
+    done(hubs, cells)
+    side = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias("t" + n))
+    for _ in range(plan.rounds):
+        if (left := apart()) is None:
+            return reduce(DataFrame.unionByName, links)
+        best, more = _likeliest(rest, left)
+        done(rest, left)
+        rest = more
+        if not best.head(1):
+            break
+        both = best.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+        links.append(saved(both.mapInArrow(_confirm(plan), "a long, b long"), "near-links"))
+        done(best)
+    if (left := apart()) is None:
+        return reduce(DataFrame.unionByName, links)
     # sets whose sizes are two steps apart are not linked; the base is a percent wider, so that rounding loses none
     step = F.floor(F.log("n_shingles") / float(np.log(100 / (plan.percent - 1)))).cast("int")
-    rest = apart.withColumn("step", step)
-    most = F.greatest(F.ceil(2 * F.count("*") / plan.group), F.ceil(2 * F.sum("bytes") / plan.group_bytes), F.lit(1)).cast("int")
-    cells = saved(rest.groupBy("component", "step", "main").agg(most.alias("blocks")), "near-cells")
-    rows = rest.join(cells, ["component", "step", "main"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows, cells = _blocked(left.withColumn("step", step), ["component", "step", "main"], plan)
     blocks = cells.select("component", "step", "main", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     x = blocks.where("not main").select("component", F.col("step").alias("x_step"), F.col("block").alias("x_block"))
     y = blocks.select("component", F.col("step").alias("y_step"), F.col("block").alias("y_block"), "main")
@@ -407,20 +445,20 @@ def all_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     itself = ~F.col("main") & (F.col("x_step") == F.col("y_step")) & (F.col("x_block") == F.col("y_block"))
     one = jobs.select("component", F.col("x_step").alias("step"), F.lit(False).alias("main"), F.col("x_block").alias("block"), "job", F.lit(0).alias("side"))
     two = jobs.where(~itself).select("component", F.col("y_step").alias("step"), "main", F.col("y_block").alias("block"), "job", F.lit(1).alias("side"))
-    rows = saved(rows.select("node", "component", "step", "main", "block", "part").join(texts.select("node", "text"), "node"), "near-blocks")
-    met = rows.join(one.unionByName(two), ["component", "step", "main", "block"]).select("job", "side", F.col("node").alias("id"), "part", "text")
-    more = saved(met.repartition("job").sortWithinPartitions("job").mapInArrow(_across(plan), "a long, b long"), "near-links")
-    done(apart, cells, jobs, rows)
-    return links.unionByName(more)
+    asked = rows.join(one.unionByName(two), ["component", "step", "main", "block"]).select("job", "side", "node", "part")
+    links.append(_met(asked, texts, plan))
+    done(left, cells, jobs)
+    return reduce(DataFrame.unionByName, links)
 
 
 def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs.
 
     A document's set holds its distinct five-word shingles, A-Z as a-z; with fewer words the whole sequence is one; with
-    none the set is empty and the row stands alone. Sets with 100 * shared >= 85 * united are linked, and the smallest
-    doc_id that links reach is component_id. Rows that repeat a doc_id share a row's fate where their text is the same;
-    a null doc_id is linked with nothing. An empty table gives an empty result; other columns are ignored.
+    none (also where the text is null) the set is empty and the row stands alone. Sets with 100 * shared >= 85 * united
+    are linked, and the smallest doc_id that links reach is component_id. Rows that repeat a doc_id share a row's fate
+    where their text is the same; a null doc_id is linked with nothing. Texts of any length count whole. An empty table
+    gives an empty result; other columns are ignored.
     """
     plan = plan or Plan()
     rows = saved(sketches(docs, plan), "near-sketches")
@@ -452,5 +490,9 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
-    """The rows of docs of which one a group stays, whole; rows that repeat a kept doc_id all stay."""
+    """The rows of docs of which one a group stays, whole, with all their columns, whatever these are called.
+
+    Groups are those of near_groups(). Rows with an empty or null text or a null doc_id stay, rows that repeat a kept
+    doc_id all stay, an empty table gives an empty result.
+    """
     return rows_with(docs, near_groups(docs, plan).where("kept").select("doc_id").distinct())
