@@ -8,9 +8,9 @@ from ledgerloom.llm import bpe, exact_dedup, language_id, mixing, near_dedup
 from ledgerloom.llm.queries import vocabulary
 from ledgerloom.llm.scratch import saved
 
-#: A pair at 0.80 has fewer than 75 of 128 equal coordinates with probability 9e-9, and is lost by all trees at depth 10
-#: with 6e-7 (at 0.85 and more, as op10_near_dedup has it: with 3e-8).
-NEAR = near_dedup.Plan(percent=80, agree=75, trees=32)
+#: A pair at 0.80 has fewer than 75 of 128 equal coordinates with probability 9e-9; about 5e-4 of such pairs are lost by
+#: all trees, at any depth (tests/llm has the recall by depth).
+NEAR = near_dedup.Plan(percent=80, agree=75, trees=14)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
