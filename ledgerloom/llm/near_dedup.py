@@ -50,7 +50,7 @@ class Plan:
     depth: int = 8
     coordinates: int = 128
     agree: int = 84
-    node: int = 1024
+    node: int = 2048
     small: int = 48
     group: int = 4096
     group_bytes: int = 6_000_000
@@ -181,8 +181,40 @@ def _descend(tree: int, level: int, node: int, ids: np.ndarray, sk: np.ndarray,
                         stack.append((lv + 1, _name(np.array([name]), c, sk[part[:1], c[0]])[0], part))
 
 
+def forest(x: np.ndarray, y: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Places of pairs that join all that these pairs join, the likeliest first, one less than the ids of each joined part."""
+    ids, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y = place[: len(x)], place[len(x) :]
+    order = np.lexsort((y, x, same))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    label, chosen = np.arange(len(ids)), np.zeros(len(rank), bool)
+    while True:
+        a, b = label[x], label[y]
+        cross = np.flatnonzero(a != b)
+        if not len(cross):
+            return np.flatnonzero(chosen)
+        best = np.full(len(ids), -1)
+        np.maximum.at(best, a[cross], rank[cross])
+        np.maximum.at(best, b[cross], rank[cross])
+        new = order[np.unique(best[best >= 0])]
+        chosen[new] = True
+        a, b = label[x[new]], label[y[new]]
+        low = np.arange(len(ids))
+        while (low[a] != low[b]).any():  # least label along the new pairs
+            least = np.minimum(low[a], low[b])
+            np.minimum.at(low, a, least)
+            np.minimum.at(low, b, least)
+            low = low[low]
+        label = low[label]
+
+
 def _compare(plan: Plan, level: int):
-    """A task over rows (tree, node, id, sketch) that lie together by node: its candidate pairs, each once."""
+    """A task over rows (tree, node, id, sketch) that lie together by node: of each node's candidate pairs a likeliest forest.
+
+    A forest joins into one group what all pairs would, and groups are searched whole; so a node of copies of one text
+    gives a pair a set and not all their pairs.
+    """
 
     def nodes(batches):
         held = None
@@ -208,7 +240,10 @@ def _compare(plan: Plan, level: int):
             found = [_alike(two, two + 1, ids, sk, plan)]
             for k in np.flatnonzero(size > 2):
                 a, z = cuts[k], cuts[k + 1]
-                found += _descend(int(trees[a]), level, int(key[a]), ids[a:z], sk[a:z], plan)
+                below = [*_descend(int(trees[a]), level, int(key[a]), ids[a:z], sk[a:z], plan)]
+                pairs = [np.concatenate([f[i] for f in below]) for i in range(3)]
+                keep = forest(*pairs) if len(pairs[0]) > 1 else slice(None)
+                found.append(tuple(p[keep] for p in pairs))
             x, y, same = (np.concatenate([f[i] for f in found]) for i in range(3))
             pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y), same], 1), axis=0)
             yield pa.record_batch({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64()), "same": pa.array(pairs[:, 2], pa.int64())})

@@ -149,6 +149,25 @@ def test_near_on_messy_rows(spark):
     assert out.columns == df.columns and {1, 5, 6, 8, 10, None} <= {r.doc_id for r in out.collect()} and not {2, 4, 9, 14, 18, 20} & {r.doc_id for r in out.collect()}
 
 
+def test_forest_joins_what_all_pairs_join():
+    r = np.random.default_rng(6)
+    for n, m in ((5, 3), (30, 25), (200, 900), (50, 0)):
+        x, y, same = r.integers(0, n, m), r.integers(0, n, m), r.integers(0, 5, m)
+        ok = x != y
+        x, y, same = x[ok], y[ok], same[ok]
+        keep = N.forest(x, y, same)
+
+        def parts(pairs, n=n):
+            label = list(range(n))
+            for _ in range(n):
+                for a, b in pairs:
+                    label[a] = label[b] = min(label[a], label[b])
+            return label
+
+        assert parts(list(zip(x[keep], y[keep], strict=True))) == parts(list(zip(x, y, strict=True)))
+        assert len(keep) == n - len(set(parts(list(zip(x, y, strict=True)))))
+
+
 def test_search_of_a_group():
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 60, 50)).astype(np.uint64) for _ in range(120)]
