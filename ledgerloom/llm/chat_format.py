@@ -1,9 +1,10 @@
 """Roles in chat transcripts by a hidden Markov model over lines, then turns in one canonical form.
 
-Each line of a transcript shows a speaker marker or none, its length, whether it asks and whether it opens the
-transcript. Hidden states say who speaks and whether the line opens a turn. Viterbi runs in blocks of turns: a long
-conversation's blocks are reduced to small max-plus matrices, joined to find each block's first and last state, and then
-decoded apart, so no conversation has to fit a task.
+Each line of a transcript shows a speaker marker or none, its length, whether it asks, whether it opens the transcript and
+whether it opens a row of the table. Hidden states say who speaks and whether the line opens a turn. Viterbi runs in
+blocks of at most some 64 rows: a long conversation's blocks are reduced to small max-plus matrices, runs of which are
+joined level by level to find each block's first and last state, and then decoded apart, so no conversation has to fit a
+task.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .scratch import saved
+from .scratch import done, saved
 
 ROLES = ("system", "user", "assistant")
 # Names that speakers go by.
@@ -28,6 +29,8 @@ NAMES = {
     "assistant": ("assistant", "ai", "bot", "gpt", "model", "agent", "answer", "a", "chatbot", "support"),
 }
 _ROLE = {n: i for i, r in enumerate(ROLES) for n in NAMES[r]}
+#: names that are also letters or common words: inside a row they are markers only where used again, as such, in it
+COMMON = frozenset("a q me you model agent answer question context instruction instructions support client customer developer".split())
 _MARK = re.compile(r"^\s*(?:[#>*\[<|(]+\s*)?([A-Za-z]{1,14})\s*(?:[\]>|*)]+\s*:?|:)[*\s]*")
 #: states: who speaks, and whether the line opens a turn
 STATES = [(r, opens) for r in range(3) for opens in (True, False)]
@@ -41,10 +44,28 @@ def marker(line: str) -> tuple[int, int]:
     return role, m.end() if role < 3 else 0
 
 
-def observe(line: str, first: bool) -> tuple[int, int, int, int]:
-    """Marker, length in four steps, asks, opens the transcript."""
+def marked(rows: list[str], alone: bool) -> list[tuple[str, int, int, int]]:
+    """(line, role of its marker, the marker's length, opens a row) for each line of some rows.
+
+    alone: the one row is the whole transcript, so rows say nothing of turns (2).
+    """
+    out = []
+    for row in rows:
+        lines = row.split("\n")
+        names = [m[1].lower() for x in lines if (m := _MARK.match(x)) and m[1].lower() in COMMON]
+        for k, line in enumerate(lines):
+            role, n = marker(line)
+            m = _MARK.match(line) if role < 3 else None
+            if m and k and m[1].lower() in COMMON and not (alone and names.count(m[1].lower()) > 1):
+                role, n = 3, 0
+            out.append((line, role, n, 2 if alone else int(k == 0)))
+    return out
+
+
+def observe(line: str, role: int, opens: int, first: bool) -> tuple[int, int, int, int, int]:
+    """Marker, length in four steps, asks, opens the transcript, opens a row."""
     n = len(line)
-    return marker(line)[0], (n > 0) + (n > 60) + (n > 300), int(line.rstrip().endswith("?")), int(first)
+    return role, (n > 0) + (n > 60) + (n > 300), int(line.rstrip().endswith("?")), int(first), opens
 
 
 @dataclass
@@ -59,9 +80,6 @@ class Model:
         return sum(t[:, seen[:, i]].T for i, t in enumerate(self.show))
 
 
-SIZES = (4, 4, 2, 2)
-
-
 def prior() -> list[np.ndarray]:
     """Pseudo-counts: what is expected of transcripts before any was seen."""
     start = np.array([4.0 if o else 0.01 for _, o in STATES]) * np.array([1, 1, 2, 2, 0.5, 0.5])
@@ -77,7 +95,9 @@ def prior() -> list[np.ndarray]:
     length, asks, first = np.full((6, 4), 3.0), np.full((6, 2), 2.0), np.full((6, 2), 2.0)
     asks[2, 1], asks[4, 1] = 3.0, 0.7
     first[0, 1] = 3.0
-    return [start, move, marks, length, asks, first]
+    row = np.array([[6.0, 30.0, 0.0] if o else [30.0, 0.5, 0.0] for _, o in STATES])
+    row[:, 2] = row[:, :2].sum(1)  # says nothing
+    return [start, move, marks, length, asks, first, row]
 
 
 def estimated(counts: list[np.ndarray] | None = None) -> Model:
@@ -86,24 +106,21 @@ def estimated(counts: list[np.ndarray] | None = None) -> Model:
     return Model(logs[0], logs[1], logs[2:])
 
 
-def lines_of(turns: list[str]) -> list[str]:
-    return [x for t in turns for x in t.split("\n")]
-
-
-def count(turns: list[tuple[int, str]]) -> list[np.ndarray]:
-    """Counts as in prior() of one transcript with known roles."""
+def count(turns: list[tuple[int, str]], first: bool = True) -> list[np.ndarray]:
+    """Counts as in prior() of a run of turns with known roles, each a row; first: they open the transcript."""
     out = [np.zeros_like(p) for p in prior()]
     before = -1
     for role, text in turns:
-        for k, line in enumerate(text.split("\n")):
+        for k, (line, mark, _, opens) in enumerate(marked([text], False)):
             s = STATES.index((role, k == 0))
-            if before < 0:
-                out[0][s] += 1
-            else:
+            if before >= 0:
                 out[1][before, s] += 1
-            for i, v in enumerate(observe(line, before < 0)):
+            elif first:
+                out[0][s] += 1
+            for i, v in enumerate(observe(line, mark, opens, first and before < 0)):
                 out[2 + i][s, v] += 1
             before = s
+    out[-1][:, 2] = out[-1][:, :2].sum(1)
     return out
 
 
@@ -131,24 +148,51 @@ def viterbi(emission: np.ndarray, move: np.ndarray, start: np.ndarray, last: int
     return path
 
 
+def _block() -> Column:
+    """Place of a row: 64 turn numbers to a group; in a group with a turn of very many rows each turn stands alone, cut by hash."""
+    fine = F.col("most") > BLOCK
+    parts = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("n") / BLOCK, F.lit(1.0))))).cast("long")
+    return F.struct("group", F.when(fine, F.col("turn")).otherwise(0).alias("turn"), F.when(fine, F.shiftrightunsigned("lot", 1) % parts).otherwise(0).alias("part"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """rows (conv_id, solo, turn, lot, ..) with block, of at most some BLOCK rows; blocks in order hold rows in order of (turn, part, lot)."""
+    rows = saved(rows.withColumn("group", F.coalesce(F.expr(f"turn div {BLOCK}"), F.lit(0))), "chat-rows")
+    turns = rows.groupBy("conv_id", "solo", "group", "turn").agg(F.count("*").alias("n"))
+    heavy = turns.where(F.col("n") > BLOCK)
+    groups = heavy.groupBy("conv_id", "solo", "group").agg(F.max("n").alias("most"))
+    sizes = saved(turns.join(groups, ["conv_id", "solo", "group"]).select("conv_id", "solo", "group", "turn", "n", "most"), "chat-heavy")
+    if not sizes.head(1):
+        return rows.withColumn("block", F.struct("group", F.lit(0).cast("long").alias("turn"), F.lit(0).cast("long").alias("part")))
+    return rows.join(sizes, ["conv_id", "solo", "group", "turn"], "left").na.fill(1, ["n", "most"]).withColumn("block", _block()).drop("n", "most")
+
+
 def train(messages: DataFrame, sample: int = 2000) -> Model:
-    """Counts over at most about `sample` conversations with known roles, chosen by a hash of their id."""
-    rows = messages.where(F.lower("role").isin(list(_ROLE)) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    n = rows.agg(F.approx_count_distinct("conv_id")).first()[0]
-    rows = rows.where(F.pmod(F.xxhash64("conv_id", F.lit(5)), F.lit(1_000_003)) < min(1.0, sample / max(n, 1)) * 1_000_003)
+    """Counts over at most about `sample` runs of up to 64 turn numbers with known roles, chosen by a hash.
+
+    A run in which a turn number has more than a few rows is left out of the counts only; a transition from one run to the
+    next, or over a missing turn number, is not counted.
+    """
+    known = messages.where(F.lower("role").isin(list(_ROLE)) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    raw = F.concat(F.lower("role"), F.lit(": "), F.coalesce("text", F.lit("")))
+    rows = known.select("conv_id", F.expr(f"turn div {BLOCK}").alias("run"), F.struct("turn", F.lower("role").alias("role"), raw.alias("raw")).alias("t"))
+    runs = rows.groupBy("conv_id", "run").agg(F.count("*").alias("n")).where(F.col("n") <= 4 * BLOCK)
+    total = runs.count()
+    chosen = runs.where(F.pmod(F.xxhash64("conv_id", "run", F.lit(5)), F.lit(1_000_003)) < min(1.0, sample / max(total, 1)) * 1_000_003)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros_like(p) for p in prior()]
         for b in batches:
             for turns in b.column(0).to_pylist():
-                got = count([(_ROLE[t["role"]], t["raw"]) for t in turns])
-                total = [a + c for a, c in zip(total, got, strict=True)]
+                cuts = [i for i, t in enumerate(turns) if not i or t["turn"] != turns[i - 1]["turn"] + 1]  # a row is missing there
+                for i, z in zip(cuts, [*cuts[1:], len(turns)], strict=True):
+                    got = count([(_ROLE[t["role"]], t["raw"]) for t in turns[i:z]], turns[i]["turn"] == 0)
+                    total = [a + c for a, c in zip(total, got, strict=True)]
         flat = np.concatenate([t.ravel() for t in total])
         yield pa.record_batch({"i": pa.array(range(len(flat)), pa.int32()), "n": pa.array(flat, pa.float64())})
 
-    raw = F.concat(F.lower("role"), F.lit(": "), F.coalesce("text", F.lit("")))
-    packed = rows.select("conv_id", F.expr(f"turn div {BLOCK}").alias("block"), F.struct("turn", F.lower("role").alias("role"), raw.alias("raw")).alias("t")).distinct().where("block = 0").groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    sums = {r["i"]: r["n"] for r in packed.select("turns").mapInArrow(run, "i int, n double").groupBy("i").agg(F.sum("n").alias("n")).collect()}
+    packed = rows.join(chosen.select("conv_id", "run"), ["conv_id", "run"]).distinct().groupBy("conv_id", "run").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    sums = {r["i"]: r["n"] for r in packed.select("turns").mapInArrow(counted, "i int, n double").groupBy("i").agg(F.sum("n").alias("n")).collect()}
     if not sums:
         return estimated()
     flat, out, at = np.array([sums[i] for i in range(len(sums))]), [], 0
@@ -159,88 +203,140 @@ def train(messages: DataFrame, sample: int = 2000) -> Model:
 
 
 def transcripts(messages: DataFrame) -> DataFrame:
-    """Raw transcripts in blocks: conv_id, solo, block, turns (array of raw strings in order).
+    """Raw transcripts in blocks: conv_id, solo, block, told (of each row), turns (raw strings in order).
 
     A message is its role as a marker, then its text, whatever the role column says; without a role it has no marker.
     """
     alone = F.col("conv_id").isNull() | F.col("turn").isNull()
     text = F.coalesce("text", F.lit(""))
-    raw = F.when(F.trim(F.coalesce("role", F.lit(""))) == "", text).otherwise(F.concat("role", F.lit(": "), text))
-    rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), raw.alias("raw"), F.when(alone, F.xxhash64("conv_id", "turn", raw)).otherwise(0).alias("solo"))
-    rows = rows.distinct().withColumn("block", F.coalesce(F.expr(f"turn div {BLOCK}"), F.lit(0)))
-    packed = rows.groupBy("conv_id", "solo", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "raw"))).alias("t"))
-    return packed.select("conv_id", "solo", "block", F.col("t.raw").alias("turns"))
+    told = F.trim(F.coalesce("role", F.lit(""))) != ""
+    raw = F.when(told, F.concat("role", F.lit(": "), text)).otherwise(text)
+    rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), raw.alias("raw"), told.alias("told"), F.when(alone, F.xxhash64("conv_id", "turn", raw)).otherwise(0).alias("solo"))
+    rows = _placed(rows.distinct().withColumn("lot", F.xxhash64("raw")))
+    packed = rows.groupBy("conv_id", "solo", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "raw", "told"))).alias("t"))
+    return packed.select("conv_id", "solo", "block", F.col("t.told").alias("told"), F.col("t.raw").alias("turns"))
+
+
+def _score(model: Model, turns: list[str], first: bool, alone: bool) -> tuple[list[tuple], np.ndarray]:
+    lines = marked(turns, alone)
+    return lines, model.emission(np.array([observe(x, r, o, first and i == 0) for i, (x, r, _, o) in enumerate(lines)]))
+
+
+#: blocks, or runs of them, that are joined in one row
+RUN = 256
+_KEY = ["conv_id", "solo"]
+
+
+def _same(a: str, b: str, *more: str) -> Column:
+    out = F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.solo") == F.col(f"{b}.solo"))
+    for c in more:
+        out = out & (F.col(f"{a}.{c}") == F.col(f"{b}.{c}"))
+    return out
+
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (conv_id, solo, at, steps) to the max-plus product of each run's matrices."""
+    for b in batches:
+        out = []
+        for steps in b.column(3).to_pylist():
+            m = np.array(steps[0]["matrix"]).reshape(6, 6)
+            for x in steps[1:]:
+                m = (m[:, :, None] + np.array(x["matrix"]).reshape(1, 6, 6)).max(1)
+            out.append(m.ravel().tolist())
+        yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.float64()))], ["conv_id", "solo", "at", "matrix"])
 
-def _score(model: Model, turns: list[str], first: bool) -> tuple[list[str], np.ndarray]:
-    lines = lines_of(turns)
-    seen = np.array([observe(x, first and i == 0) for i, x in enumerate(lines)])
-    return lines, model.emission(seen)
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (conv_id, solo, steps, enter, leave) of runs with known ends to the ends of each step."""
+    for b in batches:
+        conv, solo, at, enter, leave = [], [], [], [], []
+        for c, s, steps, i, o in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
+            path = viterbi_chain([np.array(x["matrix"]).reshape(6, 6) for x in steps], i, o)
+            for k, x in enumerate(steps):
+                conv.append(c), solo.append(s), at.append(x["at"]), enter.append(path[k - 1] if k else i), leave.append(path[k])
+        yield pa.record_batch([pa.array(conv, pa.int64()), pa.array(solo, pa.int64()), pa.array(at, pa.int64()), pa.array(enter, pa.int32()), pa.array(leave, pa.int32())], ["conv_id", "solo", "at", "enter", "leave"])
+
+
+def _chained(mats: DataFrame) -> DataFrame:
+    """conv_id, solo, at, enter, leave for rows (conv_id, solo, at, matrix): states before and at the end of each block.
+
+    Runs of RUN matrices become one, level by level, until each conversation is one run; then ends are handed down.
+    """
+    levels = [saved(mats, "chat-matrices")]
+    pack = lambda m: m.groupBy(*_KEY, F.expr(f"at div {RUN}").alias("at")).agg(F.array_sort(F.collect_list(F.struct("at", "matrix"))).alias("steps"))
+    while levels[-1].where(F.col("at") >= RUN).head(1):
+        levels.append(saved(pack(levels[-1]).mapInArrow(_runs, "conv_id long, solo long, at long, matrix array<double>"), "chat-matrices"))
+    ends = None
+    for level in reversed(levels):
+        runs = pack(level)
+        if ends is None:
+            known = runs.select(*_KEY, "steps", F.lit(-1).alias("enter"), F.lit(-1).alias("leave"))
+        else:
+            known = runs.alias("x").join(ends.alias("y"), _same("x", "y", "at")).select("x.conv_id", "x.solo", "x.steps", "y.enter", "y.leave")
+        ends = saved(known.mapInArrow(_ends, "conv_id long, solo long, at long, enter int, leave int"), "chat-ends")
+    done(*levels)
+    return ends
 
 
 def parse(messages: DataFrame, model: Model | None = None) -> DataFrame:
-    """Recovered turns: conv_id, turn (from 0), role, text, rendered.
+    """Recovered turns: conv_id, turn (from 0), role, told, text, rendered.
 
-    messages: conv_id, turn, role (a marker, may be null or in any of the known names), text. Rows that repeat in full
-    count once; rows without conv_id or turn are transcripts of their own; a null text is an empty line. Rows of one
-    turn number are taken in the order of their text. An empty table gives an empty result. rendered is
+    messages: conv_id, turn, role (a marker, may be null or in any of the known names), text. A row is taken to open a
+    turn, unless a conversation is one row, which is then cut at markers and lines. told: the turn's first row had a
+    marker. Rows that repeat in full count once; rows without conv_id or turn are transcripts of their own; a null text is
+    an empty line. Rows of one turn number are taken in the order of their text, or of its hash where there are very many
+    of them. An empty table gives an empty result. Long rows are read whole; one turn's text is one value. rendered is
     <|role|>, a line break, the text without its marker and white space at the ends, <|end|>.
     """
     model = model or train(messages)
-    key = ["conv_id", "solo"]
     blocks = saved(transcripts(messages), "chat-blocks")
-    spans = blocks.groupBy(*key).agg(F.min("block").alias("first_block"), F.count("*").alias("n_blocks"))
-    same = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.solo") == F.col(f"{b}.solo"))
-    placed = blocks.alias("x").join(spans.alias("y"), same("x", "y")).select("x.*", "y.first_block", "y.n_blocks")
-    placed = saved(placed.withColumn("first", F.col("block") == F.col("first_block")), "chat-placed")
+    order = W.partitionBy(*_KEY).orderBy("block")
+    index = blocks.select(*_KEY, "block", (F.row_number().over(order) - 1).cast("long").alias("at"))
+    several = index.groupBy(*_KEY).agg(F.count("*").alias("n_blocks"))
+    index = saved(index.alias("x").join(several.alias("y"), _same("x", "y")).select("x.*", "y.n_blocks"), "chat-index")
+    placed = saved(blocks.alias("x").join(index.alias("y"), _same("x", "y", "block")).select("x.conv_id", "x.solo", "y.at", "x.turns", "x.told", "y.n_blocks"), "chat-placed")
+    done(blocks, index)
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for turns, first in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                e = _score(model, turns, first)[1]
-                out.append((_opening(e, model) if first else reduced(e, model.move)).ravel().tolist())
-            yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.float64()))], ["conv_id", "solo", "block", "matrix"])
+            for turns, at in zip(b.column(3).to_pylist(), b.column(2).to_pylist(), strict=True):
+                e = _score(model, turns, at == 0, False)[1]
+                out.append((reduced(e, model.move) if at else _opening(e, model)).ravel().tolist())
+            yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.float64()))], ["conv_id", "solo", "at", "matrix"])
 
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            conv, solo, block, enter, leave = [], [], [], [], []
-            for c, s, steps in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                mats = [np.array(x["matrix"]).reshape(6, 6) for x in steps]
-                path = viterbi_chain(mats)
-                for i, x in enumerate(steps):
-                    conv.append(c), solo.append(s), block.append(x["block"]), enter.append(path[i - 1] if i else -1), leave.append(path[i])
-            yield pa.record_batch([pa.array(conv, pa.int64()), pa.array(solo, pa.int64()), pa.array(block, pa.int64()), pa.array(enter, pa.int32()), pa.array(leave, pa.int32())], ["conv_id", "solo", "block", "enter", "leave"])
-
-    several = placed.where("n_blocks > 1").select("conv_id", "solo", "block", "turns", "first")
-    mats = several.mapInArrow(matrices, "conv_id long, solo long, block long, matrix array<double>")
-    chained = mats.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("block", "matrix"))).alias("steps")).mapInArrow(ends, "conv_id long, solo long, block long, enter int, leave int")
-    ready = placed.alias("x").join(saved(chained, "chat-ends").alias("y"), same("x", "y") & (F.col("x.block") == F.col("y.block")), "left")
-    ready = ready.select("x.conv_id", "x.solo", "x.block", "x.turns", "x.first", F.coalesce("y.enter", F.lit(-1)).alias("enter"), F.coalesce("y.leave", F.lit(-1)).alias("leave"))
+    mats = placed.where("n_blocks > 1").select(*_KEY, "at", "turns").mapInArrow(matrices, "conv_id long, solo long, at long, matrix array<double>")
+    ends = _chained(mats)
+    ready = placed.alias("x").join(ends.alias("y"), _same("x", "y", "at"), "left")
+    ready = ready.select("x.conv_id", "x.solo", "x.at", "x.turns", "x.told", "x.n_blocks", F.coalesce("y.enter", F.lit(-1)).alias("enter"), F.coalesce("y.leave", F.lit(-1)).alias("leave"))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            conv, solo, block, part, role, text = [], [], [], [], [], []
-            for c, s, k, turns, first, enter, leave in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
-                lines, e = _score(model, turns, first)
+            conv, solo, block, part, role, told, text = [], [], [], [], [], [], []
+            for c, s, k, turns, says, n_blocks, enter, leave in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True):
+                lines, e = _score(model, turns, k == 0, n_blocks == 1 and len(turns) == 1)
                 path = viterbi(e, model.move, model.start if enter < 0 else model.move[enter], leave)
-                n = 0
-                for i, (line, p) in enumerate(zip(lines, path, strict=True)):
+                row, n, starts = -1, 0, {0}
+                for t in turns[:-1]:
+                    starts.add(max(starts) + t.count("\n") + 1)
+                for i, ((line, _, cut, _), p) in enumerate(zip(lines, path, strict=True)):
+                    row += i in starts
                     r, opens = STATES[p]
                     if opens or i == 0:
-                        n += opens or first  # part 0 goes on with the block before
-                        conv.append(c), solo.append(s), block.append(k), part.append(n), role.append(ROLES[r]), text.append([])
-                    text[-1].append(line[marker(line)[1] :] if opens else line)
-            yield pa.record_batch([pa.array(conv, pa.int64()), pa.array(solo, pa.int64()), pa.array(block, pa.int64()), pa.array(part, pa.int64()), pa.array(role, pa.string()), pa.array(["\n".join(t) for t in text], pa.string())], ["conv_id", "solo", "block", "part", "role", "text"])
-
-    parts = saved(ready.mapInArrow(decoded, "conv_id long, solo long, block long, part long, role string, text string"), "chat-parts")
-    count_ = parts.groupBy(*key, "block").agg(F.max("part").alias("n"))
-    before = F.coalesce(F.sum("n").over(W.partitionBy(*key).orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = count_.select(*key, "block", before.alias("shift"))
-    numbered = parts.alias("x").join(offsets.alias("y"), same("x", "y") & (F.col("x.block") == F.col("y.block"))).select("x.*", (F.col("x.part") + F.col("y.shift") - 1).alias("turn"))
-    whole = numbered.groupBy(*key, "turn").agg(F.min_by("role", "block").alias("role"), F.array_sort(F.collect_list(F.struct("block", "text"))).alias("t"))
+                        n += opens or k == 0  # part 0 goes on with the block before
+                        conv.append(c), solo.append(s), block.append(k), part.append(n), role.append(ROLES[r]), told.append(says[row] and i in starts), text.append([])
+                    text[-1].append(line[cut:] if opens else line)
+            yield pa.record_batch([pa.array(conv, pa.int64()), pa.array(solo, pa.int64()), pa.array(block, pa.int64()), pa.array(part, pa.int64()), pa.array(role, pa.string()), pa.array(told, pa.bool_()), pa.array(["\n".join(t) for t in text], pa.string())], ["conv_id", "solo", "at", "part", "role", "told", "text"])
+
+    parts = saved(ready.mapInArrow(decoded, "conv_id long, solo long, at long, part long, role string, told boolean, text string"), "chat-parts")
+    done(placed, ends)
+    count_ = parts.groupBy(*_KEY, "at").agg(F.max("part").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy(*_KEY).orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = count_.select(*_KEY, "at", before.alias("shift"))
+    numbered = parts.alias("x").join(offsets.alias("y"), _same("x", "y", "at")).select("x.*", (F.col("x.part") + F.col("y.shift") - 1).alias("turn"))
+    whole = numbered.groupBy(*_KEY, "turn").agg(F.min_by("role", "at").alias("role"), F.min_by("told", "at").alias("told"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("t"))
     text = F.regexp_replace(F.array_join("t.text", "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return whole.select("conv_id", "turn", "role", text.alias("text")).withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("<|end|>")))
+    return whole.select("conv_id", "turn", "role", "told", text.alias("text")).withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("<|end|>")))
 
 
 def _opening(emission: np.ndarray, model: Model) -> np.ndarray:
@@ -251,14 +347,17 @@ def _opening(emission: np.ndarray, model: Model) -> np.ndarray:
     return np.repeat(score[None], len(score), 0)
 
 
-def viterbi_chain(mats: list[np.ndarray]) -> list[int]:
-    """The last state of each block on the best path through blocks of which the first has equal rows."""
-    score, back = mats[0][0], []
+def viterbi_chain(mats: list[np.ndarray], enter: int = -1, leave: int = -1) -> list[int]:
+    """The last state of each block on the best path, from state enter to state leave where these are given.
+
+    Without enter, the first matrix has equal rows, which are the scores from the start.
+    """
+    score, back = mats[0][max(enter, 0)], []
     for m in mats[1:]:
         step = score[:, None] + m
         back.append(step.argmax(0))
         score = step.max(0)
-    path = [int(score.argmax())]
+    path = [leave if leave >= 0 else int(score.argmax())]
     for b in reversed(back):
         path.append(int(b[path[-1]]))
     return path[::-1]
