@@ -17,7 +17,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .textkernel import slices
 
@@ -359,8 +360,8 @@ def main_text(page: str | None, tree: Tree) -> str:
     return " ".join(b.text for b, says in zip(p.blocks, tree.says(measured(p)), strict=True) if says)
 
 
-def extract(pages: DataFrame, labelled: str = PAGES) -> DataFrame:
-    """page_id, url, text, n_chars for each page.
+def extract(pages: DataFrame, *more: Column, labelled: str = PAGES) -> DataFrame:
+    """page_id, url, text, n_chars for each page, and strings that `more` takes from its row.
 
     A null or empty page has an empty text; a null page_id or url stays null; repeated rows are rows of their own; an
     empty table gives an empty result; other columns are ignored. Whole pages are read, of any length, in time that
@@ -373,6 +374,8 @@ def extract(pages: DataFrame, labelled: str = PAGES) -> DataFrame:
             for a, z in slices(x.column(2)):
                 b = x.slice(a, z - a)
                 texts = [main_text(t, tree) for t in b.column(2).to_pylist()]
-                yield pa.record_batch({"page_id": b.column(0), "url": b.column(1), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
+                yield pa.record_batch({"page_id": b.column(0), "url": b.column(1), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())} | {n: b.column(3 + i) for i, n in enumerate(names)})
 
-    return pages.selectExpr("cast(page_id as bigint) page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", *more)
+    names = rows.columns[3:]
+    return rows.mapInArrow(run, ", ".join(["page_id long, url string, text string, n_chars long", *(f"`{n}` string" for n in names)]))

@@ -121,7 +121,7 @@ def host_of(url: Column) -> Column:
 
 def declared_in(page: Column) -> Column:
     """The lang attribute of the html element."""
-    return F.lower(F.regexp_extract(F.coalesce(page, F.lit("")), r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
+    return F.lower(F.regexp_extract(F.coalesce(page, F.lit("")), r"(?is)<html\b[^<>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
 
 
 def identify(
@@ -171,5 +171,11 @@ def identify(
 
 
 def accepted(docs: DataFrame, **kinds) -> DataFrame:
-    """The rows of docs whose language is known, whole; of rows that repeat a doc_id all stay if one does."""
-    return rows_with(docs, identify(docs, **kinds).where("kept").select(F.col("doc_id").cast("long")).distinct())
+    """The rows of docs whose language is known, whole, with all their columns, whatever these are called.
+
+    Verdicts are those of identify(), so rows with an empty or null text go. Rows that repeat a doc_id all stay if one
+    does, null doc_ids alike; an empty table gives an empty result. Verdicts are written before rows meet them: a filter
+    above the fusion would copy its expressions into one method that is too long to be compiled.
+    """
+    found = saved(identify(docs, **kinds).select(F.col("doc_id").cast("long").alias("doc_id"), "kept"), "language-kept")
+    return rows_with(docs, found.where("kept").select("doc_id").distinct())
