@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat_format, exact_dedup, html_extract, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding
+from .scratch import saved
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,16 +50,24 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id.identify(_table(spark, sf_dir, "documents"))
+    """Documents by text, declared language and source; pages by main text, markup, address suffix and host."""
+    pages = html_extract.extract(_table(spark, sf_dir, "pages"), language_id.declared_in(F.col("html")).alias("declared"))
+    pages = saved(pages.select(F.lit("page").alias("kind"), F.lit(None).cast("long").alias("doc_id"), "page_id", "text", "declared", language_id.host_of(F.col("url")).alias("host")), "language-pages")
+    docs = _table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
+    rows = docs.unionByName(pages).select(F.struct("kind", "doc_id", "page_id").alias("row"), "text", "declared", "host")
+    return language_id.identify(rows, "row", declared="declared", host="host").select("row.kind", "row.doc_id", "row.page_id", "language", "posterior", "kept")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = chat_format.parse(_table(spark, sf_dir, "conversations"))
-    return out.select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
+    """Markers of a quarter of the rows are withheld, by a hash, from parsing and from training; their roles are recovered."""
+    rows = _table(spark, sf_dir, "conversations")
+    shown = rows.withColumn("role", F.when(F.pmod(F.xxhash64("conv_id", "turn", F.lit(13)), F.lit(4)) > 0, F.col("role")))
+    out = chat_format.parse(shown)
+    return out.select("conv_id", "turn", "role", "told", F.length("text").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).drop("doc")
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("key")
 
 
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import random
 import re
 from collections import Counter
 
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat_format, language_id, mixing, quality_rules, sharding, textkernel
+from ledgerloom.llm import bpe, chat_format, language_id, mixing, quality_rules, sharding, textkernel, topics
 from ledgerloom.llm.queries import QUERIES, vocabulary
 
 from messy import empty, table, texts
@@ -78,6 +79,19 @@ def test_label_model_finds_accuracies():
 # --- tokens ---
 
 
+def test_bpe_against_the_library_on_odd_strings():
+    from tokenizers import Tokenizer
+
+    t, ours, r = Tokenizer.from_file(vocabulary()), bpe.WordBpe(json.load(open(vocabulary(), encoding="utf-8"))), random.Random(1)
+    letters = "abcdeiİIßéÉñ.,'’0123 \t\n-_ΣσςſĶ\u0301\u0327\u0307日本\U0001f389<|>ǅ"
+    whole = ["<|endoftext|>", "<|startoftext|>", "aİ", "İ.", "A.İ.", "Bİ, ve", "'S", " ", "x" * 70, "é" * 40]
+    for _ in range(20):
+        rows = ["".join(r.choices(letters, k=r.randrange(1, 14))) if r.random() < 0.9 else "".join(r.choices(whole, k=4)) for _ in range(1000)]
+        for x, got in zip(rows, ours.packed(rows), strict=True):
+            want = t.encode(x, add_special_tokens=False).ids
+            assert np.frombuffer(got, "<u4").tolist() == want, x
+
+
 def test_bpe_as_the_library(spark, sf):
     from tokenizers import Tokenizer
 
@@ -129,11 +143,77 @@ def test_language(spark):
     assert sum(r.language == r.truth for r in got) > 0.98 * len(got)
 
 
-def test_language_of_pages_by_markup_and_host(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    got = language_id.identify(df, "page_id", text=F.regexp_replace("html", "<[^>]*>", " "), declared=language_id.declared_in(F.col("html")), host=language_id.host_of(F.col("url")))
-    both = got.join(df.select("page_id", language_id.declared_in(F.col("html")).alias("told")), "page_id")
-    assert both.where("language = told").count() > 0.97 * both.count()
+def test_language_query_on_pages_and_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op6_language_id"](spark, sf)
+    docs, pages = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/pages.parquet")
+    assert got.where("kind = 'document'").select("doc_id").exceptAll(docs.select("doc_id")).count() == 0 and got.count() == docs.count() + pages.count()
+    told = pages.select("page_id", language_id.declared_in(F.col("html")).alias("told"))
+    both = got.where("kind = 'page'").join(told, "page_id")
+    assert both.where("language = told").count() > 0.97 * both.count() > 0
+
+
+def test_markup_suffix_and_host_withheld_by_hash(spark):
+    """Pages whose declarations are hidden by a hash, and whose texts are cut to two words: suffix and host decide more than chance."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("told", language_id.declared_in(F.col("html")))
+    text = F.regexp_replace("html", "<[^>]*>", " ")
+    rows = df.select("page_id", "told", text.alias("text"), F.when(F.xxhash64("page_id") % 2 == 0, F.col("told")).alias("lang"), language_id.host_of(F.col("url")).alias("source"))
+    got = language_id.identify(rows, "page_id").join(rows.select("page_id", "told", "lang"), "page_id").where("lang is null").collect()
+    assert sum(r.language == r.told for r in got) > 0.97 * len(got) > 0
+
+
+def brute_language(rows, model, languages, evidence=60, trust=0.9, strength=20.0):
+    """(language, posterior) of each (text, declared, host), number by number, from the same likelihoods."""
+    k = len(languages) + 1
+    scores = []
+    for text, _, _ in rows:
+        raw = (text or "").encode()
+        ll, n = np.zeros(k), 0
+        for i in range(len(raw) - 2):
+            bins, ok = language_id._trigrams(np.frombuffer(raw[i : i + 3], np.uint8))
+            if ok[0]:
+                ll, n = ll + model[bins[0]], n + 1
+        scores.append((ll / max(n, 1) * min(n, evidence), n, sum(language_id._CLASS[b] != 32 for b in raw)))
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    of = lambda rows_: (sum(rows_, np.zeros(k)), len(rows_))
+    told = [(soft(s), h or "") for (s, n, _), (_, _, h) in zip(scores, rows, strict=True) if n]
+    total, count = of([p for p, _ in told])
+    flat = (total + 1) / (count + k)
+    suffix = lambda h: h.rsplit(".", 1)[1] if "." in h and not h.endswith(".") else ""
+    out = []
+    for (s, _, letters), (_, d, h) in zip(scores, rows, strict=True):
+        h = h or ""
+        mine = [p for p, x in told if x == h]
+        prior = np.log(flat)
+        if mine:
+            ps, ns = of([p for p, x in told if suffix(x) == suffix(h)])
+            ph, nh = of(mine)
+            prior = np.log((ph + strength * (ps + strength * flat) / (ns + strength)) / (nh + strength))
+        said = np.array([np.log(trust if d == x else (1 - trust) / len(languages)) if d in languages else 0.0 for x in [*languages, None]])
+        p = soft(s + said + prior)
+        out.append(([*languages, "und"][int(p.argmax())], float(p.max())) if letters else ("und", 1.0))
+    return out
+
+
+def test_language_against_brute_force(spark):
+    languages = ("en", "de", "fr", "es")
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.substring("text", 1, 80).alias("text"), F.when(F.col("doc_id") % 3 > 0, F.col("lang")).alias("lang"), F.concat(F.lit("h"), F.col("doc_id") % 7, F.when(F.col("lang") == "de", ".de").otherwise(".com")).alias("source"))
+    rows = sorted(df.collect())
+    model = language_id.train(df.select("text", F.col("doc_id").alias("id"), F.coalesce("lang", F.lit("")).alias("declared")), languages, F.col("declared"), F.col("id"))
+    want = brute_language([(r.text, r.lang, r.source) for r in rows], model, languages)
+    got = {r.doc_id: (r.language, r.posterior) for r in language_id.identify(df, languages=languages).collect()}
+    for r, (language, posterior) in zip(rows, want, strict=True):
+        assert got[r.doc_id][0] == language and abs(got[r.doc_id][1] - posterior) < 1e-4
+
+
+def test_accepted_is_compiled(spark):
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert language_id.accepted(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
 
 
 def test_language_on_messy_rows(spark):
@@ -167,6 +247,43 @@ def test_chat_without_markers(spark):
     assert line and all(r.role == "user" for r in line)
 
 
+def test_labels_inside_rows_open_no_turns(spark):
+    rows = [(0, "user", "Please fix:\nA: the first item\nB: the second"), (1, "assistant", "Model: GT40\nAgent: none"), (2, "user", "thanks")]
+    df = spark.createDataFrame([(1, t, r, x) for t, r, x in rows], "conv_id long, turn long, role string, text string")
+    assert sorted((r.turn, r.role, r.text, r.told) for r in chat_format.parse(df, chat_format.estimated()).collect()) == [(t, r, x, True) for t, r, x in rows]
+
+
+def test_transcripts_in_one_row(spark):
+    one = "User: What is it?\nSay more: please\nAssistant: It is so.\nAnd a second line\nUser: Thanks\nAssistant: Good day"
+    two = "Q: what is a?\nA: the first\nQ: and b?\nA: the second"
+    df = spark.createDataFrame([(1, 0, None, one), (2, 0, None, two)], "conv_id long, turn long, role string, text string")
+    got = sorted((r.conv_id, r.turn, r.role, r.text) for r in chat_format.parse(df, chat_format.estimated()).collect())
+    assert got == [
+        (1, 0, "user", "What is it?\nSay more: please"), (1, 1, "assistant", "It is so.\nAnd a second line"), (1, 2, "user", "Thanks"), (1, 3, "assistant", "Good day"),
+        (2, 0, "user", "what is a?"), (2, 1, "assistant", "the first"), (2, 2, "user", "and b?"), (2, 3, "assistant", "the second"),
+    ]
+
+
+def test_withheld_markers_are_recovered(spark):
+    """The registered query hides a quarter of the roles; scored against the table, and the query's rows against parse() on all of them."""
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op7_chat_format"](spark, sf).join(spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", F.col("role").alias("truth"), F.col("text").alias("t")), ["conv_id", "turn"], "full").collect()
+    hidden = [r for r in got if r.told is False]
+    assert 0.15 * len(got) < len(hidden) < 0.35 * len(got) and all(r.role == r.truth for r in got if r.told)
+    assert sum(r.role == r.truth for r in hidden) >= 0.95 * len(hidden)
+    assert all(r.n_chars == len(r.t.strip()) for r in got)
+
+
+def test_very_many_rows_of_one_turn(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "RUN", 3)
+    rows = [(1, 5, "user", f"text {i}") for i in range(700)] + [(1, 4, "user", "before"), (1, 6, "assistant", "after")] + [(2, i, ["user", "assistant"][i % 2], f"x {i}") for i in range(1500)]
+    got = chat_format.parse(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), chat_format.estimated()).collect()
+    one = sorted((r for r in got if r.conv_id == 1), key=lambda r: r.turn)
+    assert [r.turn for r in one] == list(range(702)) and one[0].text == "before" and one[-1].text == "after" and {r.text for r in one[1:-1]} == {f"text {i}" for i in range(700)}
+    two = sorted((r.turn, r.role, r.text) for r in got if r.conv_id == 2)
+    assert two == [(i, ["user", "assistant"][i % 2], f"x {i}") for i in range(1500)]
+
+
 def test_long_conversations_in_blocks(spark, monkeypatch):
     turns = [(1, i, ["user", "assistant"][i % 2] if i % 5 else None, f"text {i}\nmore\n?") for i in range(150)] + [(2, 0, "user", "x")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
@@ -208,32 +325,75 @@ def test_raking_meets_marginals():
     r = np.random.default_rng(1)
     x = r.integers(1, 1000, (6, 4, 3)).astype(float)
     x[2, :, 0] = 0
-    aims = [np.array([1, 2, 3, 4, 5, 6.0]), np.array([4, 3, 2, 1.0]), np.array([1, 1, 1.0])]
-    w = mixing.rake(x, aims)
-    for axis, a in enumerate(aims):
-        got = w.sum(tuple(i for i in range(3) if i != axis))
-        assert np.allclose(got / got.sum(), a / a.sum(), atol=1e-6)
-    p = mixing.calibrate(x, w, 0.4)
-    assert abs((p * x).sum() - 0.4 * x.sum()) < 1e-6 * x.sum() and p.max() <= 1 and (p[x == 0] == 0).all()
-    assert mixing.rake(np.zeros((2, 2, 2)), [np.ones(2)] * 3).sum() == 0
+    targets = [np.array([1, 2, 3, 4, 5, 6.0]), np.array([4, 3, 2, 1.0]), np.array([1, 1, 1.0])]
+    w, miss = mixing.rake(x, targets)
+    plain = x / x.sum()  # one factor after the other, without a bound
+    for _ in range(2000):
+        for axis, a in enumerate(targets):
+            now = plain.sum(tuple(i for i in range(3) if i != axis))
+            plain = plain * (a / a.sum() / now).reshape([-1 if i == axis else 1 for i in range(3)])
+    assert miss < 1e-6 and np.allclose(w, plain, atol=1e-6)
+    p, share, miss = mixing.calibrated(x, targets, 0.9)
+    got = p * x / (p * x).sum()
+    assert 0 < share < 0.9 and p.max() <= 1 and (p[x == 0] == 0).all() and abs((p * x).sum() / x.sum() - share) < 1e-3
+    for axis, a in enumerate(targets):
+        assert np.abs(got.sum(tuple(i for i in range(3) if i != axis)) - a / a.sum()).max() < 0.005
+    assert mixing.rake(np.zeros((2, 2, 2)), [np.ones(2)] * 3)[0].sum() == 0
+
+
+def test_bounded_factors_against_bisection():
+    r = np.random.default_rng(4)
+    base, most = r.random((20, 7)), r.random((20, 7)) * 0.5
+    base[3, 2] = 0
+    for part in (0.2, 0.7, 0.99):
+        aim = part * np.where(base > 0, most, 0).sum(1)
+        s = mixing._factors(base, most, aim)
+        assert np.allclose(np.minimum(most, s[:, None] * base).sum(1), aim)
+
+
+TARGETS = {"source": {"s0": 0.5, "s1": 0.3, mixing.REST: 0.2}, "lang": {"en": 0.7, "de": 0.3}, "topic": {mixing.REST: 1.0}}
 
 
 def test_sample_follows_targets(spark):
     rows = [(i, "w " * 50, ["en", "de"][i % 2], f"s{i % 3}") for i in range(6000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    targets = {"source": {"s0": 0.5, "s1": 0.3, mixing.REST: 0.2}, "lang": {"en": 0.7, "de": 0.3}, "topic": {"brief": 1.0}}
-    out = mixing.mix(df, targets, 0.3)
+    out = mixing.mix(df, TARGETS, share=0.3)
     assert out.count() == 6000 and abs(out.where("kept").count() - 1800) < 150
     n = {tuple(r)[:2]: r[2] for r in out.where("kept").groupBy("source_cell", "lang_cell").count().collect()}
     assert abs(sum(v for k, v in n.items() if k[0] == "s0") / sum(n.values()) - 0.5) < 0.04 and abs(sum(v for k, v in n.items() if k[1] == "en") / sum(n.values()) - 0.7) < 0.04
-    assert mixing.mix(df.repartition(7), targets, 0.3).where("kept").select("doc_id").exceptAll(out.where("kept").select("doc_id")).count() == 0
+    assert mixing.mix(df.repartition(7), TARGETS, share=0.3).where("kept").select("doc_id").exceptAll(out.where("kept").select("doc_id")).count() == 0
+
+
+def test_targets_are_met_or_refused(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    for targets in (None, {"source": {"src0": 0.1, mixing.REST: 0.9}, "lang": {"en": 0.4, "de": 0.3, "fr": 0.2, "es": 0.1}, "topic": {mixing.REST: 1.0}}):
+        m = mixing.mixture(df, targets)
+        assert m.share > 0.2 and all(abs(r.wanted - r.attained) < 0.01 for r in m.report.collect())
+        kept = m.rows.where("kept")
+        total = kept.agg(F.sum("n_tokens")).first()[0]
+        assert abs(total / m.rows.agg(F.sum("n_tokens")).first()[0] - m.share) < 0.03
+        for r in m.report.where("axis = 'lang'").collect():
+            assert abs((kept.where(F.col("lang_cell") == r.value).agg(F.sum("n_tokens")).first()[0] or 0) / total - r.attained) < 0.03
+    rows = [(i, "w " * 50, ["en", "de"][i % 2], ["s0", "s1"][i % 2]) for i in range(100)]
+    apart = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    with pytest.raises(ValueError, match="out of reach"):
+        mixing.mix(apart, {"source": {"s0": 0.9, "s1": 0.1}, "lang": {"en": 0.2, "de": 0.8}, "topic": {mixing.REST: 1.0}})
+
+
+def test_topics_part_vocabularies(spark):
+    r = np.random.default_rng(8)
+    rows = [(i, " ".join(f"{'abc'[i % 3]}{x}" for x in r.integers(0, 40, 120)), f"t{i % 3}") for i in range(300)]
+    words = topics.counted(spark.createDataFrame(rows, "key long, text string, truth string").select("text", "key", "truth"))
+    got = topics.named(words, topics.fitted(words, 3)).groupBy("truth", "topic").count().collect()
+    assert len(got) == 3 and len({x.topic for x in got}) == 3
 
 
 def test_messy_mixture(spark):
     df = table(spark)
     out = mixing.mix(df)
     assert out.count() == len(texts()) and sorted(r.n_tokens for r in out.collect()) == sorted(len(WORD.findall(t or "")) for _, t in texts())
-    assert mixing.mixed(df).columns == df.columns and mixing.mix(empty(spark)).count() == 0
+    kept = out.where("kept").count()
+    assert mixing.mixed(df).columns == df.columns and mixing.mixed(df).count() == kept and mixing.mix(empty(spark)).count() == 0
 
 
 # --- shards ---
@@ -262,6 +422,26 @@ def test_shards_of_a_hot_group(spark):
     assert len(w) == 24 and max(w) < 1.1 * min(w)
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_equal_texts_share_a_shard(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    got = sharding.shard(df).join(df.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("t")), "doc_id")
+    assert got.groupBy("t").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
+    w = [r.w for r in got.groupBy("shard").agg(F.sum("size").alias("w")).collect()]
+    assert len(w) == 24 and max(w) < 1.1 * min(w)
+
+
+def test_a_group_of_most_of_a_shard(spark):
+    """Groups of 0.8 shard and less stay whole, and the shards even."""
+    rows = [(i, "one text that is often there") for i in range(240)] + [(1000 + i, "another one that is often there") for i in range(150)] + [(10000 + i, f"text {i:05d} {'x' * (i % 19)}") for i in range(9000)]
+    got = sharding.shard(table(spark, rows), 24).collect()
+    assert len({r.shard for r in got if r.doc_id < 240}) == len({r.shard for r in got if 1000 <= r.doc_id < 1150}) == 1
+    w = Counter()
+    for r in got:
+        w[r.shard] += r.size
+    assert max(w.values()) < 1.1 * min(w.values())
+
+
 def test_messy_shards(spark):
     got = sharding.shard(table(spark), 4).collect()
     assert len(got) == len(texts()) and {r.size for r in got if r.doc_id in (5, 6)} == {8}
