@@ -241,6 +241,8 @@ def _compare(plan: Plan, level: int):
             for k in np.flatnonzero(size > 2):
                 a, z = cuts[k], cuts[k + 1]
                 below = [*_descend(int(trees[a]), level, int(key[a]), ids[a:z], sk[a:z], plan)]
+                if not below:  # all parted
+                    continue
                 pairs = [np.concatenate([f[i] for f in below]) for i in range(3)]
                 keep = forest(*pairs) if len(pairs[0]) > 1 else slice(None)
                 found.append(tuple(p[keep] for p in pairs))

@@ -168,6 +168,13 @@ def test_forest_joins_what_all_pairs_join():
         assert len(keep) == n - len(set(parts(list(zip(x, y, strict=True)))))
 
 
+def test_a_node_whose_sets_all_part():
+    plan = N.Plan(small=2)
+    sk = np.arange(5 * 128, dtype=np.uint32).reshape(5, 128)
+    batch = N.pa.record_batch({"tree": N.pa.array([0] * 5, N.pa.int32()), "node": N.pa.array([7] * 5, N.pa.int64()), "id": N.pa.array(range(5), N.pa.int64()), "sketch": N.pa.array([x.tobytes() for x in sk], N.pa.binary())})
+    assert sum(b.num_rows for b in N._compare(plan, 1)(iter([batch]))) == 0
+
+
 def test_search_of_a_group():
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 60, 50)).astype(np.uint64) for _ in range(120)]
