@@ -18,11 +18,16 @@ def _trimmed(line: Column) -> Column:
     return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
+def _row() -> Column:
+    """Rows with equal doc_id and text have equal hits; others, also those without a doc_id, are told apart."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+
+
 def lines_of(docs: DataFrame, site: str = "source") -> DataFrame:
-    """A row for each line with a word: doc, site, position, two hashes of the trimmed line."""
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"))
+    """A row for each line with a word: row (a hash of doc_id and text), site, position, two hashes of the trimmed line."""
+    cut = docs.select(_row().alias("row"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "raw"))
     line = _trimmed(F.col("raw"))
-    return cut.withColumn("line", line).where("line <> ''").select("doc_id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
+    return cut.withColumn("line", line).where("line <> ''").select("row", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int, log2_buckets: int = 8) -> DataFrame:
@@ -44,15 +49,16 @@ def remove_lines(docs: DataFrame, min_sites: int = 10, site: str = "source") ->
 
     A line counts without white space at its ends; blank lines are never boilerplate and stay where they are. A null
     site is a site of its own, a null text is an empty text, an empty table gives an empty result. Rows that repeat a
-    doc_id are texts of their own. n_lines and n_removed count lines with a word.
+    doc_id are texts of their own. n_lines and n_removed count lines with a word. Texts of any length are read whole; the
+    lines of one text are one array of its task.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(site).cast("string").alias("site"))
     lines = saved(lines_of(docs, "site"), "line-hashes")
     bad = saved(boilerplate(lines, min_sites).distinct(), "line-boilerplate")
-    hit = lines.join(bad, KEY, "left_semi").select("doc_id", "pos", *KEY).distinct()
-    hits = hit.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "h1", "h2"))).alias("hits")).withColumnRenamed("doc_id", "hit_id")
-    both = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
-    # A map keyed by position and hash holds also where a doc_id is repeated with another text.
+    hit = lines.join(bad, KEY, "left_semi").select("row", "pos", *KEY).distinct()
+    hits = hit.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "h1", "h2"))).alias("hits"))  # of one text
+    both = docs.withColumn("row", _row()).join(hits, "row", "left")
+    # A map keyed by position and hash holds also where two rows share a hash.
     keyed = F.map_from_arrays(F.transform("hits", lambda x: F.concat_ws(",", x["pos"], x["h1"], x["h2"])), F.transform("hits", lambda x: x["pos"]))
     parts = F.split("text", "\n")
     has_word = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
