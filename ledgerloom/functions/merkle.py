@@ -39,7 +39,8 @@ def roots(leaves: DataFrame, by: list[str], order: str, leaf: str, bucket: Colum
     before = F.coalesce(F.sum("_n").over(W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ranked = rows.withColumn("_i", F.row_number().over(W.partitionBy(*by, "_b").orderBy("_o", "_leaf")) - 1)
     level = ranked.join(sizes.select(*by, "_b", before.alias("_shift")), [*by, "_b"]).select(*by, (F.col("_i") + F.col("_shift")).alias("_i"), _sha(F.col("_leaf")).alias("_node"))
-    for _ in range(-(-48 // chunk_bits)):
+    most = sizes.groupBy(*by).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 1
+    for _ in range(max(1, -(-(most - 1).bit_length() // chunk_bits))):  # until each group is one node
         chunk = F.shiftright("_i", chunk_bits).alias("_i")
         level = level.groupBy(*by, chunk).agg(fold(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_node"))), lambda x: x["_node"])).alias("_node"))
     return sizes.groupBy(*by).agg(F.sum("_n").alias("n_leaves")).join(level.select(*by, F.col("_node").alias("root")), by)

@@ -10,7 +10,7 @@ def last_receipts(receipts: DataFrame, order: str | None = None) -> DataFrame:
     """One receipt a transaction: of several the last by `order`."""
     if order is None:
         return receipts.dropDuplicates(["transactionHash"])
-    cols = receipts.columns
+    cols = [c for c in receipts.columns if c != order]
     best = receipts.groupBy("transactionHash").agg(F.max_by(F.struct(*cols), F.col(order)).alias("r"))
     return best.select("r.*")
 

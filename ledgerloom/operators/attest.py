@@ -49,8 +49,9 @@ def block_roots(docs: DataFrame, chunked: bool = False) -> DataFrame:
 
 def block_records(docs: DataFrame, blocks: DataFrame, created_at: Column | str, signatures: DataFrame | None = None) -> DataFrame:
     """One attestation a block; type, identity and value come from `signatures` (blockNumber, ...) or stay NULL."""
-    cids = F.array_sort(F.transform(F.collect_list("cid"), lambda c: F.lower(F.hex(c))))
-    out = docs.where("cid is not null").groupBy("blockNumber").agg(F.lower(F.hex(root(F.array_sort(F.collect_list("cid"))))).alias("merkleRoot"), F.count("*").alias("cidCount"), cids.alias("cids"))
+    out = docs.where("cid is not null").groupBy("blockNumber").agg(F.array_sort(F.collect_list("cid")).alias("leaves"), F.count("*").alias("cidCount"))
+    # hex digits keep the order of the bytes
+    out = out.select("blockNumber", F.lower(F.hex(root(F.col("leaves")))).alias("merkleRoot"), "cidCount", F.transform("leaves", lambda c: F.lower(F.hex(c))).alias("cids"))
     out = out.join(blocks.select(F.col("number").alias("blockNumber"), F.col("hash").alias("blockHash")), "blockNumber")
     names = ["signatureType", "signatureIdentity", "signatureValue"]
     out = out.join(signatures.select("blockNumber", *names), "blockNumber", "left") if signatures is not None else out.withColumns({n: F.lit(None).cast("string") for n in names})

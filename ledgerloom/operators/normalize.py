@@ -46,8 +46,10 @@ def transactions(raw: DataFrame) -> DataFrame:
 
 
 def receipts(raw: DataFrame) -> DataFrame:
+    """One row a raw receipt; `place`, its place among all, stays where the rows have it."""
+    place = [c for c in raw.columns if c == "place"]
     ok = F.coalesce(X.to_int(F.col("status")), F.lit(0)) == 1
-    return raw.where("transactionHash is not null").select("transactionHash", X.to_int(F.col("transactionIndex")).alias("transactionIndex"), *_text("blockHash"), X.to_int(F.col("blockNumber")).alias("blockNumber"), *_text("from", "to", "cumulativeGasUsed", "gasUsed"), X.contract_address(F.col("contractAddress")).alias("contractAddress"), F.when(ok, "1").otherwise("0").alias("status"), "logs")
+    return raw.where("transactionHash is not null").select("transactionHash", X.to_int(F.col("transactionIndex")).alias("transactionIndex"), *_text("blockHash"), X.to_int(F.col("blockNumber")).alias("blockNumber"), *_text("from", "to", "cumulativeGasUsed", "gasUsed"), X.contract_address(F.col("contractAddress")).alias("contractAddress"), F.when(ok, "1").otherwise("0").alias("status"), "logs", *place)
 
 
 def logs(receipt_rows: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: ids up to which a list becomes a predicate; a longer one becomes a semi join
 INLINE_IDS = 1000
+LOG_FIELDS = ["logIndex", "address", "topics", "data"]
 
 
 def condition(field: str, op: str, value) -> Column:
@@ -79,11 +80,23 @@ def latest_blocks(blocks: DataFrame, n: int = 10) -> DataFrame:
 
 
 def block_with_transactions(blocks: DataFrame, transactions: DataFrame, logs: DataFrame, number: int | None = None) -> DataFrame:
-    """Blocks with their transactions, and these with their logs; the filter reaches all three tables."""
+    """Blocks with their transactions, and these with their logs; the filter reaches all three tables.
+
+    Transactions and logs move once, together, by height: both nestings are then groupings within it. One block's rows are
+    one value of the result, so they have to fit a task.
+    """
     if number is not None:
         blocks, transactions, logs = blocks.where(F.col("number") == number), transactions.where(F.col("blockNumber") == number), logs.where(F.col("blockNumber") == number)
-    tx = nest_many(transactions, logs, "hash", "transactionHash", "logs", ["logIndex", "address", "topics", "data"])
-    return nest_many(blocks, tx, "number", "blockNumber", "transactions", ["transactionIndex", "hash", "from", "to", "value", "logs"])
+    log = F.struct(*LOG_FIELDS)
+    kind = logs.select(log.alias("l")).schema["l"].dataType
+    mine = F.struct("transactionIndex", "hash", "from", "to", "value")
+    theirs = transactions.select(mine.alias("t")).schema["t"].dataType
+    rows = transactions.select("blockNumber", "hash", mine.alias("t"), F.lit(None).cast(kind).alias("l"))
+    rows = rows.unionByName(logs.select("blockNumber", F.col("transactionHash").alias("hash"), F.lit(None).cast(theirs).alias("t"), log.alias("l"))).repartition("blockNumber")
+    tx = rows.groupBy("blockNumber", "hash").agg(F.max("t").alias("t"), F.array_sort(F.collect_list("l")).alias("logs")).where("t is not null")
+    packed = tx.groupBy("blockNumber").agg(F.array_sort(F.collect_list(F.struct("t.*", "logs"))).alias("transactions"))
+    out = blocks.join(packed, blocks["number"] == packed["blockNumber"], "left").drop("blockNumber")
+    return out.withColumn("transactions", F.coalesce("transactions", F.array().cast(packed.schema["transactions"].dataType)))
 
 
 def transaction_logs(logs: DataFrame, tx_hash: str) -> DataFrame:
@@ -98,9 +111,6 @@ def logs_by_topic(logs: DataFrame, topic: str) -> DataFrame:
     return where(logs, condition("topics", "any", topic))
 
 
-LOG_FIELDS = ["logIndex", "address", "topics", "data"]
-
-
 def transaction_by_hash(transactions: DataFrame, logs: DataFrame, tx_hash: str) -> DataFrame:
     return nest_many(where(transactions, condition("hash", "eq", tx_hash)), transaction_logs(logs, tx_hash), "hash", "transactionHash", "logs", LOG_FIELDS)
 

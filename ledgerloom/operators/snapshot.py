@@ -114,7 +114,3 @@ def signatures(rows: DataFrame) -> DataFrame:
 def catalog_signed(files: DataFrame, signature_rows: DataFrame) -> DataFrame:
     s = signatures(signature_rows).select("snapshotFile", F.col("merkleRoot").alias("root"))
     return files.join(s, "snapshotFile", "left").withColumn("signed", F.col("root").isNotNull())
-
-
-def export_chain(spark: SparkSession, root_path: str, chain: str, names: list[str]) -> dict[str, DataFrame]:
-    return {n: scan(spark, root_path, n, chain) for n in names}

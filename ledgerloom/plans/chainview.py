@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.tables import shared_folder
+
 LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
@@ -33,6 +36,26 @@ def _ids(df: DataFrame, kind: str, key: Column) -> DataFrame:
     return df.withColumn("doc_id", h).withColumn("cid", F.unhex(h))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(build):
+    """A view that is worked out once a session, written by height, and read from then on, so that filters reach its files."""
+
+    @wraps(build)
+    def read(v: "ChainView") -> DataFrame:
+        key = (v.spark.sparkContext.applicationId, v.sf_dir, build.__name__)
+        if key not in _STORED:
+            df = build(v)
+            height = next((c for c in ("blockNumber", "number") if c in df.columns), None)
+            path = shared_folder(v.spark, f"view-{build.__name__}")
+            (df.repartitionByRange(height).sortWithinPartitions(height) if height else df).write.parquet(path)
+            _STORED[key] = path
+        return v.spark.read.parquet(_STORED[key])
+
+    return read
+
+
 @dataclass
 class ChainView:
     spark: SparkSession
@@ -41,6 +64,7 @@ class ChainView:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @stored
     def transactions(self) -> DataFrame:
         key = F.col("o_orderkey")
         df = self._read("orders").withColumn("blockNumber", _height())
@@ -54,6 +78,7 @@ class ChainView:
         )
         return _ids(df, "dt", F.col("hash"))
 
+    @stored
     def blocks(self) -> DataFrame:
         n = F.col("number")
         df = self._read("orders").groupBy(_height().alias("number")).agg(F.count("*").alias("txs"))
@@ -63,10 +88,12 @@ class ChainView:
         )
         return _ids(df, "db", F.col("hash"))
 
+    @stored
     def receipts(self) -> DataFrame:
         key = F.col("o_orderkey")
         return self._read("orders").where("o_orderstatus <> 'P'").select(_hex("t", key).alias("transactionHash"), F.when(key % 20 == 0, "0").otherwise("1").alias("status"), (21000 + key % 5000).cast("string").alias("gasUsed"))
 
+    @stored
     def logs(self) -> DataFrame:
         rows = self._read("lineitem").join(self._read("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("blockNumber", _height())
         rows = rows.select(
@@ -76,6 +103,7 @@ class ChainView:
         )
         return _ids(rows, "dl", F.concat_ws("-", F.col("blockNumber").cast("string"), F.col("logIndex").cast("string")))
 
+    @stored
     def access_list(self) -> DataFrame:
         rows = self._read("lineitem").where("l_linenumber <= 2").join(self._read("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("blockNumber", _height())
         rows = rows.withColumn("entryIndex", (F.row_number().over(W.partitionBy("blockNumber").orderBy(*LINE)) - 1).cast("long")).select(

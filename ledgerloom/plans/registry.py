@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from ..functions import expr as X
 from ..operators import assemble, attest, ops, quality, query, retention, snapshot, verify
 from ..sources import schema as S
 from ..streaming import stream
+from . import landed
 from .chainview import SQL, ChainView
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,24 +34,11 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
-def _sha(text: str) -> Column:
-    return F.sha2(F.lit(text), 256)
+def _hex(text: str, digits: int = 64) -> str:
+    return "0x" + hashlib.sha256(text.encode()).hexdigest()[:digits]
 
 
-def _literal(v: ChainView, c: Column) -> str:
-    return v.spark.range(1).select(c).first()[0]
-
-
-def _tx(v: ChainView) -> str:
-    return _literal(v, F.concat(F.lit("0x"), _sha("t100")))
-
-
-def _address(v: ChainView) -> str:
-    return _literal(v, F.concat(F.lit("0x"), F.substring(_sha("c70"), 1, 40)))
-
-
-def _topic(v: ChainView) -> str:
-    return _literal(v, F.concat(F.lit("0x"), _sha("eAF")))
+TX, ADDRESS, TOPIC, BLOCK_HASH = _hex("t100"), _hex("c70", 40), _hex("eAF"), _hex(f"b{BLOCK}")
 
 
 def _join(c: str = "topics") -> Column:
@@ -96,9 +85,9 @@ def _flat_logs(df: DataFrame) -> DataFrame:
     return df.select("transactionHash", "blockNumber", "logIndex", "address", _join(), "data")
 
 
-register("q_transaction_logs", f"SELECT {_LOG_SQL} WHERE \"transactionHash\" = '0x' || sha256('t100')")(lambda v: _flat_logs(query.transaction_logs(v.logs(), _tx(v))))
-register("q_block_logs", f"SELECT {_LOG_SQL} WHERE \"blockHash\" = '0x' || sha256('b{BLOCK}')")(lambda v: _flat_logs(query.block_logs(v.logs(), _literal(v, F.concat(F.lit("0x"), _sha(f"b{BLOCK}"))))))
-register("q_logs_by_topic", f"SELECT {_LOG_SQL} WHERE list_contains(topics, '0x' || sha256('eAF'))")(lambda v: _flat_logs(query.logs_by_topic(v.logs(), _topic(v))))
+register("q_transaction_logs", f"SELECT {_LOG_SQL} WHERE \"transactionHash\" = '0x' || sha256('t100')")(lambda v: _flat_logs(query.transaction_logs(v.logs(), TX)))
+register("q_block_logs", f"SELECT {_LOG_SQL} WHERE \"blockHash\" = '0x' || sha256('b{BLOCK}')")(lambda v: _flat_logs(query.block_logs(v.logs(), BLOCK_HASH)))
+register("q_logs_by_topic", f"SELECT {_LOG_SQL} WHERE list_contains(topics, '0x' || sha256('eAF'))")(lambda v: _flat_logs(query.logs_by_topic(v.logs(), TOPIC)))
 
 _TX_LOGS = 'WITH l AS (SELECT "transactionHash", string_agg("logIndex" || \':\' || address || \':\' || array_to_string(topics, \',\') || \':\' || data, \';\' ORDER BY "logIndex") AS logs FROM cv_logs GROUP BY 1) '
 _TX_SELECT = 'SELECT hash, t."blockNumber", "from", "to", value, coalesce(logs, \'\') AS logs FROM cv_transactions t LEFT JOIN l ON hash = l."transactionHash"'
@@ -108,10 +97,10 @@ def _flat_tx(df: DataFrame) -> DataFrame:
     return df.select("hash", "blockNumber", "from", "to", "value", _log_text().alias("logs"))
 
 
-register("q_transaction_by_hash", _TX_LOGS + _TX_SELECT + " WHERE hash = '0x' || sha256('t100')")(lambda v: _flat_tx(query.transaction_by_hash(v.transactions(), v.logs(), _tx(v))))
-register("q_transactions_for_address", _TX_LOGS + _TX_SELECT + " WHERE '0x' || substr(sha256('c70'), 1, 40) IN (\"from\", \"to\")")(lambda v: _flat_tx(query.transactions_for_address(v.transactions(), v.logs(), _address(v))))
+register("q_transaction_by_hash", _TX_LOGS + _TX_SELECT + " WHERE hash = '0x' || sha256('t100')")(lambda v: _flat_tx(query.transaction_by_hash(v.transactions(), v.logs(), TX)))
+register("q_transactions_for_address", _TX_LOGS + _TX_SELECT + " WHERE '0x' || substr(sha256('c70'), 1, 40) IN (\"from\", \"to\")")(lambda v: _flat_tx(query.transactions_for_address(v.transactions(), v.logs(), ADDRESS)))
 register("q_transactions_with_topic", 'SELECT l."transactionHash", "logIndex", address, hash AS tx_hash, "from" AS tx_from, "to" AS tx_to FROM cv_logs l LEFT JOIN cv_transactions ON hash = l."transactionHash" WHERE list_contains(topics, \'0x\' || sha256(\'eAF\'))')(
-    lambda v: query.transactions_with_topic(v.logs(), v.transactions(), _topic(v)).select("transactionHash", "logIndex", "address", F.col("transaction.hash").alias("tx_hash"), F.col("transaction.from").alias("tx_from"), F.col("transaction.to").alias("tx_to"))
+    lambda v: query.transactions_with_topic(v.logs(), v.transactions(), TOPIC).select("transactionHash", "logIndex", "address", F.col("transaction.hash").alias("tx_hash"), F.col("transaction.from").alias("tx_from"), F.col("transaction.to").alias("tx_to"))
 )
 
 _AL_SQL = 'SELECT "transactionHash", "blockNumber", address, array_to_string("storageKeys", \',\') AS "storageKeys" FROM cv_access_list'
@@ -123,9 +112,9 @@ def _flat_entries(df: DataFrame) -> DataFrame:
 
 register("q_access_list_by_hash", """SELECT hash, string_agg(address || ':' || array_to_string("storageKeys", ','), ';' ORDER BY address, "storageKeys") AS entries
     FROM cv_transactions JOIN cv_access_list ON hash = "transactionHash" WHERE hash = '0x' || sha256('t100') GROUP BY hash""")(
-    lambda v: query.access_list_by_hash(v.transactions(), v.access_list(), _tx(v)).where("size(accessList) > 0").select("hash", F.array_join(F.transform("accessList", lambda e: F.concat_ws(":", e["address"], F.array_join(e["storageKeys"], ","))), ";").alias("entries"))
+    lambda v: query.access_list_by_hash(v.transactions(), v.access_list(), TX).where("size(accessList) > 0").select("hash", F.array_join(F.transform("accessList", lambda e: F.concat_ws(":", e["address"], F.array_join(e["storageKeys"], ","))), ";").alias("entries"))
 )
-register("q_access_list_by_tx_id", _AL_SQL + " WHERE \"transactionHash\" = '0x' || sha256('t100')")(lambda v: _flat_entries(query.where_in(v.access_list(), "transactionHash", [_tx(v)])))
+register("q_access_list_by_tx_id", _AL_SQL + " WHERE \"transactionHash\" = '0x' || sha256('t100')")(lambda v: _flat_entries(query.where_in(v.access_list(), "transactionHash", [TX])))
 register("q_access_list_all", _AL_SQL)(lambda v: _flat_entries(v.access_list()))
 register("q_transactions_nested", _TX_LOGS + 'SELECT t.hash, "from", "to", b.hash AS block_hash, b.timestamp AS block_time, coalesce(logs, \'\') AS logs FROM cv_transactions t LEFT JOIN cv_blocks b ON b.number = t."blockNumber" LEFT JOIN l ON t.hash = l."transactionHash"')(
     lambda v: query.nest_many(query.nest_one(v.transactions(), v.blocks(), "blockNumber", "number", "block", ["hash", "timestamp"]), v.logs(), "hash", "transactionHash", "logs", query.LOG_FIELDS).select("hash", "from", "to", F.col("block.hash").alias("block_hash"), F.col("block.timestamp").alias("block_time"), _log_text().alias("logs"))
@@ -359,3 +348,29 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["block_assembly"] = flagship
 ORACLES["block_assembly"] = f"WITH RECURSIVE {SQL}, " + _SIGS[5:] + ", " + _EXPECTED.strip()[5:] + """, ms AS (SELECT t."blockNumber" AS number, count(*) AS missing_receipts FROM cv_transactions t WHERE hash NOT IN (SELECT "transactionHash" FROM cv_receipts) GROUP BY 1)
     SELECT number, txs, coalesce(missing_receipts, 0) AS missing_receipts, expected_docs, CASE WHEN expected_docs <= 1000 THEN 'single' ELSE 'batched' END AS size_class, lower(hex(root)) AS root FROM ex LEFT JOIN ms USING (number) LEFT JOIN sigs USING (number)"""
+
+# --- landing files taken in by the stream ---
+
+register("landed_blocks", 'SELECT number, hash, "parentHash", timestamp, miner, "gasUsed", "gasLimit", \'\' AS "totalDifficulty", 0 AS uncles FROM cv_blocks')(
+    lambda v: landed.table(v, "Block").select(*_BLOCK_COLS, "totalDifficulty", F.size("uncles").alias("uncles"))
+)
+register("landed_transactions", """SELECT t.hash, t."blockNumber", t."transactionIndex", t."blockHash", "from", "to", value, type, CASE WHEN type = '2' THEN "maxFeePerGas_raw" ELSE "gasPrice" END AS "gasPrice",
+    CASE WHEN type = '2' THEN "maxFeePerGas_raw" ELSE '' END AS "maxFeePerGas", nonce, coalesce(r.status = '1', true) AS status, coalesce(r."gasUsed", '') AS "gasUsed", b.hash AS block
+    FROM cv_transactions t LEFT JOIN cv_receipts r ON hash = "transactionHash" JOIN cv_blocks b ON b.number = t."blockNumber\"""")(
+    lambda v: landed.table(v, "Transaction").join(landed.table(v, "Block").select(F.col("doc_id").alias("block_id"), F.col("hash").alias("block")), "block_id").select(
+        "hash", "blockNumber", "transactionIndex", "blockHash", "from", "to", "value", "type", "gasPrice", "maxFeePerGas", "nonce", "status", "gasUsed", "block"
+    )
+)
+register("landed_logs", """SELECT l."transactionHash", l."blockNumber", "logIndex", address, array_to_string(topics, ',') AS topics, data, removed, l."transactionHash" AS tx
+    FROM cv_logs l JOIN cv_receipts r ON l."transactionHash" = r."transactionHash\"""")(
+    lambda v: landed.table(v, "Log").join(landed.table(v, "Transaction").select(F.col("doc_id").alias("transaction_id"), F.col("hash").alias("tx")), "transaction_id").select("transactionHash", "blockNumber", "logIndex", "address", _join(), "data", "removed", "tx")
+)
+register("landed_access_list", 'SELECT DISTINCT "blockNumber", "transactionHash" AS tx, address, array_to_string("storageKeys", \',\') AS "storageKeys" FROM cv_access_list')(
+    lambda v: landed.table(v, "AccessListEntry").join(landed.table(v, "Transaction").select(F.col("doc_id").alias("transaction_id"), F.col("hash").alias("tx")), "transaction_id").select("blockNumber", "tx", "address", _join("storageKeys"))
+)
+register("landed_signatures", """WITH d AS (SELECT number AS n FROM cv_blocks UNION ALL SELECT "blockNumber" FROM cv_transactions UNION ALL SELECT l."blockNumber" FROM cv_logs l JOIN cv_receipts r ON l."transactionHash" = r."transactionHash"
+    UNION ALL SELECT "blockNumber" FROM (SELECT DISTINCT "blockNumber", "transactionHash", address, "storageKeys" FROM cv_access_list))
+    SELECT number AS "blockNumber", hash AS "blockHash", count(*) AS "cidCount", 64 AS digits FROM cv_blocks JOIN d ON n = number GROUP BY ALL""")(
+    lambda v: landed.table(v, "BlockSignature").select("blockNumber", "blockHash", "cidCount", F.length("merkleRoot").alias("digits"))
+)
+register("landed_range", f'SELECT number, hash FROM cv_blocks WHERE number BETWEEN {BLOCK - 50} AND {BLOCK + 200}')(lambda v: landed.table(v, "Block", (BLOCK - 50, BLOCK + 200)).select("number", "hash"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schema import RAW_BLOCK, RAW_RECEIPT
 
@@ -19,3 +20,14 @@ def merge_receipts(batch: DataFrame, single: DataFrame) -> DataFrame:
     """Receipts fetched by block, completed by those fetched one by one; rows without a transaction hash are dropped."""
     batch, single = (d.where("transactionHash is not null") for d in (batch, single))
     return batch.unionByName(single.join(batch.select("transactionHash"), "transactionHash", "left_anti"), allowMissingColumns=True)
+
+
+def with_file(df: DataFrame) -> DataFrame:
+    """Adds `file`: when a row's landing file was written, and its path."""
+    file = df.metadataColumn("_metadata")
+    return df.withColumn("file", F.struct(file["file_modification_time"].alias("time"), file["file_path"].alias("path")))
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """`file` becomes `place`: later files come after earlier ones, and lines of a file in order."""
+    return df.withColumn("place", F.struct("file.time", "file.path", F.monotonically_increasing_id().alias("line"))).drop("file")

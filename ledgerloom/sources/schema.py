@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
@@ -57,17 +60,33 @@ def list_collections(spark: SparkSession, chain: str | None = None, network: str
 
 
 def ensure(spark: SparkSession, root: str, of: str, wanted: StructType | None = None) -> StructType:
-    """The table's schema with new columns added; raises where a column would be dropped or change its type."""
+    """The table's schema with new columns added; raises where a column would be dropped or change its type.
+
+    The schema stands in one file beside the data, so that an append reads that and not the footers of the whole table.
+    """
     wanted = wanted or StructType([*IDS.fields, *TABLES[of].fields])
     path = f"{root}/{of}"
-    try:
-        have = spark.read.option("mergeSchema", "true").parquet(path).schema
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return wanted
+    jvm = spark.sparkContext._jvm
+    note = jvm.org.apache.hadoop.fs.Path(f"{path}/_schema.json")
+    fs = note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(note):
+        stream = fs.open(note)
+        have = StructType.fromJson(json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        stream.close()
+        if have == wanted:
+            return wanted
+    else:
+        try:
+            have = spark.read.option("mergeSchema", "true").parquet(path).schema
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            have = StructType()
     kinds = {f.name: f.dataType for f in wanted.fields}
     for f in have.fields:
         if f.name not in ("chain", "block_bucket") and kinds.get(f.name, None) != f.dataType:
             raise ValueError(f"{of}.{f.name}: {f.dataType.simpleString()} may not become {kinds[f.name].simpleString() if f.name in kinds else 'nothing'}")
+    out = fs.create(note, True)
+    out.write(bytearray(wanted.json().encode()))
+    out.close()
     return wanted

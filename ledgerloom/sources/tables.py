@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +28,7 @@ def scan(spark: SparkSession, root: str, of: str, chain: str, heights: tuple[int
     schema = StructType([*IDS.fields, *TABLES[of].fields]).add("chain", "string").add("block_bucket", "long")
     try:
         df = spark.read.schema(schema).parquet(f"{root}/{of}")
-    except Exception as e:
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         df = spark.createDataFrame([], schema)
@@ -34,11 +39,14 @@ def scan(spark: SparkSession, root: str, of: str, chain: str, heights: tuple[int
     return df.drop("chain", "block_bucket")
 
 
-def append_new(df: DataFrame, root: str, of: str, chain: str, mode: str = "append") -> DataFrame:
-    """Appends rows whose key the table lacks, the first of equal keys in the batch; returns what was new."""
+def append_new(df: DataFrame, root: str, of: str, chain: str, mode: str = "append", heights: tuple[int, int] | None = None) -> DataFrame:
+    """Appends rows whose key the table lacks, the first of equal keys in the batch; returns what was new.
+
+    heights: the range that holds all rows of df; keys are then read from its buckets only.
+    """
     spark, keys = df.sparkSession, KEYS[of]
     ensure(spark, root, of)
-    have = scan(spark, root, of, chain).select(*keys)
+    have = scan(spark, root, of, chain, heights).select(*keys)
     names = [f.name for f in (*IDS.fields, *TABLES[of].fields)]
     new = df.select(*names).dropDuplicates(keys).join(have, keys, "left_anti").select(*names)
     bucket = F.expr(f"`{HEIGHT[of]}` div {BUCKET}") if of in HEIGHT else F.lit(0)
@@ -51,3 +59,14 @@ def add(spark: SparkSession, root: str, of: str, chain: str, rows: list[dict]) -
     df = with_ids(spark.createDataFrame([{f.name: r.get(f.name) for f in TABLES[of].fields} for r in rows], TABLES[of]))
     append_new(df, root, of, chain)
     return df
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, which all executors share; a local folder stands in on a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ def raw_tx(h, kind="2", **more):
     return {"hash": h, "from": None, "to": None, "value": "1", "gasPrice": "7", "maxFeePerGas": "9", "maxPriorityFeePerGas": "1", "input": "abcd", "type": kind, "accessList": [{"address": "0xa", "storageKeys": ["0x1", "0x2"]}]} | more
 
 
-def receipt(h, n=1, status="0x1", logs=1):
-    return {"transactionHash": h, "status": status, "gasUsed": "21", "cumulativeGasUsed": "42", "contractAddress": "0x" + "0" * 40, "logs": [{"address": "0xc", "topics": ["0xt"], "data": "0xdd", "blockNumber": hex(n), "transactionHash": h, "blockHash": f"0xb{n}", "logIndex": i, "transactionIndex": 0, "removed": False} for i in range(logs)]}
+def receipt(h, n=1, status="0x1", logs=1, first=0, **more):
+    return {"transactionHash": h, "status": status, "gasUsed": "21", "cumulativeGasUsed": "42", "contractAddress": "0x" + "0" * 40, "logs": [{"address": "0xc", "topics": ["0xt"], "data": "0xdd", "blockNumber": hex(n), "transactionHash": h, "blockHash": f"0xb{n}", "logIndex": first + i, "transactionIndex": 0, "removed": False} for i in range(logs)]} | more
 
 
 def write(path, rows):
@@ -180,10 +181,55 @@ def test_ingest_is_idempotent(spark, tmp_path):
     assert t["0x1"]["status"] is True and t["0x1"]["gasUsed"] == "21" and t["0x1"]["block_id"]
 
 
+def test_ingest_receipts_and_attestations(spark, tmp_path):
+    b, r, one, root = tmp_path / "b", tmp_path / "r", tmp_path / "one", str(tmp_path / "t")
+    write(r / "1.json", [receipt("0x1", 10, gasUsed="0x5", blockNumber="0xa"), receipt("0x1", 10, logs=2, gasUsed="0x7", blockNumber="0xa")])
+    write(one / "1.json", [receipt("0x1", 10, gasUsed="0x9"), receipt("0x2", 10, first=2, gasUsed="0x3", blockNumber="0xa")])
+    write(b / "1.json", [raw_block(10, [raw_tx("0x1"), raw_tx("0x2")])])
+    go = lambda **k: stream.ingest(spark, str(b), str(r), root, "c", str(tmp_path / "cp"), single_receipts_dir=str(one), **k)
+    go().awaitTermination()
+    tx = {x["hash"]: x["gasUsed"] for x in tables.scan(spark, root, "Transaction", "c").collect()}
+    assert tx == {"0x1": "0x7", "0x2": "0x3"} and tables.scan(spark, root, "Log", "c").count() == 3
+    sig = tables.scan(spark, root, "BlockSignature", "c").collect()
+    docs = sum(tables.scan(spark, root, t, "c").count() for t in ("Block", "Transaction", "Log", "AccessListEntry"))
+    assert [(x["blockNumber"], x["cidCount"], len(x["merkleRoot"])) for x in sig] == [(10, docs, 64)]
+    # a replay of a stored block without an attestation makes one, and changes nothing else
+    import shutil
+
+    shutil.rmtree(f"{root}/BlockSignature")
+    write(b / "2.json", [raw_block(10, [raw_tx("0x9")], hash="0xother")])
+    q = go(per_minute=100)
+    q.processAllAvailable()
+    q.stop()
+    again = tables.scan(spark, root, "BlockSignature", "c").collect()
+    assert [x["merkleRoot"] for x in again] == [sig[0]["merkleRoot"]] and tables.scan(spark, root, "Transaction", "c").count() == 2
+
+
+def test_pruned_tables(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (5, 990, 1500, 1999, 2001, 3500):
+        tables.add(spark, root, "Block", "c", [{"number": n, "hash": str(n)}])
+    tables.add(spark, root, "Log", "c", [{"blockNumber": n, "blockHash": str(n), "logIndex": 0} for n in (5, 1500, 1600)])
+    left = lambda of, h: sorted(r[h] for r in tables.scan(spark, root, of, "c").collect())
+    cutoff = retention.by_range(tables.scan(spark, root, "Block", "c"), 2001).first()["cutoff"]
+    assert cutoff == 1499
+    got = {r["collection"]: r["rows"] for r in retention.prune(spark, root, "c", cutoff).collect()}
+    assert got["Block"] == 2 and got["Log"] == 1 and left("Block", "number") == [1500, 1999, 2001, 3500] and left("Log", "blockNumber") == [1500, 1600]
+    retention.prune(spark, root, "c", 1999)
+    assert left("Block", "number") == [2001, 3500] and left("Log", "blockNumber") == [] and retention.prune(spark, root, "c", None).count() == 0
+
+
+def test_head_offset_widens(spark):
+    b = spark.createDataFrame([(n, n % 100 != 0) for n in range(0, 1001)], "number long, plain boolean")
+    top = lambda *a: stream.confirmed(b, *a).agg(F.max("number")).first()[0]
+    assert top(100) == 900 and top(100, F.lit(True)) == 900 and top(100, F.col("number") <= 850) == 800 and top(100, F.col("number") == 200) == 200 and top(100, F.col("plain")) is None
+
+
 def test_in_order_release(spark, tmp_path):
     src, out = tmp_path / "src", []
     for i, rows in enumerate(([(10, True), (12, True), (13, False)], [(11, True), (15, True)], [(14, True)])):
         write(src / f"{i}.json", [{"chain": "c", "number": n, "ok": ok} for n, ok in rows])
+        os.utime(src / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))  # files come in order of their times
     df = spark.readStream.schema("chain string, number long, ok boolean").option("maxFilesPerTrigger", 1).json(str(src))
     q = stream.in_order(df, 10).writeStream.outputMode("append").foreachBatch(lambda d, i: out.append(sorted(r["number"] for r in d.collect()))).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
