@@ -66,6 +66,49 @@ def test_quality_on_labels(spark):
     assert right >= 0.97 * len(got) and sum(not r.kept for r in got if r.quality) <= 0.01 * len(got)
 
 
+def brute_verdicts(rows, threshold=0.5):
+    """doc_id -> kept: rules voted text by text, and EM over single texts instead of vote patterns."""
+    votes, ids, failed = [], [], set()
+    for d, t in rows:
+        w = WORD.findall(t or "")
+        n, chars, symbols, dup, rep = brute_counts(t)
+        ids.append(d)
+        if n < 20 or 100 * rep > 30 * n:
+            failed.add(d)
+        lines, chars = sum(bool(WORD.search(x)) for x in (t or "").split("\n")), max(chars, 1)
+        caps, digits, distinct = (sum(c in s for c in t or "") for s in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ""))
+        distinct = len(set(w))
+        bad = [10 * symbols > n, 100 * symbols > 2 * chars, dup > 1 and 10 * dup > 3 * lines, 100 * distinct < 25 * n, 100 * distinct < 15 * n, chars < 2 * n or chars > 14 * n, 100 * caps > 30 * chars, 100 * digits > 30 * chars]
+        good = [100 * symbols <= n and dup == 0, n >= 50 and 10 * distinct >= 3 * n and 100 * rep <= 5 * n]
+        votes.append([0 if b else -1 for b in bad] + [1 if g else -1 for g in good])
+    live = [v for d, v in zip(ids, votes, strict=True) if d not in failed]
+    start = {0: {-1: 0.75, 0: 0.2, 1: 0.05}, 1: {-1: 0.6, 0: 0.02, 1: 0.38}}
+    chance = {c: [dict(start[c]) for _ in range(10)] for c in (0, 1)}
+    prior, extra = 0.8, 1 + 0.05 * len(live)
+
+    def posterior(v):
+        like = {c: (prior if c else 1 - prior) * np.prod([chance[c][i][x] for i, x in enumerate(v)]) for c in (0, 1)}
+        return like[1] / (like[0] + like[1])
+
+    for _ in range(60):
+        good = [posterior(v) for v in live]
+        for c in (0, 1):
+            share = [g if c else 1 - g for g in good]
+            for i in range(10):
+                mass = {x: sum(s for s, v in zip(share, live, strict=True) if v[i] == x) + extra * start[c][x] for x in (-1, 0, 1)}
+                chance[c][i] = {x: m / sum(mass.values()) for x, m in mass.items()}
+        prior = (sum(good) + extra * 0.8) / (len(live) + extra)
+    return {d: d not in failed and posterior(v) >= threshold for d, v in zip(ids, votes, strict=True)}
+
+
+def test_verdicts_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute_verdicts(rows)
+    got = {r.doc_id: r.kept for r in QUERIES["op2_quality_rules"](spark, sf).collect()}
+    assert got == want and 0 < sum(got.values()) < len(got)
+
+
 def test_label_model_finds_accuracies():
     r = np.random.default_rng(7)
     good = r.random(4000) < 0.8
@@ -462,6 +505,16 @@ def test_pipeline(spark, sf):
         n = docs.count()
         assert docs.columns == cols and 0 < n <= before, name
         before = n
+    # the stages again, each against another way to its rows
+    from test_dedup import brute_exact
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    spoken = P.language(spark, docs, sf)
+    assert {r.doc_id for r in spoken.collect()} == {r.doc_id for r in language_id.identify(docs).collect() if r.kept}
+    single = P.exact(spark, spoken, sf)
+    assert sorted(r.doc_id for r in single.collect()) == sorted({k for _, k, _, _ in brute_exact([(r.doc_id, r.text) for r in spoken.collect()])})
+    fate = mixing.mix(single)
+    assert {r.doc_id for r in P.mixture(spark, single, sf).collect()} == {r.doc_id for r in fate.where("kept").collect()}
     out = P.run(spark, sf)
     assert out.count() == before and json.loads(out.limit(1).toJSON().first())["n_tokens"] > 0
     with_mess = table(spark).select(*cols)
