@@ -95,7 +95,7 @@ def prior() -> list[np.ndarray]:
     length, asks, first = np.full((6, 4), 3.0), np.full((6, 2), 2.0), np.full((6, 2), 2.0)
     asks[2, 1], asks[4, 1] = 3.0, 0.7
     first[0, 1] = 3.0
-    row = np.array([[6.0, 30.0, 0.0] if o else [30.0, 0.5, 0.0] for _, o in STATES])
+    row = np.array([[6.0, 30.0, 0.0] if o else [30.0, 0.005, 0.0] for _, o in STATES])
     row[:, 2] = row[:, :2].sum(1)  # says nothing
     return [start, move, marks, length, asks, first, row]
 

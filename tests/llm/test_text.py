@@ -313,7 +313,7 @@ def test_withheld_markers_are_recovered(spark):
     got = QUERIES["op7_chat_format"](spark, sf).join(spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", F.col("role").alias("truth"), F.col("text").alias("t")), ["conv_id", "turn"], "full").collect()
     hidden = [r for r in got if r.told is False]
     assert 0.15 * len(got) < len(hidden) < 0.35 * len(got) and all(r.role == r.truth for r in got if r.told)
-    assert sum(r.role == r.truth for r in hidden) >= 0.95 * len(hidden)
+    assert sum(r.role == r.truth for r in hidden) >= 0.96 * len(hidden)
     assert all(r.n_chars == len(r.t.strip()) for r in got)
 
 
