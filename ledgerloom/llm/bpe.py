@@ -311,7 +311,7 @@ class WordBpe:
     """A tokenizer file with NFC, white space dropped, lower case, byte symbols and word ends; words meet the automaton."""
 
     #: about how many bytes of chunks and their ids one Python worker remembers; results do not depend on it
-    REMEMBER = 48 << 20
+    REMEMBER = 128 << 20
 
     def __init__(self, spec: dict):
         model = spec["model"]
@@ -379,8 +379,12 @@ class WordBpe:
         if self.held > self.REMEMBER:
             self.known, self.held = {}, 0
         chunks = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self._learn(list(set().union(*chunks).difference(self.known)))
-        return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
+        found = [list(map(self.known.get, c)) for c in chunks]
+        gaps = [i for i, f in enumerate(found) if None in f]
+        self._learn(list({c for i in gaps for c, got in zip(chunks[i], found[i], strict=True) if got is None}))
+        for i in gaps:
+            found[i] = map(self.known.__getitem__, chunks[i])
+        return [b"".join(f) for f in found]
 
     def ids(self, text: str) -> list[int]:
         return np.frombuffer(self.packed([text])[0], "<u4").tolist()
