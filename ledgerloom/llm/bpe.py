@@ -351,6 +351,8 @@ class WordBpe:
 
     def _learn(self, chunks: list[str]) -> None:
         """Packed ids of chunks without a space, in which a word is walked once."""
+        if not chunks:
+            return
         one, several = {}, {}  # chunks that are one word, and the pieces of the others
         # what stands between line breaks is made plain by itself, so all chunks go at once
         for c, low in zip(chunks, self.plain("\n".join(chunks)).split("\n"), strict=True):

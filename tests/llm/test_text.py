@@ -149,6 +149,12 @@ def test_bpe_as_the_library(spark, sf):
     assert bpe.token_digests(empty(spark), vocabulary()).count() == 0
 
 
+def test_bpe_with_nothing_new_to_learn():
+    ours = bpe.WordBpe(json.load(open(vocabulary(), encoding="utf-8")))
+    first = ours.packed(["the same words.", None, ""])
+    assert ours.packed(["the same words.", None, ""]) == first and first[1] == first[2] == b"" and ours.packed([]) == [] and ours.packed([""]) == [b""]
+
+
 def test_automaton_on_small_alphabets():
     """Against merging in order of rank, over all words of a few letters and random merge lists."""
     import itertools
