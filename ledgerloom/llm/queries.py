@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, html_extract, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding
+from . import bpe, chat_format, exact_dedup, html_extract, language_id, line_dedup, merkle_manifest, mixing, near_dedup, quality_rules, sharding
 from .scratch import saved
 
 
@@ -74,6 +74,45 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document, by the checksum of its id, is tampered with: the capitals of its text become small."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.translate("text", capitals, capitals.lower()))
+    return merkle_manifest.verified(_table(spark, sf_dir, "documents"), changed)
+
+
+def _manifest_sql(levels: int = 4) -> str:
+    """Trees of up to 16 ** levels leaves, level by level."""
+    field = lambda c, v: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({v}::VARCHAR) || ':' || {v} END"
+    head = " || ".join(field(c, c) for c in merkle_manifest.FIELDS[:-1])
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = [
+        "crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(0, 8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c FROM range(0, 256) AS r(i)))",
+        "sums AS (SELECT d.*, xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda a, b: xor(t[1 + (xor(a, b) & 255)], a >> 8), 4294967295::BIGINT), 4294967295) AS crc32 FROM documents d, crc)",
+        f"""leaves AS (SELECT doc_id, coalesce('1' || source, '0') AS tree, sha256({head} || {field("text", "text")}) AS h,
+            CASE WHEN crc32 % 5 = 0 AND text IS NOT NULL THEN sha256({head} || {field("text", low)}) END AS changed FROM sums)""",
+        "d0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves)",
+    ]
+    level = lambda to, of: f"{to} AS (SELECT tree, i // 16 AS i, (max(n) + 15) // 16 AS n, list(h ORDER BY i) AS kids, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {of} WHERE n > 1 GROUP BY tree, i // 16)"
+    out += [level(f"d{k}", f"d{k - 1}") for k in range(1, levels + 1)]
+    out.append("subroots AS (" + " UNION ALL ".join(f"SELECT tree, h FROM d{k} WHERE n = 1" for k in range(levels + 1)) + ")")
+    out.append("t0 AS (SELECT tree AS source_tree, '' AS tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM subroots)")
+    out += [level(f"t{k}", f"t{k - 1}") for k in range(1, levels + 1)]
+    out.append("tops AS (" + " UNION ALL ".join(f"SELECT h FROM t{k} WHERE n = 1" for k in range(levels + 1)) + ")")
+    joins, folds, sides, before = [], [], [], "coalesce(changed, d0.h)"
+    for kind in ("d", "t"):
+        for k in range(1, levels + 1):
+            t, at = f"{kind}{k}", f"({kind}0.i // {16 ** (k - 1)} % 16)"
+            joins.append(f"LEFT JOIN {t} ON {t}.tree = {kind}0.tree AND {t}.i = {kind}0.i // {16**k}")
+            left, right = f"array_to_string({t}.kids[1:{at}], '')", f"array_to_string({t}.kids[{at} + 2:], '')"
+            folds.append(f"CASE WHEN {t}.h IS NULL THEN {before} ELSE sha256({left} || {before} || {right}) END AS f{t}")
+            sides.append(f"coalesce({left} || {right}, '')")
+            before = f"f{t}"
+    own = f"""SELECT d0.doc_id, d0.h AS leaf, t0.h AS subroot, tops.h AS root, sha256({" || ".join(sides)}) AS proof_sha256, {", ".join(folds)}
+              FROM d0 JOIN t0 ON t0.source_tree = d0.tree CROSS JOIN tops {" ".join(joins)}"""
+    return f"WITH {', '.join(out)} SELECT doc_id, leaf, subroot, root, proof_sha256, {before} AS folded_root, {before} = root AS verified FROM ({own})"
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -85,9 +124,11 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_kd_shards": op9_kd_shards,
     "op10_near_dedup": op10_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES = {
+    "op11_merkle_manifest": _manifest_sql(),
     "op1_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
              g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, (-n, doc_id)) AS keep_id FROM d GROUP BY norm)
