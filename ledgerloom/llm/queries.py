@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, html_extract, language_id, line_dedup, merkle_manifest, mixing, near_dedup, quality_rules, sharding
+from . import bpe, chat_format, collocations, exact_dedup, html_extract, language_id, line_dedup, merkle_manifest, mixing, near_dedup, quality_rules, sharding
 from .scratch import saved
 
 
@@ -113,6 +113,10 @@ def _manifest_sql(levels: int = 4) -> str:
     return f"WITH {', '.join(out)} SELECT doc_id, leaf, subroot, root, proof_sha256, {before} AS folded_root, {before} = root AS verified FROM ({own})"
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -125,10 +129,26 @@ QUERIES = {
     "op9_kd_shards": op9_kd_shards,
     "op10_near_dedup": op10_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLES = {
     "op11_merkle_manifest": _manifest_sql(),
+    "op12_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+             w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+             totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+             f AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+                   FROM w CROSS JOIN range(1, 6) AS r(k) WHERE len(ws) >= k) GROUP BY ALL HAVING count(*) >= 100),
+             c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+             cuts AS (SELECT lang, phrase, k, f AS a, cut, array_to_string(ws[1:cut], ' ') AS head, array_to_string(ws[cut + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+             s AS (SELECT cuts.lang, cuts.phrase, a, cut, h.f AS l, t.f AS r, n, ((1000::HUGEINT * a * n) // (h.f::HUGEINT * t.f))::BIGINT AS score
+                   FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = head JOIN f t ON t.lang = cuts.lang AND t.phrase = rest JOIN totals ON totals.lang = cuts.lang),
+             best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM s),
+             inner_ AS (SELECT DISTINCT lang, phrase, f AS longer FROM (SELECT lang, f, k, j, ws, unnest(range(1, k - j + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS j FROM c)) AS x, LATERAL (SELECT array_to_string(ws[i:i + j - 1], ' ') AS phrase)),
+             kept AS (SELECT * FROM best WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM inner_ WHERE inner_.lang = best.lang AND inner_.phrase = best.phrase AND 100 * longer >= 100 * a)),
+             ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op1_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
              g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, (-n, doc_id)) AS keep_id FROM d GROUP BY norm)
