@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, collocations, exact_dedup, html_extract, language_id, line_dedup, merkle_manifest, mixing, near_dedup, quality_rules, sharding
+from . import bpe, chat_format, collocations, exact_dedup, html_extract, language_id, line_dedup, merkle_manifest, mixing, near_dedup, quality_rules, sentence_pieces, sharding
 from .scratch import saved
 
 
@@ -15,13 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """Where the word-BPE file lies: CORPUS_VOCABULARY, or the installed package of public tokenizers."""
-    if path := os.environ.get("CORPUS_VOCABULARY"):
+def vocabulary(name: str = "word_bpe_49k.json", variable: str = "CORPUS_VOCABULARY") -> str:
+    """Where a tokenizer's file lies: where the variable says, or in the installed package of public tokenizers."""
+    if path := os.environ.get(variable):
         return path
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +117,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.token_digests(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model", "CORPUS_PIECES"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -130,6 +134,7 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_collocations": op12_collocations,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLES = {
