@@ -5,11 +5,13 @@ behind another character, so no merge reaches over such a border and a chunk (ma
 marker) is segmented by itself, whatever its text. Each distinct chunk is segmented once and its ids are joined back by
 position:
 
-1. The chunks that are frequent make the head of the table, of bounded size, which goes to all tasks.
-2. Tasks write texts, block by block, as numbers of chunks: below the head's size they name the head's, above it the
-   block's own other chunks, each listed once.
-3. Blocks' other chunks meet by chunk, are segmented once, and go back to their blocks as ids in the order of numbers.
-4. A block and its ids are joined, and each number of a text is replaced by its ids.
+1. Tasks list the chunks of their blocks of texts, frequent ones meet by chunk, and each is segmented once. They are the
+   head of the table, of bounded size, which goes to all tasks.
+2. A task numbers the chunks of a block, so that each position has the number of its chunk. The block's own table has a row
+   a distinct chunk: ids from the head or, where that lacks it, segmented there, once a block. Numbers are replaced by ids.
+
+A chunk that is rare in all blocks is thus segmented once in each block that has it. A table of all chunks is too large
+for a task, and to send numbers of all texts to meet it by shuffles moves some three times the input.
 """
 
 from __future__ import annotations
@@ -22,15 +24,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import done, saved
 from .textkernel import mix, slices, span_hashes, text_bytes
 
 MARK = "▁"
-#: bytes of text in a block, one text at least
-BLOCK = 1 << 24
+#: bytes of text in a block, one text at least, where texts are encoded and where chunks are counted
+BLOCK, COUNTED = 1 << 22, 1 << 24
 #: distinct chunks of the head
 HEAD = 1 << 20
 #: longest chunk of the head, in bytes
@@ -254,8 +256,8 @@ def head_of(docs: DataFrame, model, size: int) -> Head:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for column in _blocks(batches, 0):
-            codes, words, _ = _coded(column.column(0))
+        for b in _blocks(batches, 0, COUNTED):
+            codes, words, _ = _coded(b.column(0))
             n = np.bincount(codes, minlength=len(words))
             often = (n > 1) & (pc.binary_length(words).to_numpy(zero_copy_only=False) <= SHORT)
             yield pa.record_batch({"chunk": words.filter(pa.array(often)).cast(pa.string()), "n": pa.array(n[often].astype(np.int64))})
@@ -270,19 +272,19 @@ def head_of(docs: DataFrame, model, size: int) -> Head:
         cutoff = r["least"]
     if cutoff is None:
         return Head.of(pa.chunked_array([], pa.string()), pa.chunked_array([], pa.binary()))
-    rows = _segmented(found.where(F.col("n") >= cutoff), model).orderBy(F.desc("n"), "chunk").toArrow()  # frequent ones get small numbers
+    rows = _segmented(found.where(F.col("n") >= cutoff), model).toArrow()
     done(found)
     return Head.of(rows["chunk"], rows["ids"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Batches made anew with about BLOCK bytes of text, one text at least."""
+def _blocks(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches made anew with about so many bytes of text, one text at least."""
     held, size = [], 0
     for b in batches:
-        for a, z in slices(b.column(text), BLOCK):
+        for a, z in slices(b.column(text), most):
             part = b.slice(a, z - a)
             more = int(pc.sum(pc.binary_length(part.column(text))).as_py() or 0)
-            if held and size + more > BLOCK:
+            if held and size + more > most:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                 held, size = [], 0
             held.append(part)
@@ -292,87 +294,39 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordB
 
 
 def _segmented(rows: DataFrame, model) -> DataFrame:
-    """Adds ids (packed) to rows that are sorted so that equal chunks follow one another: each is segmented once."""
-    schema = rows.schema
+    """Adds ids (packed) to rows (chunk, n) of distinct chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, last, packed = model.value, None, b""
+        m = model.value
         for b in batches:
-            out = []
-            for t in b.column("chunk").to_pylist():
-                if t != last:
-                    last, packed = t, np.array(m.chunk(t.replace(" ", MARK)), "<u4").tobytes()
-                out.append(packed)
-            yield pa.record_batch({n: b.column(n) for n in schema.names} | {"ids": pa.array(out, pa.binary())})
-
-    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", ids binary")
-
+            packed = [np.array(m.chunk(t.replace(" ", MARK)), "<u4").tobytes() for t in b.column(0).to_pylist()]
+            yield pa.record_batch({"chunk": b.column(0), "n": b.column(1), "ids": pa.array(packed, pa.binary())})
 
-def _numbered(docs: DataFrame, head) -> DataFrame:
-    """A row a block: block, doc_ids, sizes (chunks of each text), codes (their numbers, packed to `width` bytes and compressed), chunks (not in the head)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        h, block = head.value, TaskContext.get().partitionId() << 32
-        for b in _blocks(batches, 1):
-            codes, words, at = _coded(b.column(1))
-            number = h.find(words)
-            other = np.flatnonzero(number < 0)
-            number[other] = len(h) + np.arange(len(other))
-            packed = _varint(number[codes])
-            yield pa.record_batch({
-                "block": pa.array([block], pa.int64()), "doc_ids": pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())), "sizes": pa.array([np.diff(at)], pa.list_(pa.int64())),
-                "width": pa.array([len(packed)], pa.int64()), "codes": pa.array([pa.compress(packed, "zstd", asbytes=True)], pa.binary()), "chunks": pa.array([words.take(pa.array(other)).to_pylist()], pa.list_(pa.string())),
-            })
-            block += 1
-
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "block long, doc_ids array<long>, sizes array<long>, width long, codes binary, chunks array<string>")
-
-
-def _varint(x: np.ndarray) -> bytes:
-    """Little-endian groups of seven bits, the top bit set where more follow."""
-    x = x.astype(np.uint64)
-    groups = [(x >> np.uint64(7 * k)) & np.uint64(127) for k in range(5)]
-    length = 1 + sum((x >= np.uint64(1 << 7 * k)).astype(np.int64) for k in range(1, 5))
-    cols = np.arange(5)
-    flat = np.stack(groups, 1).astype(np.uint8) | np.where(cols < length[:, None] - 1, 128, 0).astype(np.uint8)
-    return flat[cols < length[:, None]].tobytes()
-
-
-def _numbers(packed: bytes) -> np.ndarray:
-    raw = np.frombuffer(packed, np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.int64)
-    last = np.flatnonzero(raw < 128)
-    first = np.concatenate([[0], last[:-1] + 1])
-    place = np.arange(len(raw)) - np.repeat(first, last - first + 1)
-    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), first)
+    return rows.mapInArrow(run, "chunk string, n long, ids binary")
 
 
 def _mapped(docs: DataFrame, path: str, finish: Finish, schema: str, head: int) -> DataFrame:
     """finish(model, ids of each text) gives the columns after doc_id."""
-    spark: SparkSession = docs.sparkSession
-    share = spark.sparkContext.broadcast
+    share = docs.sparkSession.sparkContext.broadcast
     model = share(load(path))
     top = share(head_of(docs, model, head))
-    numbered = saved(_numbered(docs, top), "pieces-numbered")
-    listed = numbered.select("block", F.posexplode("chunks").alias("code", "chunk")).repartition("chunk").sortWithinPartitions("chunk")
-    ids = _segmented(listed, model).select("block", "code", "ids")
 
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, h = model.value, top.value
-        packed = right["ids"].take(pa.array(np.argsort(right["code"].to_numpy()))).to_pylist()
-        flat = np.concatenate([h.ids, np.frombuffer(b"".join(packed), "<u4")])
-        at = np.concatenate([h.at, h.at[-1] + np.cumsum(np.array([len(p) // 4 for p in packed], np.int64))])
-        out = []
-        for r in left.to_pylist():
-            codes, end = _numbers(pa.decompress(r["codes"], r["width"], "zstd", asbytes=True)), np.cumsum([0, *r["sizes"]])
-            made = finish(m, [m.framed(_spread(codes[a:z], flat, at)) for a, z in zip(end[:-1], end[1:], strict=True)])
-            out.append(pa.table({"doc_id": pa.array(r["doc_ids"], pa.int64())} | made))
-        return pa.concat_tables(out)
+        for b in _blocks(batches, 1, BLOCK):
+            codes, words, at = _coded(b.column(1))
+            number = h.find(words)
+            known, other = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+            packed = [m.chunk(t.replace(" ", MARK)) for t in words.take(pa.array(other)).to_pylist()]
+            # the block's own table, the head's chunks first
+            ids = np.concatenate([_spread(number[known], h.ids, h.at), np.fromiter((i for p in packed for i in p), "<u4")])
+            ends = np.cumsum(np.concatenate([[0], (h.at[1:] - h.at[:-1])[number[known]], np.array([len(p) for p in packed], np.int64)]).astype(np.int64))
+            place = np.empty(len(words), np.int64)
+            place[np.concatenate([known, other])] = np.arange(len(words))
+            codes = place[codes]
+            yield pa.record_batch({"doc_id": b.column(0)} | finish(m, [m.framed(_spread(codes[i:j], ids, ends)) for i, j in zip(at[:-1], at[1:], strict=True)]))
 
-    return numbered.drop("chunks").groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(join, f"doc_id long, {schema}")
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, f"doc_id long, {schema}")
 
 
 def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
@@ -380,7 +334,7 @@ def encode(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
 
     path is that of a model file on the driver. Ids have the begin and the end id around them, so a null or empty text has
     these two; null doc_ids, repeated rows and empty tables pass through, other columns are ignored. Whole texts are
-    encoded, of any length: a task holds a block of about 16 MB of texts, or one text, at a time.
+    encoded, of any length: a task holds a block of about 4 MB of texts, or one text, at a time.
     """
 
     def finish(m: Model, ids: list[np.ndarray]) -> dict:

@@ -57,6 +57,7 @@ def test_any_ids_are_decoded_as_the_library_does(model, library):
 @pytest.mark.parametrize("head,block", [(1 << 20, 1 << 24), (50, 5000), (0, 1), (3000, 100_000)])
 def test_texts_of_the_table(spark, sf, library, monkeypatch, head, block):
     monkeypatch.setattr(sentence_pieces, "BLOCK", block)
+    monkeypatch.setattr(sentence_pieces, "COUNTED", 3 * block)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert sorted(map(tuple, sentence_pieces.token_digests(docs, PATH, head).collect()), key=str) == brute(docs.collect(), library)
 
@@ -69,19 +70,11 @@ def test_messy_texts(spark, library):
     assert got[5].ids == [1, 2] and got[5].decoded == "" and got[9].decoded == "One" and got[9].ids == library.encode("One", add_bos=True, add_eos=True)
 
 
-def test_each_chunk_is_segmented_once(spark):
-    """Rows of one chunk, of many blocks, stand together when they are segmented."""
-    rows = spark.createDataFrame([(" the",), (" the",), (" end",)] * 40, "chunk string").repartition(4, "chunk").sortWithinPartitions("chunk")
-    shared = spark.sparkContext.broadcast(sentence_pieces.load(PATH))
-    got = {(r.chunk, bytes(r.ids)) for r in sentence_pieces._segmented(rows, shared).collect()}
-    assert len(got) == 2
-
-
-def test_numbers_are_packed_and_unpacked():
-    r = np.random.default_rng(1)
-    for n in (0, 1, 1000):
-        x = r.integers(0, 2 ** r.integers(1, 33, n))
-        assert sentence_pieces._numbers(sentence_pieces._varint(x)).tolist() == x.tolist()
+def test_head_has_the_frequent_chunks(spark):
+    docs = spark.createDataFrame([(" ".join(["the"] * 9 + ["end"] * 3 + [f"once{i}"]),) for i in range(50)], "text string").repartition(3)
+    model = spark.sparkContext.broadcast(sentence_pieces.load(PATH))
+    assert sorted(sentence_pieces.head_of(docs, model, 10).text.to_pylist()) == [" end", " the"]
+    assert sentence_pieces.head_of(docs, model, 1).text.to_pylist() == [" the"] and len(sentence_pieces.head_of(docs, model, 0)) == 0
 
 
 def test_models_that_do_not_fit_are_refused(tmp_path):
