@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read
+
+RUN = "run long, at timestamp, rows long, rejected long, skipped long, blocks long, docs long, last_block long, seconds double"
+
 
 def freshness(heads: DataFrame, as_of: Column, health_minutes: int = 10, ready_minutes: int = 5) -> DataFrame:
     """chain, last, healthy, ready by the newest successful row; a chain that never succeeded is healthy and ready."""
@@ -16,6 +20,17 @@ def freshness(heads: DataFrame, as_of: Column, health_minutes: int = 10, ready_m
     return out.withColumns({"healthy": within(health_minutes), "ready": within(ready_minutes)})
 
 
+def log_run(spark: SparkSession, root: str, job: str, run: int, chain: str, **counts: int | float | None) -> None:
+    """Writes what one run of a job did; the same run again replaces its row."""
+    row = spark.range(1).select(F.lit(run).cast("long").alias("run"), F.current_timestamp().alias("at"), *(F.lit(counts.get(f.split()[0])).cast(f.split()[1]).alias(f.split()[0]) for f in RUN.split(", ")[2:]))
+    row.write.mode("overwrite").parquet(f"{root}/RunLog/chain={chain}/job={job}/part={run}")
+
+
+def run_log(spark: SparkSession, root: str, chain: str) -> DataFrame:
+    """job and what log_run() wrote, a row a run."""
+    return read(spark, f"{root}/RunLog", f"{RUN}, chain string, job string, part long").where(F.col("chain") == chain).drop("chain", "part")
+
+
 def metrics(run_log: DataFrame) -> DataFrame:
     """job, blocks, docs, last_block, last_run, runs over (job, blocks, docs, last_block, at)."""
     return run_log.groupBy("job").agg(F.sum("blocks").alias("blocks"), F.sum("docs").alias("docs"), F.max("last_block").alias("last_block"), F.max("at").alias("last_run"), F.count("*").alias("runs"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..sources.schema import DELETE_ORDER, HEIGHT
-from ..sources.tables import BUCKET, scan, shared_folder
+from ..sources.tables import BUCKET, file_system, raise_floor, scan
 
 
 def block_range(df: DataFrame, field: str = "number") -> DataFrame:
@@ -99,40 +99,29 @@ def run(blocks: DataFrame, max_blocks: int, tracked: DataFrame | None = None) ->
 def prune(spark: SparkSession, root: str, chain: str, cutoff: int | None) -> DataFrame:
     """Deletes the stored rows of a chain at heights up to cutoff; collection, rows, error of each table.
 
-    What depends on blocks goes first and blocks last; an error in a dependent table is reported and blocks go
-    nevertheless. Whole buckets of heights are dropped as folders; only the bucket that holds the cutoff is written again,
-    from a copy, so that a run which is cut short leaves either its old or its new rows.
+    The chain's floor is raised first, at one stroke: from then on no reader sees a row below it, wherever the run is cut
+    short. Folders of buckets that lie below the floor are deleted after that, what depends on blocks first and blocks
+    last; an error there is reported, blocks go nevertheless, and the next run deletes what is left. A bucket that holds
+    rows on both sides of the floor stays as it is, so no row that stays is written again.
     """
     report = []
-    for k in DELETE_ORDER if cutoff is not None else ():
-        gone = scan(spark, root, k, chain, (0, cutoff)).count()
+    gone = {k: scan(spark, root, k, chain, (0, cutoff)).count() for k in DELETE_ORDER} if cutoff is not None else {}
+    if gone:
+        low = raise_floor(spark, root, chain, cutoff + 1)
+    for k in gone:
         try:
-            if gone:
-                _drop_below(spark, root, k, chain, cutoff)
-            report.append((k, gone, None))
+            _drop_below(spark, root, k, chain, low)
+            report.append((k, gone[k], None))
         except Exception as e:  # noqa: BLE001 - reported, see above
             if k == "Block":
                 raise
-            report.append((k, 0, str(e)))
+            report.append((k, gone[k], str(e)))
     return spark.createDataFrame(report, "collection string, rows long, error string")
 
 
-def _drop_below(spark: SparkSession, root: str, of: str, chain: str, cutoff: int) -> None:
-    bucket = (cutoff + 1) // BUCKET  # the first that keeps rows
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(f"{root}/{of}").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stay = scan(spark, root, of, chain, (cutoff + 1, (bucket + 1) * BUCKET - 1))
-    if (cutoff + 1) % BUCKET and fs.exists(path(f"{root}/{of}/chain={chain}/block_bucket={bucket}")):
-        copy = shared_folder(spark, "retained")
-        stay.write.parquet(copy)
-        rows = spark.read.schema(stay.schema).parquet(copy)
-        if rows.head(1):
-            rows = rows.withColumn("chain", F.lit(chain)).withColumn("block_bucket", F.lit(bucket).cast("long"))
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chain", "block_bucket").parquet(f"{root}/{of}")
-        else:
-            fs.delete(path(f"{root}/{of}/chain={chain}/block_bucket={bucket}"), True)
-        fs.delete(path(copy), True)
-    for status in fs.listStatus(path(f"{root}/{of}/chain={chain}")):
+def _drop_below(spark: SparkSession, root: str, of: str, chain: str, low: int) -> None:
+    folder, fs = file_system(spark, f"{root}/{of}/chain={chain}")
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
         name = status.getPath().getName()
-        if name.startswith("block_bucket=") and int(name.split("=")[1]) < bucket:
+        if name.startswith("block_bucket=") and int(name.split("=")[1]) < low // BUCKET:
             fs.delete(status.getPath(), True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+
 from .schema import RAW_BLOCK, RAW_RECEIPT
 
 
@@ -22,12 +24,19 @@ def merge_receipts(batch: DataFrame, single: DataFrame) -> DataFrame:
     return batch.unionByName(single.join(batch.select("transactionHash"), "transactionHash", "left_anti"), allowMissingColumns=True)
 
 
-def with_file(df: DataFrame) -> DataFrame:
-    """Adds `file`: when a row's landing file was written, and its path."""
-    file = df.metadataColumn("_metadata")
-    return df.withColumn("file", F.struct(file["file_modification_time"].alias("time"), file["file_path"].alias("path")))
+#: where a line stands: later files come after earlier ones, and lines of a file in order
+PLACE = StructType([StructField("time", TimestampType()), StructField("path", StringType()), StructField("start", LongType()), StructField("line", LongType())])
+
+
+def text_lines(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of a folder's files as a stream, blank ones left out: value, and file, the part of a file that they are read from."""
+    reader = spark.readStream.format("text")
+    df = (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).load(folder)
+    part = df.metadataColumn("_metadata")
+    file = F.struct(part["file_modification_time"].alias("time"), part["file_path"].alias("path"), part["file_block_start"].alias("start"))
+    return df.select("value", file.alias("file")).where(F.trim("value") != "")
 
 
 def placed(df: DataFrame) -> DataFrame:
-    """`file` becomes `place`: later files come after earlier ones, and lines of a file in order."""
-    return df.withColumn("place", F.struct("file.time", "file.path", F.monotonically_increasing_id().alias("line"))).drop("file")
+    """`file` becomes `place`."""
+    return df.withColumn("place", F.struct("file.time", "file.path", "file.start", F.monotonically_increasing_id().alias("line"))).drop("file")

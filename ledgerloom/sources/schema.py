@@ -21,6 +21,7 @@ TRANSACTION = _struct("block_id hash blockHash from to value gas gasPrice gasUse
 LOG = _struct("block_id transaction_id address data transactionHash blockHash removed", "blockNumber transactionIndex logIndex", "topics")
 ACCESS_LIST_ENTRY = _struct("transaction_id address", "blockNumber", "storageKeys")
 BLOCK_SIGNATURE = _struct("blockHash merkleRoot signatureType signatureIdentity signatureValue createdAt", "blockNumber cidCount", "cids")
+EXPECTED = _struct("", "number txs logs entries missing_receipts expected_docs")
 SNAPSHOT_SIGNATURE = _struct("merkleRoot signatureType signatureIdentity signatureValue snapshotFile createdAt", "startBlock endBlock blockCount", "blockSigMerkleRoots")
 #: write order: a block first, what depends on it later
 TABLES = {"Block": BLOCK, "BlockSignature": BLOCK_SIGNATURE, "SnapshotSignature": SNAPSHOT_SIGNATURE, "Transaction": TRANSACTION, "AccessListEntry": ACCESS_LIST_ENTRY, "Log": LOG}
@@ -28,6 +29,8 @@ DELETE_ORDER = ("BlockSignature", "AccessListEntry", "Log", "Transaction", "Bloc
 HEIGHT = {"Block": "number", "BlockSignature": "blockNumber", "Transaction": "blockNumber", "AccessListEntry": "blockNumber", "Log": "blockNumber"}
 KEYS = {"Block": ["number"], "BlockSignature": ["blockNumber"], "SnapshotSignature": ["snapshotFile"], "Transaction": ["hash"], "AccessListEntry": ["doc_id"], "Log": ["blockHash", "logIndex"]}
 IDS = StructType([StructField("doc_id", StringType()), StructField("cid", BinaryType())])
+#: microseconds at which a row's commit was made; no rewriting of files changes it
+META = StructType([StructField("commit", LongType())])
 
 _TX = TRANSACTION.fieldNames()
 RAW_TRANSACTION = StructType([StructField(n, StringType()) for n in _TX if n not in ("block_id", "blockNumber", "transactionIndex", "status")] + [StructField("blockNumber", StringType()), StructField("transactionIndex", LongType()), StructField("status", BooleanType()), StructField("accessList", ArrayType(_struct("address", "", "storageKeys")))])
@@ -65,6 +68,7 @@ def ensure(spark: SparkSession, root: str, of: str, wanted: StructType | None =
     The schema stands in one file beside the data, so that an append reads that and not the footers of the whole table.
     """
     wanted = wanted or StructType([*IDS.fields, *TABLES[of].fields])
+    wanted = StructType([*(f for f in wanted.fields if f.name not in META.fieldNames()), *META.fields])
     path = f"{root}/{of}"
     jvm = spark.sparkContext._jvm
     note = jvm.org.apache.hadoop.fs.Path(f"{path}/_schema.json")
@@ -75,13 +79,15 @@ def ensure(spark: SparkSession, root: str, of: str, wanted: StructType | None =
         stream.close()
         if have == wanted:
             return wanted
-    else:
+    elif fs.exists(note.getParent()):
         try:
             have = spark.read.option("mergeSchema", "true").parquet(path).schema
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             have = StructType()
+    else:
+        have = StructType()
     kinds = {f.name: f.dataType for f in wanted.fields}
     for f in have.fields:
         if f.name not in ("chain", "block_bucket") and kinds.get(f.name, None) != f.dataType:

@@ -1,121 +1,16 @@
-"""Tail ingest, in-order release and what is read off the heights."""
+"""Subscriptions, in-order release and what is read off the heights."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from ..operators import assemble, attest, normalize
-from ..sources.landing import placed, with_file
-from ..sources.schema import RAW_BLOCK, RAW_RECEIPT, TABLES
-from ..sources.tables import BUCKET, append_new, scan, with_ids
-
-
-def stage_receipts(spark: SparkSession, receipts_dir: str, staged: str, preferred: int = 1) -> None:
-    """Receipt files that came since the last call, normalised, to Parquet by buckets of heights.
-
-    preferred: 1 for receipts fetched by block, 0 for those fetched one by one, which count where the former are missing.
-    """
-
-    def put(raw: DataFrame, number: int) -> None:
-        rows = normalize.receipts(placed(raw)).withColumn("block_bucket", F.expr(f"coalesce(blockNumber div {BUCKET}, -1)"))
-        # a replayed batch writes its own folder again
-        rows.repartition("block_bucket").write.mode("overwrite").partitionBy("block_bucket").parquet(f"{staged}/rows/preferred={preferred}/stage={number}")
-
-    raw = with_file(spark.readStream.schema(RAW_RECEIPT).json(receipts_dir))
-    raw.writeStream.foreachBatch(put).option("checkpointLocation", f"{staged}/checkpoint-{preferred}").trigger(availableNow=True).start().awaitTermination()
-
-
-def staged_receipts(spark: SparkSession, staged: str, heights: tuple[int, int]) -> DataFrame:
-    """Staged receipts of a range of heights; only its buckets are read. Later ones have the greater place."""
-    kind = normalize.receipts(spark.createDataFrame([], RAW_RECEIPT)).schema
-    place = StructType([StructField("time", TimestampType()), StructField("path", StringType()), StructField("line", LongType())])
-    schema = StructType([*kind.fields, StructField("place", place), StructField("preferred", LongType()), StructField("stage", LongType()), StructField("block_bucket", LongType())])
-    try:
-        df = spark.read.schema(schema).parquet(f"{staged}/rows")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        df = spark.createDataFrame([], schema)
-    near = F.col("block_bucket").between(heights[0] // BUCKET, heights[1] // BUCKET) & F.col("blockNumber").between(*heights)
-    df = df.where(near | (F.col("block_bucket") == -1))  # -1: receipts without a height
-    return df.withColumn("place", F.struct("preferred", "stage", "place"))
-
-
-def attest_heights(spark: SparkSession, root: str, chain: str, heights: tuple[int, int], created_at: Column, expected: DataFrame | None = None) -> DataFrame:
-    """Writes attestations of stored blocks in a range that have none, and returns them.
-
-    A block has to have a content id for each document and, where `expected` (number, expected_docs) has it, that many.
-    """
-    get = lambda of: scan(spark, root, of, chain, heights)
-    blocks = attest.backfill(get("Block"), get("BlockSignature")).select("number", "hash")
-    docs = attest.documents(get("Block"), get("Transaction"), get("Log"), get("AccessListEntry")).join(blocks.select(F.col("number").alias("blockNumber")), "blockNumber", "left_semi")
-    whole = attest.coverage(docs).where("status = 'ok'").select("blockNumber", "docs")
-    if expected is not None:
-        short = whole.join(expected.select(F.col("number").alias("blockNumber"), "expected_docs"), "blockNumber").where("docs <> expected_docs")
-        whole = whole.join(short.select("blockNumber"), "blockNumber", "left_anti")
-    records = attest.block_records(docs.join(whole.select("blockNumber"), "blockNumber", "left_semi"), blocks, created_at)
-    return append_new(with_ids(records), root, "BlockSignature", chain, heights=heights)
-
-
-def ingest(
-    spark: SparkSession, blocks_dir: str, receipts_dir: str, root: str, chain: str, checkpoint: str, files_per_trigger: int = 100, every: str | None = None, per_minute: int | None = None, created_at: Column | None = None, single_receipts_dir: str | None = None
-) -> StreamingQuery:
-    """Landing files to tables, exactly once by height: a block that is stored is skipped, so a replayed batch adds nothing.
-
-    Without `every` what has landed is taken and the query ends; with it ("10 seconds") the query goes on tailing, and
-    per_minute files a minute is the limit of its rate. Dependents are written before blocks, so a block that is visible
-    has its children; attestations come last, for blocks that are complete, also for those stored earlier which a replay
-    finds without one. Of several receipts of a transaction the last counts, of those in single_receipts_dir only where
-    there is no other. Each batch reads only the buckets of its own
-    heights, of receipts and of tables.
-    """
-    if per_minute is not None:
-        files_per_trigger, every = per_minute, every or "1 minute"
-    stamp = created_at if created_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-    def batch(raw: DataFrame, _: int) -> None:
-        # a height goes whole or not at all: the first file to bring it wins
-        parsed = normalize.blocks(raw).where("number is not null").dropDuplicates(["number"])
-        heights = tuple(parsed.agg(F.min("number"), F.max("number")).first())
-        if heights[0] is None:
-            return
-        stage_receipts(spark, receipts_dir, f"{checkpoint}-receipts")
-        if single_receipts_dir:
-            stage_receipts(spark, single_receipts_dir, f"{checkpoint}-receipts", 0)
-        receipts = staged_receipts(spark, f"{checkpoint}-receipts", heights)
-        fresh = assemble.new_blocks(parsed, scan(spark, root, "Block", chain, heights)).persist()
-        new_raw = raw.join(fresh.select("hash"), "hash", "left_semi").dropDuplicates(["hash"])
-        last = assemble.last_receipts(receipts, "place")
-        blocks = with_ids(fresh)
-        tx = assemble.tx_receipts(normalize.transactions(new_raw), last)
-        tx = tx.join(blocks.select(F.col("number").alias("blockNumber"), F.col("doc_id").alias("block_id")), "blockNumber")
-        tx = with_ids(tx.select(*TABLES["Transaction"].fieldNames()))
-        ids = tx.select(F.col("hash").alias("transactionHash"), F.col("doc_id").alias("transaction_id"), "block_id")
-        logs = normalize.logs(last).join(ids, "transactionHash").select(*TABLES["Log"].fieldNames())
-        entries = normalize.access_list(new_raw).join(ids, "transactionHash").select(*TABLES["AccessListEntry"].fieldNames())
-        logs, entries = with_ids(logs), with_ids(entries).dropDuplicates(["doc_id"])
-        expected = assemble.expected_docs(fresh, tx, logs, entries).persist()
-        expected.count()  # before the tables change
-        append_new(logs, root, "Log", chain, heights=heights)
-        append_new(entries, root, "AccessListEntry", chain, heights=heights)
-        append_new(tx, root, "Transaction", chain, heights=heights)
-        append_new(blocks, root, "Block", chain, heights=heights)
-        attest_heights(spark, root, chain, heights, stamp, expected)
-        fresh.unpersist()
-        expected.unpersist()
-
-    stream = spark.readStream.schema(RAW_BLOCK).option("maxFilesPerTrigger", files_per_trigger).json(blocks_dir)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+from .ingest import ingest  # noqa: F401 - part of this module's interface
 
 
 def subscribe(spark: SparkSession, root: str, of: str, schema, condition: Column | None = None) -> DataFrame:
