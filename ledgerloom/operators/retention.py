@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .ops import log_run
 from ..sources.schema import DELETE_ORDER, HEIGHT
 from ..sources.tables import BUCKET, file_system, raise_floor, scan
 
@@ -116,6 +117,9 @@ def prune(spark: SparkSession, root: str, chain: str, cutoff: int | None) -> Dat
             if k == "Block":
                 raise
             report.append((k, gone[k], str(e)))
+    if gone:
+        _drop_below(spark, root, "Expected", chain, low)
+        log_run(spark, root, "prune", low, chain, rows=sum(gone.values()), blocks=gone["Block"], docs=sum(gone.values()), last_block=cutoff)
     return spark.createDataFrame(report, "collection string, rows long, error string")
 
 
