@@ -6,6 +6,7 @@ decision tree, grown here from the small labelled pages below, tells main text f
 
 What an element says (nav, footer, a class named sidebar) holds for what lies in it, unless it is itself around the
 page's article: an element that holds the main <article> or <main>, or without those nearly all plain words, says nothing.
+Ids are often made from titles: one on a heading says nothing, nor one that only spells the heading of its own section.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ NAMES = frozenset(
 )
 #: the same, but only as a whole name
 WHOLE = frozenset("header search tag".split())
+#: ids of what readers write below an article
+READERS = frozenset("comments comment commentlist replies respond disqus".split())
 #: words by which a longer name speaks of a state or of the page's layout
 STATE = frozenset("has no not is with without open opened close closed fixed enabled disabled on off single multi".split())
 
@@ -51,6 +54,7 @@ _ATTR = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))
 _END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 _SPACE = re.compile(r"\s+")
 _LONG_NUMBER = re.compile(r"&#([xX]?)([0-9a-fA-F]{9,});?")
+_ANCHOR = re.compile(r"[^\W_]+")
 _WORD_IN_NAME = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
@@ -92,6 +96,7 @@ class Box:
     main: bool
     barred: bool
     marked: bool
+    anchor: str = ""  # the id, where that alone marks it
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -163,11 +168,13 @@ class _Page:
         _, box, hidden, headings, label, blocks = self.top
         attrs = _attributes(raw)
         hidden += name in SILENT or (bool(attrs) and _hidden(attrs))
-        marked = bool(attrs) and marks(f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}")
+        marked = bool(attrs) and marks(f"{attrs.get('class', '')} {attrs.get('role', '')}")
+        anchor = attrs.get("id", "") if attrs and not marked and name not in HEADING and marks(attrs.get("id", "")) else ""
+        marked = marked or bool(anchor)
         main = name in MAIN and not marked
         barred = name in BARRED and not (name == "header" and any(self.where.get(m) for m in MAIN))
         if main or barred or marked:
-            self.boxes.append(Box(box, main, barred, marked))
+            self.boxes.append(Box(box, main, barred, marked, anchor))
             box = len(self.boxes) - 1
         if name == "a":
             self.link = len(self.open)
@@ -208,6 +215,7 @@ def parsed(page: str) -> _Page:
         elif name not in VOID:
             p.start(name, m[3])
     p.flush()
+    _titled(p)
     return p
 
 
@@ -216,6 +224,35 @@ LEAST, WRAPS = 0.1, 0.8
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "main", "barred", "marked", "heading")
 
 
+def _slug(text: str) -> str:
+    """A title as pages make anchors of it."""
+    return re.sub(r"-\d+$", "", "-".join(_ANCHOR.findall(text.lower())))
+
+
+def _titled(p: _Page) -> None:
+    """An id that is only its element's own heading spelt as an anchor says nothing of the element.
+
+    Reader comments are what they are under any heading; and a part whose words are mostly links is no section of a text.
+    """
+    first: dict[int, int] = {}
+    plain, words = [0] * (len(p.boxes) + 1), [0] * (len(p.boxes) + 1)
+    for i, b in enumerate(p.blocks):
+        first.setdefault(b.box, i)
+        plain[b.box] += b.words - b.linked
+        words[b.box] += b.words
+    for i in range(len(p.boxes) - 1, -1, -1):
+        parent = p.boxes[i].parent
+        plain[parent] += plain[i]
+        words[parent] += words[i]
+        if i in first and parent >= 0:
+            first[parent] = min(first[i], first.get(parent, first[i]))
+    for i, box in enumerate(p.boxes):
+        if box.anchor and i in first:
+            head = p.blocks[first[i]]
+            if head.heading and _slug(head.text) == _slug(box.anchor) and box.anchor.lower() not in READERS and 2 * plain[i] >= words[i]:
+                box.marked = False
+
+
 def _said(p: _Page) -> list[tuple[int, bool, bool]]:
     """For each box: 1 inside the article, -1 outside where the page has one, 0 without; inside a barred element; inside a marked one."""
     n = len(p.boxes)

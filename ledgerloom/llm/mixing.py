@@ -119,11 +119,30 @@ def calibrated(tokens: np.ndarray, targets: list[np.ndarray], share: float, miss
     return np.minimum(1.0, np.divide(low * best, t, out=np.zeros(t.shape), where=t > 0)), low, worst
 
 
+def wanted(axis: str, names: list[str], target: dict[str, float], there: np.ndarray) -> np.ndarray:
+    """The target of each name as it was given; what is left of 1 goes to REST where that is not named.
+
+    ValueError where shares are negative, add up to more than 1, or to less with REST given, and where a name that should
+    have a share has no tokens.
+    """
+    given = np.array([target.get(n, 0.0) for n in names])
+    left = 1.0 - given.sum()
+    if REST not in target and left > 1e-9:
+        given[names.index(REST)] = left
+        left = 0.0
+    if given.min() < 0 or abs(left) > 1e-6:
+        raise ValueError(f"targets of {axis} add up to {1 - left:.6g}, not to 1, or are negative")
+    lost = [n for n, w, t in zip(names, given, there, strict=True) if w > 1e-9 and not t]
+    if lost and there.sum():
+        raise ValueError(f"targets out of reach: {axis} {', '.join(lost)}: no tokens")
+    return given
+
+
 def mixture(docs: DataFrame, targets: Targets | None = None, share: float = 0.5, seed: int = 1, power: float = 0.7, least: float = 0.005, n_topics: int = 8) -> Mixture:
     """A row for each row of docs: doc_id, key, source_cell, lang_cell, topic_cell, n_tokens, probability, kept.
 
     targets: shares of tokens for each axis (source, lang, topic); what an axis does not name is REST, with what share the
-    target gives REST. The sample holds `share` of all tokens, or the largest share with which the targets can be met; if
+    target gives REST, or with what is left of 1; other sums and names without tokens are refused. The sample holds `share` of all tokens, or the largest share with which the targets can be met; if
     they cannot be met at all, ValueError tells what was wanted and what is reached. Without targets, values with `least`
     of the tokens or more are named (so at most 1 / least an axis) and each axis aims at shares tempered by `power`,
     drawn back half by half towards the table's own shares until they can be met with `share`.
@@ -152,7 +171,7 @@ def mixture(docs: DataFrame, targets: Targets | None = None, share: float = 0.5,
     for r in found:
         tokens[at(r)] = r["n"] or 0
     if targets is not None:
-        want = [np.array([targets[k].get(n, 0.0) for n in axes[k]]) for k in AXES]
+        want = [wanted(k, axes[k], targets[k], _margin(tokens, i)) for i, k in enumerate(AXES)]
         p, share, miss = calibrated(tokens, want, share)
         if not share and tokens.sum():
             x = rake(tokens, want)[0]

@@ -83,3 +83,32 @@ def test_odd_pages(spark):
     got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))).collect()
     assert len(got) == 6 and sorted(r.n_chars for r in got)[-1] == 249999
     assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+TREE = H.trained()
+TITLES = "search notice related navigation menu social alert discussion comments overlay sharing promotion consent tag banner widgets header replies login advertising".split()
+
+
+@pytest.mark.parametrize("name", TITLES)
+def test_an_id_on_a_heading_says_nothing(name):
+    body = " ".join(f"Sentence number {i} of the article has some plain words in it." for i in range(6))
+    page = f'<body><nav><a href="/">Home</a></nav><article><h1>Title</h1><p>{body}</p><h2 id="{name}">{name.title()}</h2><p>{body}</p></article><footer>Imprint</footer></body>'
+    text = H.main_text(page, TREE)
+    assert f" {name.title()} " in text and "Imprint" not in text and "Home" not in text
+
+
+@pytest.mark.parametrize("name,title", [("discussion", "Discussion"), ("related-work", "Related work"), ("menu", "Menu"), ("search", "Search"), ("notice", "Notice"), ("banner-1", "Banner"), ("recommendations", "Recommendations"), ("tags", "Tags"), ("popup", "Popup"), ("consent", "Consent"), ("sharing", "Sharing")])
+def test_a_section_named_by_its_own_heading_stays(name, title):
+    body = " ".join(f"Sentence number {i} of the article has some plain words in it." for i in range(6))
+    part = f'<section id="{name}"><h2>{title}</h2><p>{body} Here.</p></section>'
+    text = H.main_text(f"<body><article><h1>T</h1><p>{body}</p>{part}<p>{body}</p></article></body>", TREE)
+    assert "Here." in text
+    links = "".join(f'<li><a href="/{i}">Another page {i}</a></li>' for i in range(6))
+    text = H.main_text(f'<body><article><h1>T</h1><p>{body}</p></article><section id="{name}"><h2>{title}</h2><ul>{links}</ul></section></body>', TREE)
+    assert "Another page" not in text
+
+
+def test_reader_comments_go_under_any_heading():
+    body = " ".join(f"Sentence number {i} of the article has some plain words in it." for i in range(6))
+    text = H.main_text(f'<body><article><h1>T</h1><p>{body}</p><section id="comments"><h2>Comments</h2><p>I think {body}</p></section></article></body>', TREE)
+    assert "I think" not in text

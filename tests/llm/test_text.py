@@ -429,6 +429,22 @@ def test_targets_are_met_or_refused(spark):
         mixing.mix(apart, {"source": {"s0": 0.9, "s1": 0.1}, "lang": {"en": 0.2, "de": 0.8}, "topic": {mixing.REST: 1.0}})
 
 
+@pytest.mark.parametrize("source,said", [({"s0": 0.9, "s1": 0.3}, "add up"), ({"s0": 0.5, mixing.REST: 0.2}, "add up"), ({"s0": 0.5, "s9": 0.5}, "out of reach"), ({"s0": 0.2}, "out of reach"), ({"s0": -0.1, "s1": 1.1}, "negative")])
+def test_targets_that_do_not_fit_are_refused(spark, source, said):
+    rows = [(i, "w " * 50, "en", ["s0", "s1"][i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    with pytest.raises(ValueError, match=said):
+        mixing.mixture(df.where("source = 's0'") if source == {"s0": 0.2} else df, {"source": source, "lang": {"en": 1.0}, "topic": {mixing.REST: 1.0}})
+
+
+def test_what_is_left_of_one_goes_to_the_rest(spark):
+    rows = [(i, "w " * 50, "en", ["s0", "s1", "s2", "s3"][i % 4]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    m = mixing.mixture(df, {"source": {"s0": 0.2}, "lang": {"en": 1.0}, "topic": {mixing.REST: 1.0}}, share=0.5)
+    got = {r.value: r.attained for r in m.report.where("axis = 'source'").collect()}
+    assert abs(got["s0"] - 0.2) < 0.005 and abs(got[mixing.REST] - 0.8) < 0.005 and m.share > 0.45
+
+
 def test_topics_part_vocabularies(spark):
     r = np.random.default_rng(8)
     rows = [(i, " ".join(f"{'abc'[i % 3]}{x}" for x in r.integers(0, 40, 120)), f"t{i % 3}") for i in range(300)]
