@@ -26,6 +26,27 @@ def root(leaves: Column) -> Column:
     return fold(F.transform(leaves, _sha))
 
 
+def grown(n: Column, peaks: Column, leaves: Column) -> Column:
+    """n, peaks after more leaves: nodes of the full aligned subtrees that the leaves so far fall into, the largest first.
+
+    Their sizes are the binary digits of n. A leaf joins as many of the last ones as n ends in ones, so that leaves cost
+    about two hashes each, however many there were before.
+    """
+
+    def push(tree: Column, leaf: Column) -> Column:
+        have, size = tree["peaks"], F.size(tree["peaks"])
+        joins = (F.bit_count(tree["n"].bitwiseXOR(tree["n"] + 1)) - 1).cast("int")
+        node = F.aggregate(F.reverse(F.slice(have, size - joins + 1, joins)), _sha(leaf), lambda node, left: _sha(F.concat(left, node)))
+        return F.struct((tree["n"] + 1).alias("n"), F.concat(F.slice(have, F.lit(1), size - joins), F.array(node)).alias("peaks"))
+
+    return F.aggregate(leaves, F.struct(n.cast("long").alias("n"), peaks.alias("peaks")), push)
+
+
+def peaks_root(peaks: Column) -> Column:
+    """Root over the leaves that peaks stand for: as odd nodes move up, the smaller ones meet from the right."""
+    return F.when(F.size(peaks) > 0, F.aggregate(F.reverse(F.slice(peaks, F.lit(1), F.size(peaks) - 1)), F.element_at(peaks, -1), lambda node, left: _sha(F.concat(left, node))))
+
+
 def roots(leaves: DataFrame, by: list[str], order: str, leaf: str, bucket: Column, chunk_bits: int = 12) -> DataFrame:
     """Root a group of any size: by..., n_leaves, root.
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.merkle import root
+from ..functions.merkle import grown, peaks_root, root
 from ..sources.schema import HEIGHT
-from ..sources.tables import append_new, scan
+from ..sources.tables import append_new, read
+from .ops import log_run
 
 MAGIC, VERSION = "LLSNAP", 1
 VALID_HEX = "^([0-9a-fA-F]{2})+$"
@@ -42,6 +43,30 @@ def range_roots(signatures: DataFrame, ranges: DataFrame, per_file: int) -> Data
     return ranges.select("start", "end").join(sorted_, "start", "left").withColumn("roots", F.coalesce("roots", F.array().cast("array<string>")))
 
 
+PEAKS = "group long, n long, peaks array<binary>, last long, part long, chain string"
+
+
+def grow_roots(spark: SparkSession, root: str, chain: str, signatures: DataFrame, group: Column, part: int) -> DataFrame:
+    """Adds block roots (blockNumber, merkleRoot) to growing trees, one a group of heights; group, n, root of those it touched.
+
+    Stored are the nodes of full aligned subtrees: a batch hashes its own leaves and the right edge of each tree. Roots
+    that are not valid hex, and heights at or below the last one that a tree has, are left out; parts rise, and the same
+    part again replaces itself.
+    """
+    stored = read(spark, f"{root}/Peaks", PEAKS).where((F.col("chain") == chain) & (F.col("part") < part))
+    before = stored.groupBy("group").agg(F.max_by(F.struct("n", "peaks", "last"), "part").alias("b")).select("group", "b.*")
+    ok = signatures.where(F.col("merkleRoot").rlike(VALID_HEX)).select(group.cast("long").alias("group"), "blockNumber", F.unhex("merkleRoot").alias("leaf"))
+    fresh = ok.join(before.select("group", "last"), "group", "left").where("last is null or blockNumber > last")
+    leaves = fresh.groupBy("group").agg(F.array_sort(F.collect_list(F.struct("blockNumber", "leaf"))).alias("l"))
+    rows = leaves.join(before.select("group", "n", "peaks"), "group", "left")
+    tree = grown(F.coalesce("n", F.lit(0)), F.coalesce("peaks", F.array().cast("array<binary>")), F.col("l.leaf"))
+    out = rows.select("group", tree.alias("t"), F.element_at("l", -1)["blockNumber"].alias("last")).select("group", "t.n", "t.peaks", "last")
+    path = f"{root}/Peaks/chain={chain}/part={part}"
+    out.write.mode("overwrite").parquet(path)
+    done = spark.read.schema("group long, n long, peaks array<binary>, last long").parquet(path)
+    return done.select("group", "n", F.lower(F.hex(peaks_root(F.col("peaks")))).alias("root"))
+
+
 def record(rooted: DataFrame, created_at: str) -> DataFrame:
     """One attestation a range with roots; blockCount is the number of valid roots, expected_blocks that of heights."""
     return rooted.where(F.size("roots") > 0).select(
@@ -64,27 +89,32 @@ def export(tables: Mapping[str, DataFrame], ranges: DataFrame, path: str, roots:
     spark, run = ranges.sparkSession, uuid.uuid4().hex
     bounds = ranges.select("start", "end")
     base, per_file = ranges.agg(F.min("start"), F.min(F.col("end") - F.col("start") + 1)).first()
+    counts = {}
     for name, df in tables.items():
+        seen = counts[name] = Observation()
         rows = df.where(F.col(HEIGHT[name]) >= (base or 0)).withColumn("range_start", _start_of(HEIGHT[name], base or 0, per_file or 1))
-        rows.join(bounds.select(F.col("start").alias("range_start")), "range_start", "left_semi").write.partitionBy("range_start").parquet(f"{path}/data/{run}/{name}")
+        rows.join(bounds.select(F.col("start").alias("range_start")), "range_start", "left_semi").observe(seen, F.count("*").alias("n")).write.partitionBy("range_start").parquet(f"{path}/data/{run}/{name}")
     manifest = bounds.select(F.lit(MAGIC).alias("magic"), F.lit(VERSION).alias("version"), F.lit(chain).alias("chain"), F.lit(run).alias("run"), "start", "end", file_name(F.col("start"), F.col("end")).alias("snapshotFile"), F.lit(",".join(tables)).alias("collections"))
     if roots is not None:
         manifest = manifest.join(roots.select("start", "roots"), "start", "left")
+    manifest = manifest.withColumn("written_at", F.current_timestamp())
     manifest.write.mode("append").parquet(f"{path}/manifest")
+    docs = {k: seen.get["n"] for k, seen in counts.items()}
+    log_run(spark, path, "export", base or 0, chain, rows=sum(docs.values()), blocks=docs.get("Block", 0), docs=sum(docs.values()), last_block=ranges.agg(F.max("end")).first()[0])
     return spark.read.parquet(f"{path}/manifest").where(F.col("run") == run)
 
 
 def restore(spark: SparkSession, path: str, file: str, into: str, chain: str) -> DataFrame:
     """Appends what the tables lack of one snapshot; returns start and end. Raises on a foreign or missing manifest row."""
-    rows = spark.read.parquet(f"{path}/manifest").where(F.col("snapshotFile") == file).collect()
+    rows = spark.read.parquet(f"{path}/manifest").where(F.col("snapshotFile") == file).orderBy("written_at", "run").collect()
     if not rows:
         raise FileNotFoundError(file)
-    m = rows[-1]
+    m = rows[-1]  # the last run that wrote it
     if m["magic"] != MAGIC or m["version"] != VERSION or m["start"] > m["end"]:
         raise ValueError(f"{file} is not a snapshot of version {VERSION}")
     for name in m["collections"].split(","):
         part = spark.read.parquet(f"{path}/data/{m['run']}/{name}").where(F.col("range_start") == m["start"]).drop("range_start")
-        append_new(part, into, name, chain)
+        append_new(part, into, name, chain, heights=(m["start"], m["end"]))
     return spark.createDataFrame([(m["start"], m["end"])], "start long, end long")
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from ..operators import assemble, attest, ops, quality, query, retention, snapshot, verify
+from ..operators import assemble, attest, intervals, ops, quality, query, retention, snapshot, verify
+from ..sources import index
 from ..sources import schema as S
-from ..streaming import stream
+from ..sources.tables import scan
+from ..streaming import ingest, staging, stream
 from . import landed
 from .chainview import SQL, ChainView
 
@@ -374,3 +376,54 @@ register("landed_signatures", """WITH d AS (SELECT number AS n FROM cv_blocks UN
     lambda v: landed.table(v, "BlockSignature").select("blockNumber", "blockHash", "cidCount", F.length("merkleRoot").alias("digits"))
 )
 register("landed_range", f'SELECT number, hash FROM cv_blocks WHERE number BETWEEN {BLOCK - 50} AND {BLOCK + 200}')(lambda v: landed.table(v, "Block", (BLOCK - 50, BLOCK + 200)).select("number", "hash"))
+
+# --- landing in any order, dead letters, index, floors, subscriptions ---
+
+_LEDGER = _EXPECTED.strip() + """, ad AS (SELECT "blockNumber" AS number, count(*) AS entries FROM (SELECT DISTINCT "blockNumber", "transactionHash", address, "storageKeys" FROM cv_access_list) GROUP BY 1),
+    ms AS (SELECT t."blockNumber" AS number, count(*) AS missing_receipts FROM cv_transactions t WHERE hash NOT IN (SELECT "transactionHash" FROM cv_receipts) GROUP BY 1)
+    SELECT number, txs, logs, coalesce(ad.entries, 0) AS entries, coalesce(missing_receipts, 0) AS missing_receipts, 1 + txs + logs + coalesce(ad.entries, 0) AS expected_docs FROM ex LEFT JOIN ad USING (number) LEFT JOIN ms USING (number)"""
+register("landed_late", _LEDGER)(lambda v: ingest.ledger(v.spark, landed.late_root(v), landed.CHAIN))
+register("landed_late_logs", """SELECT l."transactionHash", l."blockNumber", "logIndex", address FROM cv_logs l JOIN cv_receipts r ON l."transactionHash" = r."transactionHash\"""")(
+    lambda v: scan(v.spark, landed.late_root(v), "Log", landed.CHAIN).select("transactionHash", "blockNumber", "logIndex", "address")
+)
+register("landed_rejects", """SELECT 'PARSING_FAILED' AS code, 'error' AS severity, 'blocks' AS operation, '{broken ' || number AS raw FROM cv_blocks WHERE number % 40 = 0
+    UNION ALL SELECT 'INVALID_HEX', 'error', 'blocks', '{"number":"0xzz' || number || '","hash":"' || hash || '"}' FROM cv_blocks WHERE number % 40 = 1
+    UNION ALL SELECT 'INVALID_BLOCK_FORMAT', 'error', 'blocks', '{"number":"0x' || lower(to_base(number, 16)) || '"}' FROM cv_blocks WHERE number % 40 = 2""")(
+    lambda v: staging.rejects(v.spark, landed.late_root(v), landed.CHAIN).select("code", "severity", "operation", "raw")
+)
+register("landed_accounts", """SELECT count(*) + count(*) FILTER (number % 40 <= 3) AS rows, count(*) FILTER (number % 40 <= 2) AS rejected, count(*) AS blocks FROM cv_blocks""")(
+    lambda v: ops.run_log(v.spark, landed.late_root(v), landed.CHAIN).agg(F.sum(F.when(F.col("job") == "stage-blocks-1", F.col("rows"))).alias("rows"), F.sum(F.when(F.col("job") == "stage-blocks-1", F.col("rejected"))).alias("rejected"), F.sum(F.when(F.col("job") == "ingest", F.col("blocks"))).alias("blocks"))
+)
+_RECEIVED_LOGS = 'SELECT l."transactionHash", l."blockNumber", "logIndex", address FROM cv_logs l JOIN cv_receipts r ON l."transactionHash" = r."transactionHash"'
+register("landed_logs_by_topic", _RECEIVED_LOGS + " WHERE list_contains(topics, '0x' || sha256('eAF'))")(
+    lambda v: index.logs_by_topic(v.spark, landed.root(v), landed.CHAIN, TOPIC).select("transactionHash", "blockNumber", "logIndex", "address")
+)
+register("landed_transactions_of", "SELECT hash, \"blockNumber\", \"from\", \"to\" FROM cv_transactions WHERE '0x' || substr(sha256('c70'), 1, 40) IN (\"from\", \"to\")")(
+    lambda v: index.transactions_of(v.spark, landed.root(v), landed.CHAIN, ADDRESS).select("hash", "blockNumber", "from", "to")
+)
+register("landed_transaction_by_hash", _RECEIVED_LOGS + " WHERE l.\"transactionHash\" = '0x' || sha256('t100')")(
+    lambda v: query.transaction_logs(landed.table(v, "Log"), TX).select("transactionHash", "blockNumber", "logIndex", "address")
+)
+_KEPT = f'(SELECT max(number) - {KEEP} FROM cv_blocks)'
+register("landed_pruned", f"""SELECT 'Block' AS of, number AS height, count(*) AS n FROM cv_blocks WHERE number > {_KEPT} GROUP BY ALL UNION ALL SELECT 'Transaction', "blockNumber", count(*) FROM cv_transactions WHERE "blockNumber" > {_KEPT} GROUP BY ALL
+    UNION ALL SELECT 'Log', l."blockNumber", count(*) FROM cv_logs l JOIN cv_receipts r ON l."transactionHash" = r."transactionHash" WHERE l."blockNumber" > {_KEPT} GROUP BY ALL""")(lambda v: _pruned_counts(v, landed.pruned(v, KEEP)))
+
+
+def _pruned_counts(v: ChainView, root: str) -> DataFrame:
+    parts = [scan(v.spark, root, of, landed.CHAIN).groupBy(F.col(S.HEIGHT[of]).alias("height")).agg(F.count("*").alias("n")).select(F.lit(of).alias("of"), "height", "n") for of in ("Block", "Transaction", "Log")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+register("landed_subscribed", 'SELECT number, hash FROM cv_blocks')(lambda v: landed.subscribed(v, "Block").select("number", "hash"))
+register("landed_gaps", ORACLES["block_gaps"].split(f"WITH {SQL} ", 1)[1])(lambda v: intervals.gaps(v.spark, landed.late_root(v), landed.CHAIN))
+register("released_in_order", """SELECT chain, number, ok FROM (SELECT chain, dense_rank() OVER (PARTITION BY chain ORDER BY number) AS number, success AS ok FROM cv_heads) WHERE number < 4497""")(lambda v: landed.released(v))
+register("grown_roots", _SIGS + f""", own AS (SELECT number // 64 AS g, list(unhex(sha256(root)) ORDER BY number) AS nodes FROM sigs WHERE number % 11 <> 0 GROUP BY 1), gr AS (SELECT * FROM own UNION ALL
+    SELECT g, list_transform(range(0, (len(nodes) + 1) // 2), lambda k: CASE WHEN 2 * k + 2 <= len(nodes) THEN unhex(sha256(nodes[2 * k + 1] || nodes[2 * k + 2])) ELSE nodes[2 * k + 1] END) FROM gr WHERE len(nodes) > 1),
+    sizes AS (SELECT g, len(nodes) AS n FROM own) SELECT g AS "group", n, lower(hex(nodes[1])) AS root FROM gr JOIN sizes USING (g) WHERE len(nodes) = 1""")(lambda v: landed.grown_roots(v, _signatures(v), 64))
+register("landed_restored", f"""WITH {_PLAN}, three AS (SELECT start, "end" FROM rg ORDER BY start LIMIT 3)
+    SELECT t.hash, "blockNumber", b.hash AS block FROM cv_transactions t JOIN three ON "blockNumber" BETWEEN start AND "end" JOIN cv_blocks b ON b.number = "blockNumber\"""")(lambda v: _restored(v, landed.restored(v, PER_FILE)))
+
+
+def _restored(v: ChainView, root: str) -> DataFrame:
+    blocks = scan(v.spark, root, "Block", landed.CHAIN).select(F.col("doc_id").alias("block_id"), F.col("hash").alias("block"))
+    return scan(v.spark, root, "Transaction", landed.CHAIN).join(blocks, "block_id").select("hash", "blockNumber", "block")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.expr import content_doc_id, content_id
-from ..operators import assemble, attest, normalize, ops
+from ..operators import assemble, attest, intervals, normalize, ops
 from ..sources import index
 from ..sources.schema import EXPECTED, TABLES
 from ..sources.tables import BUCKET, append_new, bucket_of, file_system, floor, read, scan, with_ids
@@ -110,10 +111,13 @@ class Commit:
         left = rows.join(done.select("height"), "height", "left_anti")
         left.write.mode("overwrite").parquet(f"{self.path}/waiting/batch={number}")
         self._forget(number - 2)
-        ops.log_run(spark, root, "ingest", number, chain, rows=lines, skipped=lines - blocks, blocks=blocks, docs=self.counts.pop("docs", 0), last_block=self.counts.pop("last_block", None))
+        ops.log_run(spark, root, "ingest", number, chain, self._part(number), rows=lines, skipped=lines - blocks, blocks=blocks, docs=self.counts.pop("docs", 0), last_block=self.counts.pop("last_block", None))
         for df in (batch, rows, ready, done):
             df.unpersist()
 
+    def _part(self, number: int) -> str:
+        return f"{self.path.rsplit('/', 1)[-1]}-{number}"
+
     def _waiting(self, number: int) -> DataFrame:
         spark = self.staging.spark
         before = max((n for n in self._batches("waiting") if n < number), default=None)
@@ -150,13 +154,19 @@ class Commit:
         missing = tx.groupBy(F.col("blockNumber").alias("number")).agg(F.count_if(~F.col("has_receipt")).alias("missing_receipts"))
         seen = Observation()
         expected = expected.join(missing, "number", "left").na.fill(0, ["missing_receipts"])
-        enter(expected.observe(seen, F.count("*").alias("blocks"), F.sum("expected_docs").alias("docs"), F.max("number").alias("last_block")), root, chain, buckets)
-        append_new(with_ids(logs), root, "Log", chain, buckets=buckets)
-        append_new(with_ids(entries), root, "AccessListEntry", chain, buckets=buckets)
-        append_new(tx, root, "Transaction", chain, buckets=buckets)
         at = bucket_of("blockNumber")
-        index.add(index.entries(logs.withColumn("block_bucket", at), tx.withColumn("block_bucket", at)), root, chain)
+        jobs = [
+            lambda: enter(expected.observe(seen, F.count("*").alias("blocks"), F.sum("expected_docs").alias("docs"), F.max("number").alias("last_block")), root, chain, buckets),
+            lambda: append_new(with_ids(logs), root, "Log", chain, buckets=buckets),
+            lambda: append_new(with_ids(entries), root, "AccessListEntry", chain, buckets=buckets),
+            lambda: append_new(tx, root, "Transaction", chain, buckets=buckets),
+            lambda: index.add(index.entries(logs.withColumn("block_bucket", at), tx.withColumn("block_bucket", at)), root, chain),
+        ]
+        with ThreadPoolExecutor(len(jobs)) as pool:  # they are independent, and all before the blocks
+            for done in [pool.submit(j) for j in jobs]:
+                done.result()
         append_new(blocks, root, "Block", chain, buckets=buckets)
+        intervals.add(chosen.select(F.col("height").alias("number")), root, chain, self._part(number))
         self.counts |= {"docs": seen.get["docs"], "last_block": seen.get["last_block"]}
         return seen.get["blocks"]
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..sources.schema import META, ensure
-from ..sources.tables import file_system, stored_schema
+from ..sources.schema import HEIGHT, META, ensure
+from ..sources.tables import file_system, floor, stored_schema
 from .staging import REJECT
 from .ingest import ingest  # noqa: F401 - part of this module's interface
 
@@ -22,11 +22,13 @@ def subscribe(spark: SparkSession, root: str, of: str, chain: str, condition: Co
 
     A row is known by its doc_id and its commit, which rewriting keeps. One that comes again within the horizon of the
     newest commit seen meets the state, which forgets it after that; later than that it is too old to be taken. The
-    result has the table's columns and `committed_at`.
+    result has the table's columns and `committed_at`. Rows below the floor that stands when the stream begins are left out.
     """
     ensure(spark, root, of)
     files = spark.readStream.schema(stored_schema(of)).option("ignoreMissingFiles", "true")
     rows = (files.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else files).parquet(f"{root}/{of}").where(F.col("chain") == chain)
+    low = floor(spark, root, chain)
+    rows = rows.where(F.col(HEIGHT[of]) >= low) if low is not None and of in HEIGHT else rows
     rows = rows.withColumn("committed_at", F.timestamp_micros("commit")).withWatermark("committed_at", horizon)
     rows = rows.where(condition) if condition is not None else rows
     return rows.dropDuplicates(["doc_id", "commit", "committed_at"]).drop("chain", "block_bucket", *META.fieldNames())

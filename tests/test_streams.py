@@ -80,3 +80,77 @@ def test_subscriber_sees_each_row_of_its_chain_once(spark, tmp_path):
     assert len(some) == 6 and "chain" not in some[0].asDict()
     c.land(["{bad"]).go()
     assert [r["raw"] for r in drain(stream.subscribe_rejects(spark, c.root, "c"), tmp_path, "bad")] == ["{bad"]
+
+
+def test_intervals_after_each_batch(spark, tmp_path):
+    from ledgerloom.operators import intervals
+
+    r, have, root = random.Random(8), set(), str(tmp_path)
+    for i in range(10):
+        base = r.choice([0, 900, 5000, 1_000_000])
+        batch = {base + r.randrange(300) for _ in range(r.randrange(1, 120))}
+        have |= batch
+        intervals.add(spark.createDataFrame([(n,) for n in batch], "number long"), root, "c", f"p-{i}")
+        want = sorted(map(tuple, stream.gaps(spark.createDataFrame([(n,) for n in have], "number long"), 500).collect()))
+        assert sorted(map(tuple, intervals.gaps(spark, root, "c").collect())) == want
+    rows = spark.read.parquet(f"{root}/Heights/chain=c/part=p-9").count()
+    assert rows == len({n // 1000 for n in batch})  # the buckets of the batch only
+    tables.raise_floor(spark, root, "c", 5100)
+    want = sorted(map(tuple, stream.gaps(spark.createDataFrame([(n,) for n in have if n >= 5100], "number long"), 500).collect()))
+    got = sorted(map(tuple, intervals.gaps(spark, root, "c").collect()))
+    assert [g for g in got if g[1] >= min(n for n in have if n >= 5100)] == want
+
+
+def test_roots_that_grow(spark, tmp_path):
+    import hashlib
+
+    from ledgerloom.operators import snapshot
+
+    def fold(leaves):
+        nodes = [hashlib.sha256(x).digest() for x in leaves]
+        while len(nodes) > 1:
+            nodes = [hashlib.sha256(b"".join(nodes[i : i + 2])).digest() if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
+        return nodes[0].hex()
+
+    r, n, part = random.Random(3), 0, 0
+    leaf = lambda i: hashlib.sha256(str(i).encode()).digest()
+    while n < 300:
+        more = r.choice([1, 1, 2, 3, 40, 64])
+        rows = [(i, leaf(i).hex()) for i in range(n, n + more)] + [(n + more - 1, "zz")]
+        n += more
+        got = snapshot.grow_roots(spark, str(tmp_path), "c", spark.createDataFrame(rows, "blockNumber long, merkleRoot string"), F.lit(0), part).first()
+        assert (got["n"], got["root"]) == (n, fold([leaf(i) for i in range(n)]))
+        part += 1
+    again = snapshot.grow_roots(spark, str(tmp_path), "c", spark.createDataFrame(rows, "blockNumber long, merkleRoot string"), F.lit(0), part - 1).first()
+    assert again["root"] == got["root"]  # a part that is repeated, and heights that are there already
+    assert not snapshot.grow_roots(spark, str(tmp_path), "c", spark.createDataFrame(rows, "blockNumber long, merkleRoot string"), F.lit(0), part).count()
+
+
+def test_run_log_agrees_with_the_tables(spark, tmp_path):
+    import time
+
+    from ledgerloom.operators import snapshot
+
+    c = Chain(spark, tmp_path / "x")
+    c.land(*chain_of(30, txs=1, first=20)).go()
+    docs = lambda: sum(c.table(t).count() for t in ("Block", "Transaction", "Log", "AccessListEntry"))
+    log = lambda root: {r["job"]: r for r in ops.metrics(ops.run_log(spark, root, "c")).collect()}
+    m = log(c.root)["ingest"]
+    assert (m["blocks"], m["docs"], m["last_block"]) == (30, docs(), 49)
+    out = str(tmp_path / "out")
+    snapshot.export({t: c.table(t) for t in ("Block", "Log")}, snapshot.plan(c.table("Block"), 10), out, chain="c")
+    assert log(out)["export"]["blocks"] == 30 and log(out)["export"]["docs"] == 30 + c.table("Log").count()
+    before = docs() + c.table("BlockSignature").count()
+    retention.prune(spark, c.root, "c", 29)
+    assert log(c.root)["prune"]["blocks"] == 10 and log(c.root)["prune"]["docs"] == before - docs() - c.table("BlockSignature").count()
+    listener = ops.RunListener(spark, c.root, "c")
+    spark.streams.addListener(listener)
+    try:
+        stream.subscribe(spark, c.root, "Block", "c").writeStream.queryName("watch").format("noop").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        for _ in range(100):
+            if "query-watch" in log(c.root):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert ops.run_log(spark, c.root, "c").where("job = 'query-watch'").agg(F.sum("rows")).first()[0] == 30  # as read, those below the floor among them
