@@ -39,6 +39,9 @@ def _best() -> Column:
     return F.struct("points", F.isnotnull("doc_id").alias("known"), F.bitwise_not(F.coalesce("doc_id", F.lit(0))).alias("low_id"), F.bitwise_not("batch").alias("low_batch"), "locator")
 
 
+FINGERPRINT = "doc_id long, digest string, text_sha256 string, points long, content string, locator string, batch long"
+
+
 class ExactDedup:
     """State of one corpus in one folder: add() may be called again with later documents, also after a restart.
 
@@ -53,11 +56,15 @@ class ExactDedup:
         """Folds documents in and returns their batch's number.
 
         docs is the path of a Parquet table, which has to stay as it is since its rows' bytes are read again, or a
-        DataFrame, which is written whole below the state's folder.
+        DataFrame, which is written whole below the state's folder. A call that failed may be repeated: what it left
+        unfinished is finished first, and where that was the same table, or a DataFrame of the same rows, nothing is added
+        a second time.
         """
-        last = self.spark.read.parquet(self.rows).agg(F.max("batch")).first()[0] if exists(self.spark, self.rows) else None
-        batch = 0 if last is None else last + 1
-        table = docs if isinstance(docs, str) else f"{self.path}/content-{batch:09d}"
+        unfinished = self._finish()
+        if unfinished is not None and self._same(unfinished, docs):
+            return unfinished
+        batch = self._last() + 1
+        table = docs if isinstance(docs, str) else self._content(batch)
         if not isinstance(docs, str):
             docs.write.mode("overwrite").parquet(table)
         norm = normalised()
@@ -66,11 +73,48 @@ class ExactDedup:
             self.digest(norm).alias("digest"),
             F.sha2(norm, 256).alias("text_sha256"),
             F.length("text").cast("long").alias("points"),
-            F.lit(batch).cast("long").alias("batch"),
             F.lit(table).alias("content"),
             "locator",
-        ).write.mode("append").parquet(self.rows)
-        reader = self.spark.readStream.schema(self.spark.read.parquet(self.rows).schema)
+        ).write.mode("overwrite").parquet(f"{self.rows}/batch={batch}")
+        self._finish()
+        return batch
+
+    def _content(self, batch: int) -> str:
+        return f"{self.path}/content-{batch:09d}"
+
+    def _last(self) -> int:
+        """Number of the last batch whose fingerprints are whole, -1 before the first."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.rows)
+        fs = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        return max((int(n.split("=")[1]) for n in found if n.startswith("batch=") and exists(self.spark, f"{self.rows}/{n}/_SUCCESS")), default=-1)
+
+    def _finish(self) -> int | None:
+        """Folds in the last batch if that is still to be done; returns its number then."""
+        batch = self._last()
+        if batch < 0 or exists(self.spark, f"{self.path}/done/{batch}"):
+            return None
+        self._fold()
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/done/{batch}")
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
+        return batch
+
+    def _same(self, batch: int, docs: DataFrame | str) -> bool:
+        """Whether these documents are those of a batch."""
+        table = self.fingerprints().where(F.col("batch") == batch).select("content").head()
+        if isinstance(docs, str) or table is None:
+            return table is not None and table[0] == docs
+        if table[0] != self._content(batch):
+            return False
+        had = self.spark.read.parquet(table[0])
+        sums = [d.agg(F.count("*"), F.sum(F.xxhash64(F.to_json(F.struct(*sorted(d.columns)))).cast("decimal(38,0)"))).first() for d in (had, docs)]
+        return sorted(had.columns) == sorted(docs.columns) and sums[0] == sums[1]
+
+    def fingerprints(self) -> DataFrame:
+        return self.spark.read.schema(FINGERPRINT).parquet(self.rows)
+
+    def _fold(self) -> None:
+        reader = self.spark.readStream.schema(FINGERPRINT)
         if self.files:
             reader = reader.option("maxFilesPerTrigger", self.files)
         keyed = reader.parquet(self.rows).groupBy("digest").agg(F.max(_best()).alias("best"), F.count("*").alias("group_size"))
@@ -88,7 +132,6 @@ class ExactDedup:
             spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="64",
         ):
             keyed.writeStream.outputMode("update").foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", self.path + "/state").start().awaitTermination()
-        return batch
 
     def state(self) -> DataFrame:
         """One row a digest, as its last update has it."""
@@ -102,7 +145,8 @@ class ExactDedup:
 
     def result(self, batch: int | None = None) -> DataFrame:
         """A row for each row added, or added in that batch, dropped ones too; groups are those of all batches."""
-        rows = self.spark.read.parquet(self.rows)
+        self._finish()
+        rows = self.fingerprints()
         mine = F.lit(True) if batch is None else F.col("batch") == batch
         if not rows.head(1):
             return self._shape(rows.withColumns({"keep_id": F.col("doc_id"), "keep_batch": F.col("batch"), "keep_locator": F.col("locator"), "group_size": F.lit(1).cast("long")}))
@@ -121,7 +165,7 @@ class ExactDedup:
 
     def _texts(self, rows: DataFrame) -> DataFrame:
         """Adds norm to rows, read back through their locators."""
-        tables = [r["content"] for r in self.spark.read.parquet(self.rows).select("content").distinct().collect()]  # at most one a batch
+        tables = [r["content"] for r in self.fingerprints().select("content").distinct().collect()]  # at most one a batch
         texts = reduce(DataFrame.unionByName, (located(self.spark, t) for t in sorted(tables))).select("locator", normalised().alias("norm"))
         return rows.join(texts, "locator")
 

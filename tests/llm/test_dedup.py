@@ -76,6 +76,50 @@ def test_a_callers_state_and_tables_stay(spark, tmp_path):
     assert len(out) == 6 and sum(r.kept for r in out) == 2
 
 
+@pytest.mark.parametrize("stop", ["fingerprints", "fold", "updates"])
+@pytest.mark.parametrize("kind", ["frame", "path"])
+def test_a_repeated_add_counts_once(spark, tmp_path, monkeypatch, stop, kind):
+    """add() fails after the fingerprints, in the fold, and after the updates; each time it is repeated."""
+    rows = texts()
+    state = E.ExactDedup(spark)
+
+    def batch(i):
+        df = table(spark, rows[i::2]).coalesce(1)
+        if kind == "frame":
+            return df
+        df.write.mode("ignore").parquet(str(tmp_path / f"in{i}"))
+        return str(tmp_path / f"in{i}")
+
+    state.add(batch(0))
+    real = E.ExactDedup._fold
+
+    def fails(self):
+        if stop == "updates":
+            real(self)
+        if stop == "fold":
+            self.spark.readStream.schema(E.FINGERPRINT).parquet(self.rows)
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(E.ExactDedup, "_fold", fails)
+        for _ in range(2):
+            with pytest.raises(OSError):
+                state.add(batch(1))
+    assert state.add(batch(1)) == 1
+    out = state.result()
+    assert shown(out) == brute_exact(rows) and sum(r.kept for r in out.collect()) == len({x[3] for x in brute_exact(rows)})
+    assert state.add(batch(1)) == 2  # when nothing had failed, the same rows once more are rows of their own
+
+
+def test_what_failed_is_finished_before_other_documents(spark, monkeypatch):
+    state, rows = E.ExactDedup(spark), texts()
+    with monkeypatch.context() as m:
+        m.setattr(E.ExactDedup, "_fold", lambda self: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            state.add(table(spark, rows[::2]).coalesce(1))
+    assert state.add(table(spark, rows[1::2]).coalesce(1)) == 1 and shown(state.result()) == brute_exact(rows)
+
+
 def test_exact_keeps_whole_rows(spark):
     df = table(spark)
     out = E.deduplicated(df)
