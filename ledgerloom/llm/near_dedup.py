@@ -76,8 +76,12 @@ def sketch(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     return low
 
 
+#: tells texts under one doc_id apart
+MARK = "xxhash64(coalesce(text, ''))"
+
+
 def sketches(docs: DataFrame, plan: Plan) -> DataFrame:
-    """doc_id, n_shingles, s1 and s2 (128 bits that name the set), bytes, sketch."""
+    """doc_id, n_shingles, s1 and s2 (128 bits that name the set), bytes, mark (of the text), sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -88,10 +92,10 @@ def sketches(docs: DataFrame, plan: Plan) -> DataFrame:
                     one.append(mix(s).sum(dtype=U).view(np.int64))
                     two.append(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U).view(np.int64))
                 sk.append(sketch(s, plan.coordinates).tobytes() if len(s) else None)
-            yield pa.record_batch({"doc_id": b.column(0), "n_shingles": pa.array(n, pa.int64()), "s1": pa.array(one, pa.int64()), "s2": pa.array(two, pa.int64()), "bytes": b.column(2), "sketch": pa.array(sk, pa.binary())})
+            yield pa.record_batch({"doc_id": b.column(0), "n_shingles": pa.array(n, pa.int64()), "s1": pa.array(one, pa.int64()), "s2": pa.array(two, pa.int64()), "bytes": b.column(2), "mark": b.column(3), "sketch": pa.array(sk, pa.binary())})
 
-    rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "text", "cast(coalesce(octet_length(text), 0) as bigint) bytes")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bytes long, sketch binary")
+    rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "text", "cast(coalesce(octet_length(text), 0) as bigint) bytes", f"{MARK} mark")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bytes long, mark long, sketch binary")
 
 
 def _children(tree: int, level: int, node: np.ndarray, plan: Plan) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -494,22 +498,25 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     A document's set holds its distinct five-word shingles, A-Z as a-z; with fewer words the whole sequence is one; with
     none (also where the text is null) the set is empty and the row stands alone. Sets with 100 * shared >= 85 * united
     are linked, and the smallest doc_id that links reach is component_id. Rows that repeat a doc_id share a row's fate
-    where their text is the same; a null doc_id is linked with nothing. Texts of any length count whole. An empty table
+    where their text is the same; with different texts each has its own links. A null doc_id is linked with nothing. Texts of any length count whole. An empty table
     gives an empty result; other columns are ignored.
     """
     plan = plan or Plan()
     rows = saved(sketches(docs, plan), "near-sketches")
     full = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min_by(F.struct("doc_id", "sketch", "bytes"), "doc_id").alias("of"))
-    sets = saved(classes.select("s1", "s2", "n_shingles", F.col("of.doc_id").alias("id"), F.col("of.sketch").alias("sketch"), F.col("of.bytes").alias("bytes")), "near-sets")
+    # a node is named by its set, so that different texts under one doc_id are different nodes
+    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min_by(F.struct("doc_id", "mark", "sketch", "bytes"), F.struct("doc_id", "mark")).alias("of"))
+    node = F.xxhash64("s1", "s2", "n_shingles").alias("id")
+    sets = saved(classes.select("s1", "s2", "n_shingles", node, "of.doc_id", "of.mark", "of.sketch", "of.bytes"), "near-sets")
     pairs = candidates(sets.select("id", "sketch"), plan)
     groups = saved(components(pairs), "near-groups")
     of_node = sets.select(F.col("id").alias("node"), "n_shingles", "bytes")
     sized = groups.join(of_node, "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("bytes").alias("total"))
     fits = (F.col("n") <= plan.group) & (F.col("total") <= plan.group_bytes)
     member = saved(groups.join(sized.select("component", fits.alias("fits")), "component"), "near-members")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = saved(texts.join(member, "node").groupBy("node", "component", "fits").agg(F.max("text").alias("text")), "near-texts")
+    wanted = member.join(sets.select(F.col("id").alias("node"), "doc_id", "mark"), "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.expr(MARK).alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = saved(texts.join(wanted, ["doc_id", "mark"]).groupBy("node", "component", "fits").agg(F.max("text").alias("text")), "near-texts")
     inside = texts.where("fits").select("component", "node", "text").repartition("component").sortWithinPartitions("component", "node").mapInArrow(_search(plan), "id long, root long")
     links = inside.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     beyond = member.where("not fits")
@@ -518,10 +525,12 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
         found = all_links(pairs.join(beyond.select(F.col("node").alias("a")), "a", "left_semi"), large, plan)
         links = links.unionByName(components(found).select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b"))
     root = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
-    named = sets.select("s1", "s2", "n_shingles", "id").join(root, "id", "left").select("s1", "s2", "n_shingles", F.coalesce("root", "id").alias("component_id"))
-    named = saved(named, "near-named")
+    rooted = saved(sets.select("s1", "s2", "n_shingles", "doc_id", "id").join(root, "id", "left").select("s1", "s2", "n_shingles", "doc_id", F.coalesce("root", "id").alias("root")), "near-rooted")
+    low = saved(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "near-low")
+    named = saved(rooted.join(low, "root").select("s1", "s2", "n_shingles", "component_id"), "near-named")
+    done(rooted, low)
     done(sets, pairs, groups, member, texts)
-    out = rows.drop("sketch", "bytes").join(named, ["s1", "s2", "n_shingles"], "left")
+    out = rows.drop("sketch", "bytes", "mark").join(named, ["s1", "s2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
