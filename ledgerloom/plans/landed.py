@@ -142,6 +142,26 @@ def grown_roots(v: ChainView, signatures: DataFrame, per_group: int) -> DataFram
     return out.groupBy("group").agg(F.max_by(F.struct("n", "root"), "step").alias("r")).select("group", "r.n", "r.root")
 
 
+def roots_folder(v: ChainView, signatures: DataFrame, per_file: int) -> str:
+    """A JSON-lines file a range of heights, with other records and broken lines among the roots."""
+    base = shared_folder(v.spark, "roots")
+    start = F.expr(f"blockNumber div {per_file} * {per_file}")
+    record = lambda kind: F.to_json(F.struct(F.lit(kind).alias("type"), F.struct("merkleRoot", "blockNumber").alias("data")))
+    lines = F.array(record("block_signature"), record("other"), F.concat(F.lit("{broken "), F.col("blockNumber").cast("string")))
+    signatures.select(start.alias("start"), F.explode(lines).alias("value")).repartition(1, "start").write.partitionBy("start").text(f"{base}/all")
+    folder, fs = file_system(v.spark, f"{base}/all")
+    target, _ = file_system(v.spark, f"{base}/files")
+    fs.mkdirs(target)
+    for status in fs.listStatus(folder):  # one a range
+        name = status.getPath().getName()
+        if name.startswith("start="):
+            low = int(name.split("=")[1])
+            for part in fs.listStatus(status.getPath()):
+                to, _ = file_system(v.spark, f"{base}/files/snapshot_{low}_{low + per_file - 1}.jsonl")
+                fs.rename(part.getPath(), to)
+    return f"{base}/files"
+
+
 def restored(v: ChainView, per_file: int) -> str:
     """Tables restored from an export of all complete ranges of the landed ones, one of them twice."""
     base, out = shared_folder(v.spark, "restored"), shared_folder(v.spark, "exported")

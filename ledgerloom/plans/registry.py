@@ -427,3 +427,11 @@ register("landed_restored", f"""WITH {_PLAN}, three AS (SELECT start, "end" FROM
 def _restored(v: ChainView, root: str) -> DataFrame:
     blocks = scan(v.spark, root, "Block", landed.CHAIN).select(F.col("doc_id").alias("block_id"), F.col("hash").alias("block"))
     return scan(v.spark, root, "Transaction", landed.CHAIN).join(blocks, "block_id").select("hash", "blockNumber", "block")
+register("roots_jsonl", _SIGS + f""" SELECT 'snapshot_' || (number // {PER_FILE} * {PER_FILE}) || '_' || (number // {PER_FILE} * {PER_FILE} + {PER_FILE - 1}) || '.jsonl' AS "snapshotFile", number AS "blockNumber", lower(hex(root)) AS root
+    FROM sigs WHERE number % 11 <> 0""")(lambda v: snapshot.read_roots_jsonl(v.spark, landed.roots_folder(v, _signatures(v), PER_FILE)).select("snapshotFile", "blockNumber", "root"))
+register("snapshot_listing", f"""SELECT DISTINCT 'snapshot_' || s || '_' || (s + {PER_FILE - 1}) || '.jsonl' AS "snapshotFile", s AS start, s + {PER_FILE - 1} AS "end" FROM (SELECT number // {PER_FILE} * {PER_FILE} AS s FROM cv_blocks WHERE number % 11 <> 0)""")(
+    lambda v: snapshot.catalog(v.spark, landed.roots_folder(v, _signatures(v), PER_FILE)).select("snapshotFile", "start", "end")
+)
+register("decimal_view", "SELECT hash, TRY_CAST(CASE WHEN nonce::BIGINT % 3 = 0 THEN value || 'x' ELSE value || '00000000000000000000' END AS DECIMAL(38,0)) % 1000000007 AS rest FROM cv_transactions")(
+    lambda v: v.transactions().select("hash", (X.decimal_view(F.when(_nonce() % 3 == 0, F.concat("value", F.lit("x"))).otherwise(F.concat("value", F.lit("0" * 20)))) % 1000000007).alias("rest"))
+)

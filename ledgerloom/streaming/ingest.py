@@ -19,6 +19,7 @@ from .turnstile import Turnstile
 
 #: a block's line with one of its transactions that has what it waits for; n_txs of them make it complete
 ARRIVED = "height long, hash string, place struct<time: timestamp, path: string, start: long, line: long>, tx string, n_txs int"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 # --- the ledger of expected documents ---
@@ -245,6 +246,8 @@ def ingest(
     for kind in (BLOCKS, RECEIPTS):
         spark.createDataFrame([], staged_schema(kind)).drop("preferred", "stage").limit(0).write.mode("ignore").parquet(f"{staging.path}/{kind.name}/preferred=1/stage=-1/block_bucket={NOWHERE}")
     stages = [staging.stage(kind, folder, preferred, files, trigger) for kind, folder, preferred, files in folders] if every else []
+    if wait:  # keys that wait are kept on disk
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     rows = arrivals(staging, wait)
     if per_minute is not None:
         spark.dataSource.register(Turnstile)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..sources.schema import HEIGHT, META, ensure
 from ..sources.tables import file_system, floor, stored_schema
 from .staging import REJECT
-from .ingest import ingest  # noqa: F401 - part of this module's interface
+from .ingest import ROCKS, ingest  # noqa: F401 - ingest is part of this module's interface
 
 
 def subscribe(spark: SparkSession, root: str, of: str, chain: str, condition: Column | None = None, horizon: str = "1 hour", files_per_trigger: int | None = None) -> DataFrame:
@@ -117,7 +117,7 @@ def in_order(results: DataFrame, start: int, window: int = 16) -> DataFrame:
     spans that lie beyond it. window: of old the number of waiting heights that ended a query; there is no limit now.
     """
     spark = results.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     keyed = results.where(F.col("number") >= start).withColumn("span", F.expr(f"number div {SPAN}"))
     runs = keyed.groupBy("chain", "span").transformWithStateInPandas(Gather(start), "chain string, span long, first long, oks binary", "Append", "None")
     freed = runs.groupBy("chain").transformWithStateInPandas(Release(start), "chain string, first long, oks binary", "Append", "None")
