@@ -184,14 +184,6 @@ def test_near_against_brute_force(spark, plan):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_two_texts_under_one_doc_id(spark):
-    one, two = (" ".join(f"{k}{i}" for i in range(200)) for k in "ab")
-    near = lambda t: t.replace("0 ", "0 ", 1).rsplit(" ", 1)[0] + " other"
-    rows = [(1, one), (1, two), (2, near(two)), (3, near(one)), (4, "something else"), (4, "again else")]
-    got = sorted((r.doc_id, r.component_id) for r in N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
-
-
 def test_near_on_messy_rows(spark):
     got = N.near_groups(table(spark)).collect()
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == brute_near(texts())
