@@ -14,6 +14,17 @@ from ledgerloom.streaming.turnstile import TurnstileReader, admitted
 
 from test_tables import raw_block, raw_tx, receipt, write
 
+@pytest.fixture(autouse=True)
+def small(spark):
+    """Many small plans: to compile them takes longer than to run them."""
+    names = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k in names:
+        spark.conf.unset(k)
+
+
 TABLES = ("Block", "Transaction", "Log", "AccessListEntry", "BlockSignature")
 
 

@@ -8,7 +8,7 @@ from ledgerloom.operators import ops, retention
 from ledgerloom.sources import tables
 from ledgerloom.streaming import stream
 
-from test_ingest import Chain, chain_of
+from test_ingest import Chain, chain_of, small  # noqa: F401 - a fixture for all tests here
 from test_tables import write
 
 
