@@ -29,6 +29,27 @@ from pyspark.sql import DataFrame
 from .textkernel import U, mix, slices
 
 END = "</w>"
+# Letters, numbers and small letters of the library's tables that Python's may not have yet.
+LETTERS = """1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5
+113B7 113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0"""
+NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+SMALL = "1C89>1C8A A7CB>264 A7CC>A7CD A7CE>A7CF A7D2>A7D3 A7D4>A7D5 A7DA>A7DB A7DC>19B 10D50-10D65>10D70 16EA0-16EB8>16EBB"
+
+
+def _span(text: str) -> range:
+    a, _, z = text.partition("-")
+    return range(int(a, 16), int(z or a, 16) + 1)
+
+
+def small_letters() -> dict[int, int]:
+    return {c: int(to, 16) + k for x in SMALL.split() for of, to in [x.split(">")] for k, c in enumerate(_span(of))}
+
+
+def stand_ins() -> dict[int, str]:
+    """For each code point that Python's tables do not have, but the library's or the pattern's do, a character of its class in the library's."""
+    open_ = "".join(c for c in map(chr, range(0x40000)) if unicodedata.category(c) == "Cn")
+    known = {c: x for spans, x in ((LETTERS, "x"), (NUMBERS, "0")) for s in spans.split() for c in _span(s) if unicodedata.category(chr(c)) == "Cn"}
+    return {ord(c): "*" for c in regex.findall(r"[\p{L}\p{N}]", open_)} | known
 
 
 def byte_symbols() -> list[str]:
@@ -327,6 +348,8 @@ class WordBpe:
         of = {c: b for b, c in enumerate(self.byte)} | {"\0": 10}
         self.walk = Walk(self.automaton, {bytes(of[c] for c in k): v for k, v in self.automaton.spelt.items() if all(c in of for c in k) and self.byte[10] not in k})
         self.labels = {v: k for k, v in model["vocab"].items()} | {v: k for k, v in self.special.items()}
+        self.small, self.stand_ins = small_letters(), stand_ins()
+        self.new = frozenset(map(chr, self.small.keys() | self.stand_ins.keys()))
         self.known: dict[str, bytes] = {}
         self.held = 0
 
@@ -335,15 +358,23 @@ class WordBpe:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             if "\u03a3" in text:
-                return "".join(map(str.lower, text))
+                text = "".join(map(str.lower, text))
+            if not self.new.isdisjoint(text):
+                text = text.translate(self.small)
         return text.lower()
 
+    def _cut(self, text: str) -> list[str]:
+        """Words of a plain text by the pattern, with the library's classes of characters."""
+        if text.isascii() or self.new.isdisjoint(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.stand_ins))]
+
     def _pieces(self, text: str) -> list[str | int]:
         """Words of a text, and ids of the special tokens in it."""
         out: list[str | int] = []
         at = 0
         for m in [*self.cut.finditer(text), None] if "<|" in text else [None]:
-            out += self.pattern.findall(self.plain(text[at : m.start() if m else len(text)]))
+            out += self._cut(self.plain(text[at : m.start() if m else len(text)]))
             if m:
                 out.append(self.special[m[0]])
                 at = m.end()

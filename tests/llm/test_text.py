@@ -135,6 +135,17 @@ def test_bpe_against_the_library_on_odd_strings():
             assert np.frombuffer(got, "<u4").tolist() == want, x
 
 
+def test_bpe_against_the_library_on_all_code_points():
+    from tokenizers import Tokenizer
+
+    t, ours = Tokenizer.from_file(vocabulary()), bpe.WordBpe(json.load(open(vocabulary(), encoding="utf-8")))
+    rows = [f"a{chr(i)}b{chr(i)}" for i in (*range(0xD800), *range(0xE000, 0x34000), *range(0xE0000, 0xE0200))]
+    for at in range(0, len(rows), 5000):
+        part = rows[at : at + 5000]
+        want = t.encode_batch(part, add_special_tokens=False)
+        assert not [x for x, got, w in zip(part, ours.packed(part), want, strict=True) if np.frombuffer(got, "<u4").tolist() != w.ids]
+
+
 def test_bpe_as_the_library(spark, sf):
     from tokenizers import Tokenizer
 
