@@ -494,12 +494,17 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     A document's set holds its distinct five-word shingles, A-Z as a-z; with fewer words the whole sequence is one; with
     none (also where the text is null) the set is empty and the row stands alone. Sets with 100 * shared >= 85 * united
     are linked, and the smallest doc_id that links reach is component_id. Rows that repeat a doc_id share a row's fate
-    where their text is the same; a null doc_id is linked with nothing. Texts of any length count whole. An empty table
-    gives an empty result; other columns are ignored.
+    where their text is the same; with different texts each has its own links. A null doc_id is linked with nothing.
+    Texts of any length count whole. An empty table gives an empty result; other columns are ignored.
     """
     plan = plan or Plan()
     rows = saved(sketches(docs, plan), "near-sketches")
     full = rows.where("n_shingles > 0 and doc_id is not null")
+    name = F.struct("s1", "s2", "n_shingles")
+    shared = full.groupBy("doc_id").agg(F.min(name).alias("one"), F.max(name).alias("other")).where("one <> other")
+    if shared.head(1):
+        done(rows)
+        return _by_text(docs, plan)
     classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min_by(F.struct("doc_id", "sketch", "bytes"), "doc_id").alias("of"))
     sets = saved(classes.select("s1", "s2", "n_shingles", F.col("of.doc_id").alias("id"), F.col("of.sketch").alias("sketch"), F.col("of.bytes").alias("bytes")), "near-sets")
     pairs = candidates(sets.select("id", "sketch"), plan)
@@ -526,6 +531,20 @@ def near_groups(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _by_text(docs: DataFrame, plan: Plan) -> DataFrame:
+    """near_groups() where different texts go by one doc_id: rows are named by doc_id and text, and groups by their least doc_id."""
+    doc_id = F.col("doc_id").cast("long")
+    key = F.when(doc_id.isNotNull(), F.xxhash64(doc_id, F.coalesce("text", F.lit(""))))
+    keyed = saved(docs.select(key.alias("doc_id"), doc_id.alias("own"), "text"), "near-keyed")
+    groups = saved(near_groups(keyed, plan), "near-keyed-groups")
+    own = keyed.where("own is not null").groupBy(F.col("doc_id").alias("key")).agg(F.min("own").alias("own"))
+    named = saved(groups.join(own, groups["doc_id"] == own["key"], "left").select("own", "n_shingles", F.col("component_id").alias("root")), "near-own")
+    least = named.groupBy("root").agg(F.min("own").alias("component_id"))
+    out = named.alias("x").join(least.alias("y"), F.col("x.root") == F.col("y.root"), "left").select(F.col("x.own").alias("doc_id"), "x.n_shingles", "y.component_id")
+    done(keyed, groups)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def deduplicated(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """The rows of docs of which one a group stays, whole, with all their columns, whatever these are called.
 

@@ -184,6 +184,15 @@ def test_near_against_brute_force(spark, plan):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_two_texts_under_one_doc_id(spark):
+    one, two = (" ".join(f"{k}{i}" for i in range(200)) for k in "ab")
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = [(1, one), (1, two), (1, two), (2, near(two)), (3, near(one)), (4, "something else"), (4, "again else"), (5, None), (5, two), (None, one), (6, "")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    want = [(1, 196, 1, True)] * 3 + [(2, 196, 1, False), (3, 196, 1, False), (4, 1, 4, True), (4, 1, 4, True), (5, 0, 5, True), (5, 196, 1, False), (None, 196, None, True), (6, 0, 6, True)]
+    assert got == sorted(want, key=str)
+
+
 def test_near_on_messy_rows(spark):
     got = N.near_groups(table(spark)).collect()
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == brute_near(texts())
