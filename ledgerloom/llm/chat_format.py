@@ -205,11 +205,13 @@ def train(messages: DataFrame, sample: int = 2000) -> Model:
 def transcripts(messages: DataFrame) -> DataFrame:
     """Raw transcripts in blocks: conv_id, solo, block, told (of each row), turns (raw strings in order).
 
-    A message is its role as a marker, then its text, whatever the role column says; without a role it has no marker.
+    A message is its role as a marker, then its text. Without a role, or with one that is none of NAMES (tool, narrator),
+    it has no marker: whose it is follows from its neighbours, and the unknown label is no part of its text.
     """
     alone = F.col("conv_id").isNull() | F.col("turn").isNull()
     text = F.coalesce("text", F.lit(""))
-    told = F.trim(F.coalesce("role", F.lit(""))) != ""
+    name = F.lower(F.regexp_extract(F.concat(F.coalesce("role", F.lit("")), F.lit(": ")), _MARK.pattern, 1))
+    told = name.isin(list(_ROLE))
     raw = F.when(told, F.concat("role", F.lit(": "), text)).otherwise(text)
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), raw.alias("raw"), told.alias("told"), F.when(alone, F.xxhash64("conv_id", "turn", raw)).otherwise(0).alias("solo"))
     rows = _placed(rows.distinct().withColumn("lot", F.xxhash64("raw")))
@@ -281,9 +283,9 @@ def _chained(mats: DataFrame) -> DataFrame:
 def parse(messages: DataFrame, model: Model | None = None) -> DataFrame:
     """Recovered turns: conv_id, turn (from 0), role, told, text, rendered.
 
-    messages: conv_id, turn, role (a marker, may be null or in any of the known names), text. A row is taken to open a
+    messages: conv_id, turn, role (a marker in any of the known names; others count as null), text. A row is taken to open a
     turn, unless a conversation is one row, which is then cut at markers and lines. told: the turn's first row had a
-    marker. Rows that repeat in full count once; rows without conv_id or turn are transcripts of their own; a null text is
+    known marker. Rows that repeat in full count once; rows without conv_id or turn are transcripts of their own; a null text is
     an empty line. Rows of one turn number are taken in the order of their text, or of its hash where there are very many
     of them. An empty table gives an empty result. Long rows are read whole; one turn's text is one value. rendered is
     <|role|>, a line break, the text without its marker and white space at the ends, <|end|>.

@@ -556,6 +556,13 @@ def test_pipeline(spark, sf):
     with_mess.collect()
 
 
+def test_chat_roles_that_are_not_known(spark):
+    rows = [(1, 0, "user", "what is it?"), (1, 1, "Assistant", "I look it up."), (1, 2, "tool", "result 5"), (1, 3, "<|assistant|>", "It is 5."), (1, 4, " ", "thanks"), (1, 5, "user x", "more")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted((r.turn, r.told, r.text) for r in chat_format.parse(df, chat_format.estimated()).collect())
+    assert got == [(t, t in (0, 1, 3), x) for _, t, _, x in rows]
+
+
 @pytest.mark.parametrize("name", ["op2_quality_rules", "op4_html_extraction", "op5_bpe", "op8_mixing", "op9_kd_shards"])  # others are run elsewhere
 def test_queries_run(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
