@@ -24,3 +24,32 @@ def test_point_filters_reach_the_scan(spark, tmp_path):
     tables.add(spark, str(tmp_path), "Block", "c", [{"number": n, "hash": str(n)} for n in (5, 1500)])
     plan = tables.scan(spark, str(tmp_path), "Block", "c", (1500, 1500)).select("hash")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "block_bucket" in plan and "GreaterThanOrEqual(number,1500)" in plan
+
+
+def test_views_write_nothing(spark, sf):
+    """A view is worked out where it is read: only the columns of a query move, and no copy of the view is made for it."""
+    from ledgerloom.plans.chainview import ChainView
+    from ledgerloom.sources import tables
+
+    v = ChainView(spark, sf)
+    for view in (v.blocks, v.transactions, v.receipts, v.logs, v.access_list):
+        view()
+    where, fs = tables.file_system(spark, tables.shared_folder(spark, "x").rsplit("/", 1)[0])
+    assert not fs.exists(where) or not [s for s in fs.listStatus(where) if s.getPath().getName().startswith("view-")]
+    plan = v.transactions()._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" in plan.split("Exchange")[0] and "sha2" not in plan.split("Exchange", 1)[1]  # texts are made after the shuffle
+
+
+def test_places_of_lines_that_are_there_twice(spark, tmp_path):
+    """Equal lines, orders of one key on one day and on two days: as SQL numbers them."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE o AS SELECT * FROM (VALUES (1, 7, 'O', 3), (1, 7, 'O', 3), (1, 7, 'F', 4), (2, 8, 'P', 3), (3, 8, 'O', 4), (9, 9, 'O', 5)) t(k, c, s, d)")
+    con.execute(f"COPY (SELECT k::BIGINT o_orderkey, c::BIGINT o_custkey, s o_orderstatus, TIMESTAMP '1995-01-01' + d * INTERVAL 1 DAY o_orderdate FROM o) TO '{tmp_path}/orders.parquet'")
+    line = "k::BIGINT l_orderkey, p::BIGINT l_partkey, 5::BIGINT l_suppkey, n::INT l_linenumber, 1.5 l_quantity, 2.5 l_extendedprice, 0.0 l_discount, 0.0 l_tax, 'A' l_returnflag, 'F' l_linestatus, TIMESTAMP '1995-02-01' l_shipdate"
+    con.execute(f"COPY (SELECT {line} FROM (VALUES (1, 4, 1), (1, 4, 1), (1, 2, 3), (2, 4, 2), (2, 1, 1), (3, 4, 1), (4, 4, 1)) t(k, p, n)) TO '{tmp_path}/lineitem.parquet'")
+    for t in ("region", "nation", "customer", "supplier", "part", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+        con.execute(f"COPY (SELECT 1 AS x) TO '{tmp_path}/{t}.parquet'")
+    for name in ("logs_linked", "access_list_linked", "doc_id_pack", "block_merkle_root_chunked"):
+        compare(spark, str(tmp_path), QUERIES[name], ORACLES[name])
