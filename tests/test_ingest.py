@@ -319,3 +319,16 @@ def test_rows_keep_their_commit(spark, tmp_path, of):
     c = Chain(spark, tmp_path)
     c.land(*chain_of(2)).go()
     assert tables.scan(spark, c.root, of, "c", meta=True).where("commit is null or block_bucket is null").count() == 0
+
+
+def test_logs_that_name_another_transaction_hang_on_it(spark, tmp_path):
+    """A log hangs on the transaction that it names, whichever receipt brings it; one that names none is left out."""
+    blocks, receipts = chain_of(2, txs=2)
+    moved, nameless = receipts[0]["logs"][0], receipts[1]["logs"][0]
+    moved["transactionHash"], nameless["transactionHash"] = receipts[1]["transactionHash"], None
+    c = Chain(spark, tmp_path).land(blocks, receipts)
+    c.go()
+    tx = {r["hash"]: (r["doc_id"], r["block_id"]) for r in c.table("Transaction").collect()}
+    got = Counter((r["transaction_id"], r["block_id"], r["logIndex"]) for r in c.table("Log").collect())
+    want = Counter((*tx[x["transactionHash"]], x["logIndex"]) for r in receipts for x in r["logs"] if x["transactionHash"])
+    assert got == want and sum(want.values()) == 7

@@ -53,3 +53,20 @@ def test_places_of_lines_that_are_there_twice(spark, tmp_path):
         con.execute(f"COPY (SELECT 1 AS x) TO '{tmp_path}/{t}.parquet'")
     for name in ("logs_linked", "access_list_linked", "doc_id_pack", "block_merkle_root_chunked"):
         compare(spark, str(tmp_path), QUERIES[name], ORACLES[name])
+
+
+def test_landed_data_is_kept_small(spark, sf):
+    """Landing files are packed, and tables and staged rows too."""
+    from ledgerloom.plans import landed
+    from ledgerloom.plans.chainview import ChainView
+    from ledgerloom.sources import tables
+
+    base = landed.root(ChainView(spark, sf)).rsplit("/", 1)[0]
+    for folder, ending in (("receipts", ".json.gz"), ("blocks", ".json.gz"), ("tables/Log", ".zstd.parquet"), ("checkpoint-staged/receipts", ".zstd.parquet")):
+        where, fs = tables.file_system(spark, f"{base}/{folder}")
+        files, names = fs.listFiles(where, True), []
+        while files.hasNext():
+            s = files.next()
+            names += [s.getPath().getName()] if s.getLen() and "stage=-1" not in s.getPath().toString() else []
+        parts = [n for n in names if n.startswith("part-")]
+        assert parts and all(n.endswith(ending) for n in parts)
