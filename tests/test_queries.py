@@ -70,3 +70,27 @@ def test_landed_data_is_kept_small(spark, sf):
             names += [s.getPath().getName()] if s.getLen() and "stage=-1" not in s.getPath().toString() else []
         parts = [n for n in names if n.startswith("part-")]
         assert parts and all(n.endswith(ending) for n in parts)
+
+
+def test_texts_do_not_move_to_meet(spark, sf):
+    """Where no side fits a broadcast, lines stay where they lie by their order, and ids of a block need no ranking of its lines."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = {n: QUERIES[n](spark, sf)._jdf.queryExecution().executedPlan().toString() for n in ("q_logs_nested", "q_transactions_nested", "q_transactions_for_address", "q_transactions_with_topic", "access_list_linked", "block_doc_ids", "verify_report")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for n in ("q_logs_nested", "q_transactions_nested", "q_transactions_for_address", "q_transactions_with_topic"):
+        assert "hashpartitioning(transactionHash" not in plan[n]
+    assert plan["access_list_linked"].count("hashpartitioning(transactionHash") == 1  # of receipts
+    assert "l_quantity" not in plan["block_doc_ids"] + plan["verify_report"]
+
+
+def test_ids_of_lines_follow_from_their_number(spark, sf, monkeypatch):
+    from ledgerloom.plans import chainview
+
+    monkeypatch.setattr(chainview, "LOT", 3)
+    v = chainview.ChainView(spark, sf)
+    for whole, ids in ((v.logs(), v.log_ids()), (v.access_list(), v.entry_ids())):
+        rows = [sorted(map(tuple, df.select("blockNumber", "doc_id", "cid").collect())) for df in (whole, ids)]
+        assert rows[0] == rows[1] and len(rows[0]) > 1000
