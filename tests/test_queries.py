@@ -94,3 +94,23 @@ def test_ids_of_lines_follow_from_their_number(spark, sf, monkeypatch):
     for whole, ids in ((v.logs(), v.log_ids()), (v.access_list(), v.entry_ids())):
         rows = [sorted(map(tuple, df.select("blockNumber", "doc_id", "cid").collect())) for df in (whole, ids)]
         assert rows[0] == rows[1] and len(rows[0]) > 1000
+
+
+def test_landing_lines_are_made_where_lines_lie(spark, sf, tmp_path):
+    """Receipts take their logs, and transactions their entries, by order; a row without ids has those of its content when it is stored."""
+    from ledgerloom.plans import landed
+    from ledgerloom.plans.chainview import ChainView
+    from ledgerloom.sources import tables
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        v = ChainView(spark, sf)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (landed.raw_receipts(v), landed.raw_blocks(v))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not any("hashpartitioning(transactionHash" in p or "hashpartitioning(hash" in p for p in plans)
+    row = spark.createDataFrame([{f.name: None for f in tables.TABLES["Log"].fields} | {"blockHash": "0x1", "logIndex": 1, "blockNumber": 5}], tables.TABLES["Log"])
+    tables.append_new(row, str(tmp_path), "Log", "c", unique=True)
+    stored = tables.scan(spark, str(tmp_path), "Log", "c").select("doc_id", "cid").collect()
+    assert stored == tables.with_ids(row).select("doc_id", "cid").collect()
