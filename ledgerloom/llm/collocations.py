@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -33,9 +34,11 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[65:91] += 32
 #: bytes of text in one go; a longer text is cut between pieces
-CHUNK = 1 << 22
-#: suffixes that a task sums before it hands them on, and that it sorts at a time
+CHUNK = 1 << 21
+#: suffixes that a task sums before it hands them on
 HELD = 1 << 19
+#: suffixes that a task sorts at a time, and of which it makes the texts at a time
+SORTED, SPELT = 1 << 17, 1 << 16
 _NEXT = U(0x9E3779B97F4A7C15)
 
 
@@ -52,12 +55,16 @@ class Chunk:
     piece: np.ndarray
 
     def phrases(self, at: np.ndarray, size: np.ndarray) -> pa.Array:
-        """Words from each position on, with a space between."""
+        """Words from each position on, with a space between; on the way a byte takes several numbers, so some at a time."""
         lens = np.diff(np.frombuffer(self.words.buffers()[1], np.int64)[: len(self.words) + 1])
         spaced = np.frombuffer(b" ".join([*(x.as_buffer().to_pybytes() for x in self.words.cast(pa.large_binary())), b""]), np.uint8)
         begin = np.concatenate([[0], np.cumsum(lens + 1)])
-        most = int(size.max(initial=0))
-        n, out = lens[self.codes] + 1, []
+        n = lens[self.codes] + 1
+        parts = [self._spelt(at[i : i + SPELT], size[i : i + SPELT], n, spaced, begin) for i in range(0, max(len(at), 1), SPELT)]
+        return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+    def _spelt(self, at: np.ndarray, size: np.ndarray, n: np.ndarray, spaced: np.ndarray, begin: np.ndarray) -> pa.Array:
+        most, out = int(size.max(initial=0)), []
         for k in range(most):  # word by word, so that a phrase is made of its own words only
             out.append(np.where(size > k, n[np.minimum(at + k, len(n) - 1)], 0))
         width = np.stack(out, 1) if out else np.zeros((len(at), 0), np.int64)
@@ -344,10 +351,11 @@ def quicksort(words: np.ndarray, weight: np.ndarray, group: np.ndarray, depth: n
         at, col = at[spread], col[go_on]
 
 
-def _matrix(phrases: list[str]) -> np.ndarray:
-    split = [p.split(" ") for p in phrases]
-    sizes = np.array([len(s) for s in split])
-    codes = pa.array([w for s in split for w in s], pa.large_string()).dictionary_encode().indices.to_numpy()
+def _matrix(phrases: pa.Array) -> np.ndarray:
+    """Codes of the words of each phrase, -1 behind the end."""
+    split = pc.split_pattern(phrases.cast(pa.large_string()), " ")
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = split.flatten().dictionary_encode().indices.to_numpy()
     out = np.full((len(split), DEPTH), -1, np.int64)
     row = np.repeat(np.arange(len(split)), sizes)
     out[row, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = codes
@@ -359,18 +367,18 @@ def _sorted_counts(suffixes: DataFrame, least: int) -> DataFrame:
     route = F.expr("substring_index(phrase, ' ', depth)")
 
     def sort(t: pa.Table, routes: np.ndarray) -> pa.RecordBatch:
-        phrases, langs = t["phrase"].to_pylist(), t["lang"].to_pylist()
+        phrases = t["phrase"].combine_chunks()  # in columns: only those that are found become objects
         found = list(quicksort(_matrix(phrases), t["n"].to_numpy(), routes, t["depth"].to_numpy().astype(np.int64), least))
         at, size, n = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-        text = [" ".join(phrases[i].split(" ")[:k]) for i, k in zip(at.tolist(), size.tolist(), strict=True)]
-        return pa.record_batch({"lang": pa.array([langs[i] for i in at.tolist()], pa.string()), "phrase": pa.array(text, pa.string()), "n": pa.array(n.astype(np.int64))})
+        text = [" ".join(p.split(" ")[:k]) for p, k in zip(phrases.take(pa.array(at)).to_pylist(), size.tolist(), strict=True)]
+        return pa.record_batch({"lang": t["lang"].combine_chunks().take(pa.array(at)), "phrase": pa.array(text, pa.string()), "n": pa.array(n.astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b in batches:
             held.append(b)
             n += b.num_rows
-            if n > HELD:
+            if n > SORTED:
                 t = pa.Table.from_batches(held)
                 routes = _runs(t)
                 cut = int(np.searchsorted(routes, routes[-1]))  # the last route may go on

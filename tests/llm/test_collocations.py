@@ -115,3 +115,38 @@ def test_scores_beyond_64_bits(spark):
     n = 9 * 10**12
     got = collocations.scored(f, spark.createDataFrame([("en", n)], "lang string, n long")).first()
     assert got["score"] == 1000 * (big - 1) * n // (big * big)
+
+
+def test_texts_of_many_suffixes_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = " ".join(f"w{i % 977} x" for i in range(700_000))
+    batch = pa.record_batch({"lang": pa.array(["en"]), "text": pa.array([text[: 1 << 22].replace("w976 ", "w976.")])})
+    tracemalloc.start()
+    try:
+        n = 0
+        for _, c in collocations.chunks_of(batch):
+            before = tracemalloc.get_traced_memory()[0]
+            tracemalloc.reset_peak()
+            at = np.arange(len(c.codes) - 4)
+            out = c.phrases(at, np.full(len(at), 5))
+            assert tracemalloc.get_traced_memory()[1] - before < 60e6
+            words = c.words.to_pylist()
+            for i in {0, 65535, 65536, len(at) - 1} & set(at.tolist()):
+                assert out[i].as_py() == " ".join(words[k] for k in c.codes[i : i + 5])
+            n += len(out)
+        assert n > 500_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_routes_go_on_over_sorted_lots(spark, monkeypatch):
+    """Lots of the sort that are smaller than a route change no count."""
+    monkeypatch.setattr(collocations, "SORTED", 7)
+    rng = random.Random(5)
+    docs = table(spark, [(i, " ".join(rng.choice("abcdef") for _ in range(40))) for i in range(60)])
+    f, _ = collocations.counts(docs, least=3)
+    want, _ = count(docs.collect(), 3)
+    assert {(r.lang, tuple(r.phrase.split(" "))): r.f for r in f.collect()} == want
