@@ -72,3 +72,14 @@ def test_block_root_ignores_order_and_snapshot_root_does_not(spark, leaves):
     assert sorted_root(leaves) == sorted_root(leaves[::-1])
     plain = lambda xs: one(spark, xs, merkle.root, "array<binary>")
     assert plain(leaves) != plain(leaves[::-1])
+
+
+def test_texts_are_packed_and_come_back(spark):
+    """Hex takes half as many bytes on its way; any other text, null and emptiness come back as they were."""
+    texts = ["0x" + "ab" * 32, "0xAB", "0xabc", "0x", "", None, "0xzz", "0xab\n", "\x01\x02", "\x00", "ab", "0xaé", "12", "123", "cd" * 32, "bae-0a", "0x" + "0f" * 100_000]
+    rows = [(i, t, [t, "0xff"], {"a": t, "b": [{"c": t}]} if i % 2 else None, None if i % 3 else []) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i int, t string, a array<string>, s struct<a: string, b: array<struct<c: string>>>, e array<string>")
+    packed = df.select(*(X.pack(F.col(f.name), f.dataType).alias(f.name) for f in df.schema))
+    assert sorted(packed.select(*(X.unpack(F.col(f.name), f.dataType).alias(f.name) for f in df.schema)).collect()) == sorted(df.collect())
+    sizes = {r.i: len(r.t) for r in packed.where("t is not null").collect()}
+    assert sizes[0] == sizes[texts.index("cd" * 32)] == 33 and len({bytes(r.t) for r in packed.where("t is not null").collect()}) == len(texts) - 1

@@ -114,3 +114,20 @@ def test_landing_lines_are_made_where_lines_lie(spark, sf, tmp_path):
     tables.append_new(row, str(tmp_path), "Log", "c", unique=True)
     stored = tables.scan(spark, str(tmp_path), "Log", "c").select("doc_id", "cid").collect()
     assert stored == tables.with_ids(row).select("doc_id", "cid").collect()
+
+
+def test_landed_texts_move_as_bytes(spark, sf, tmp_path):
+    """Rows that are written to a table, to the index or to a landing file have their hex as bytes when they are shuffled."""
+    from ledgerloom.plans import landed
+    from ledgerloom.plans.chainview import ChainView
+    from ledgerloom.sources import index, tables
+
+    v = ChainView(spark, sf)
+    logs = v.logs().withColumn("block_bucket", tables.bucket_of("blockNumber"))
+    out = tables.clustered(logs, "Log")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("RebalancePartitions", 1)
+    assert "unhex" in below[1] and "unhex" not in below[0]
+    assert sorted(map(str, out.collect())) == sorted(map(str, logs.collect()))
+    assert "unhex" in index.entries(logs, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in landed.raw_blocks(v)._jdf.queryExecution().optimizedPlan().toString()
