@@ -131,3 +131,15 @@ def test_landed_texts_move_as_bytes(spark, sf, tmp_path):
     assert sorted(map(str, out.collect())) == sorted(map(str, logs.collect()))
     assert "unhex" in index.entries(logs, None)._jdf.queryExecution().optimizedPlan().toString()
     assert "unhex" in landed.raw_blocks(v)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parties_are_counted_as_numbers(spark, sf):
+    """Texts of addresses are made after the shuffle, and counts are those of the view's own texts."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.plans.chainview import ChainView
+
+    plan = QUERIES["q_address_activity"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" not in plan.split("Exchange", 1)[1]
+    rows = ChainView(spark, sf).transactions().select(F.explode(F.array_distinct(F.array("from", "to"))).alias("address")).where("address <> ''")
+    assert sorted(QUERIES["q_address_activity"](spark, sf).collect()) == sorted(rows.groupBy("address").agg(F.count("*").alias("n")).collect())
