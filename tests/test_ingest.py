@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import time
 from collections import Counter
@@ -6,9 +7,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import ops, retention
+from ledgerloom.operators import normalize, ops, retention
 from ledgerloom.sources import index, tables
-from ledgerloom.streaming import staging, stream
+from ledgerloom.streaming import ingest, staging, stream
 from ledgerloom.streaming.ingest import ledger
 from ledgerloom.streaming.turnstile import TurnstileReader, admitted
 
@@ -332,3 +333,41 @@ def test_logs_that_name_another_transaction_hang_on_it(spark, tmp_path):
     got = Counter((r["transaction_id"], r["block_id"], r["logIndex"]) for r in c.table("Log").collect())
     want = Counter((*tx[x["transactionHash"]], x["logIndex"]) for r in receipts for x in r["logs"] if x["transactionHash"])
     assert got == want and sum(want.values()) == 7
+
+
+def test_the_block_that_was_staged_first_counts(spark, tmp_path):
+    """Of two blocks at one height that wait together, the one of the earlier landing is written, whatever the times of their files."""
+    blocks, receipts = chain_of(2)
+    c = Chain(spark, tmp_path).land(blocks, receipts[:-1])
+    c.go(wait="1 hour")
+    assert c.numbers() == [10]
+    c.land([raw_block(11, hash=h(9, "f"))])
+    os.utime(tmp_path / "b/002.json", (1_000_000_000, 1_000_000_000))
+    c.go()
+    assert {r["number"]: r["hash"] for r in c.table("Block").collect()} == {n: h(n, "b") for n in (10, 11)} and c.table("Transaction").count() == 6
+
+
+def test_receipts_move_once_as_bytes(spark, tmp_path):
+    """Transactions meet their receipts by one shuffle of both, and which receipt is the last is seen there."""
+    blocks, receipts = chain_of(3)
+    receipts = [x for r in receipts for x in (r | {"status": "0x0", "logs": []}, r)]
+    c = Chain(spark, tmp_path).land(blocks, receipts)
+    s = staging.Staging(spark, str(tmp_path / "staged"), c.root, "c")
+    for kind, folder in ((staging.BLOCKS, "b"), (staging.RECEIPTS, "r")):
+        s.stage(kind, str(tmp_path / folder)).awaitTermination()
+    work = ingest.Commit(s, str(tmp_path / "work"), F.lit("now"))
+    raw = s.rows(staging.BLOCKS, [0])
+    whole = work._whole(raw, tables.with_ids(normalize.blocks(raw)), [0])
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "unhex" in plan.split("RepartitionByExpression", 1)[1]
+    got = whole.collect()
+    assert sorted(r["hash"] for r in got) == sorted(t["hash"] for b in blocks for t in b["transactions"])
+    assert all(r["status"] and r["has_receipt"] and len(r["logs"]) == 2 and len(r["entries"]) == 1 and r["entries"][0]["storageKeys"] == ["0x1", "0x2"] for r in got)
+
+
+def test_rows_move_to_their_keys_only_where_keys_meet(spark, tmp_path):
+    rows = lambda n: tables.with_ids(spark.createDataFrame([{f.name: None for f in tables.TABLES["Log"].fields} | {"blockHash": "0x1", "logIndex": i, "blockNumber": 5} for i in n], tables.TABLES["Log"]))
+    for part, moved in (((1, 2), False), ((3, 4), False), ((4, 5, 5), True)):
+        new = tables.append_new(rows(part), str(tmp_path), "Log", "c")
+        assert ("Aggregate" in (plan := new._jdf.queryExecution().optimizedPlan().toString())) == moved and ("LeftAnti" in plan) == moved
+    assert sorted(r["logIndex"] for r in tables.scan(spark, str(tmp_path), "Log", "c").collect()) == [1, 2, 3, 4, 5]

@@ -143,3 +143,17 @@ def test_parties_are_counted_as_numbers(spark, sf):
     assert "sha2" not in plan.split("Exchange", 1)[1]
     rows = ChainView(spark, sf).transactions().select(F.explode(F.array_distinct(F.array("from", "to"))).alias("address")).where("address <> ''")
     assert sorted(QUERIES["q_address_activity"](spark, sf).collect()) == sorted(rows.groupBy("address").agg(F.count("*").alias("n")).collect())
+
+
+def test_copies_of_landed_tables_stay_where_they_lie(spark, sf):
+    """A copy has the tables that it is asked for, as files of the source; blocks for landing are made of numbers that moved."""
+    from ledgerloom.plans import landed
+    from ledgerloom.plans.chainview import ChainView
+    from ledgerloom.sources import tables
+
+    v = ChainView(spark, sf)
+    assert "sha2" not in v.nested()._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    base = landed.copied(v, "copy", "Transaction")
+    where, fs = tables.file_system(spark, base)
+    assert [s.getPath().getName() for s in fs.listStatus(where)] == ["Transaction"]
+    assert tables.scan(spark, base, "Transaction", landed.CHAIN).exceptAll(landed.table(v, "Transaction")).count() == 0 < landed.table(v, "Transaction").count()
