@@ -371,3 +371,13 @@ def test_rows_move_to_their_keys_only_where_keys_meet(spark, tmp_path):
         new = tables.append_new(rows(part), str(tmp_path), "Log", "c")
         assert ("Aggregate" in (plan := new._jdf.queryExecution().optimizedPlan().toString())) == moved and ("LeftAnti" in plan) == moved
     assert sorted(r["logIndex"] for r in tables.scan(spark, str(tmp_path), "Log", "c").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_what_waits_is_one_store_a_partition(spark, tmp_path):
+    """Keys that wait for each other lie in one store, of which a batch writes what it changed."""
+    blocks, receipts = chain_of(2)
+    c = Chain(spark, tmp_path).land(blocks, receipts[:-1])
+    c.go(wait="1 hour")
+    state = list((tmp_path / "cp/commit-waiting/state/0").rglob("*"))
+    assert any(p.suffix == ".changelog" for p in state) and not any("keyToNumValues" in p.name or "keyWithIndexToValue" in p.name for p in state)
+    assert len(list((tmp_path / "cp-commit-waiting-work/rows").glob("batch=*"))) >= 1 and c.numbers() == [10]
