@@ -157,3 +157,15 @@ def test_copies_of_landed_tables_stay_where_they_lie(spark, sf):
     where, fs = tables.file_system(spark, base)
     assert [s.getPath().getName() for s in fs.listStatus(where)] == ["Transaction"]
     assert tables.scan(spark, base, "Transaction", landed.CHAIN).exceptAll(landed.table(v, "Transaction")).count() == 0 < landed.table(v, "Transaction").count()
+
+
+def test_blocks_are_gathered_as_bytes_few_at_a_time(spark, sf):
+    """While blocks are gathered their hex is bytes, and a task gathers few of them."""
+    from ledgerloom.operators import query
+    from ledgerloom.plans.chainview import ChainView
+
+    v = ChainView(spark, sf)
+    df = query.block_with_transactions(v.blocks(), v.transactions(), v.logs())
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("RepartitionByExpression", 1)[1]
+    assert "unhex" in below and below.splitlines()[0].endswith(", 64") and query._parts(v.blocks()) == 64
